@@ -39,7 +39,7 @@ def without_prefix(col: Column, prefix: str) -> Column:
 
 def record_name(path: Column) -> Column:
     """Last path component without its last extension."""
-    return F.regexp_extract(path, r"([^/]+)\.[^./]*$", 1)
+    return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
 
 
 def id_is_valid(id_: Column) -> Column:

@@ -126,6 +126,47 @@ def reletter_raw(entries: Column) -> Column:
     return F.transform(entries, one)
 
 
+def compose_positions(df: DataFrame, by: str, pos: str, name: str, size: str) -> DataFrame:
+    """Compose rows already expanded to one per member: ``name``, ``chains`` and ``tokens``.
+
+    Rows are reduced per position first, so that a group brings at most
+    MAX_MEMBERS rows together whatever its length. Longer groups and repeated
+    positions have a status other than ``ok`` and no name.
+    """
+    whole = df.groupBy(by).agg(
+        F.count("*").alias("members"), F.max(pos).alias("_last"), F.min(pos).alias("_first")
+    )
+    placed = (
+        df.where(F.col(pos).between(0, fixed.MAX_MEMBERS - 1))
+        .groupBy(by, pos)
+        .agg(F.count("*").alias("_n"), F.min(name).alias("_name"), F.sum(size).alias("_size"))
+    )
+    grouped = placed.groupBy(by).agg(
+        ordered(F.col(pos), F.col("_name")).alias("_names"),
+        ordered(F.col(pos), chain_letter(F.col(pos))).alias("_letters"),
+        F.sum("_size").alias("_tokens"),
+        F.max("_n").alias("_copies"),
+    )
+    status = (
+        F.when((F.col("_last") >= fixed.MAX_MEMBERS) | (F.col("_first") < 0), "too_many_members")
+        .when(F.col("_copies") > 1, "repeated_position")
+        .otherwise("ok")
+    )
+    ok = F.col("status") == "ok"
+    return (
+        whole.join(grouped, by, "left")
+        .withColumn("status", status)
+        .select(
+            by,
+            "members",
+            "status",
+            F.when(ok, F.array_join("_names", fixed.MEMBER_DELIMITER)).alias("name"),
+            F.when(ok, F.array_join("_letters", ",")).alias("chains"),
+            F.when(ok, F.col("_tokens")).cast("bigint").alias("tokens"),
+        )
+    )
+
+
 def total_size(
     keys: DataFrame,
     sizes: DataFrame,

@@ -12,17 +12,19 @@ def read_fasta(spark: SparkSession, path: str, stop: int | None = None) -> DataF
     Splits at record starts, so one large file is read by many tasks. The id is
     the header up to its first white space; wrapped lines are joined.
     """
-    records = spark.read.option("lineSep", "\n>").text(path)
+    records = (
+        spark.read.option("lineSep", "\n>")
+        .text(path)
+        .select(
+            "value",
+            decoded_path().alias("file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_place"),
+        )
+        .where(F.col("value").rlike(r"\S"))
+    )
     if stop is not None:
-        place = [
-            decoded_path().alias("_f"),
-            F.col("_metadata.file_block_start").alias("_b"),
-            F.monotonically_increasing_id().alias("_i"),
-        ]
-        kept = records.select("*", "_metadata.file_path", *place).where(F.trim("value") != "")
-        records = kept.orderBy("_f", "_b", "_i").limit(stop).withColumnRenamed("_f", "file")
-    else:
-        records = records.where(F.trim("value") != "").withColumn("file", decoded_path())
+        records = records.orderBy("file", "_block", "_place").limit(stop)
     text = F.regexp_replace("value", "^>", "")
     parts = F.split(text, "\r?\n|\r", 2)
     return records.select(
