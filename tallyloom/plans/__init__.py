@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["planning_queries"]
+_MODULES = ["planning_queries", "record_queries", "log_queries"]
 
 
 def load_all() -> None:
