@@ -142,12 +142,12 @@ def by_size(
     """
     weight = F.lit(1.0) if weight is None else weight
     counts = df.groupBy(size).agg(F.count("*").alias("_n"))
-    found = counts.limit(max_sizes + 1).collect()
-    if len(found) > max_sizes or any(r["_n"] > hot_rows for r in found):
+    found = counts.limit(max_sizes + 1).toPandas()
+    if len(found) > max_sizes or (found["_n"] > hot_rows).any():
         return _by_size_sliced(df, size, tie, weight, names, hot_rows)
 
     # At most max_sizes rows from here to the broadcast.
-    histogram = df.sparkSession.createDataFrame(found, counts.schema).coalesce(1)
+    histogram = df.sparkSession.createDataFrame(found, counts.schema)
     smaller = Window.orderBy(size).rowsBetween(*_BEFORE)
     starts = histogram.withColumn("_w", weight).select(
         F.col(size).alias("_size"),

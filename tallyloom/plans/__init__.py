@@ -2,7 +2,13 @@
 
 import importlib
 
-_MODULES = ["planning_queries", "record_queries", "log_queries"]
+_MODULES = [
+    "planning_queries",
+    "record_queries",
+    "log_queries",
+    "file_queries",
+    "stream_queries",
+]
 
 
 def load_all() -> None:

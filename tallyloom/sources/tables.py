@@ -23,13 +23,14 @@ def read_accounting(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="|", header=True)
 
 
-def read_gpu_samples(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.GPU_SAMPLES).options(**_SAMPLES).csv(path)
+def read_gpu_samples(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Monitor output: fields separated by a comma and spaces."""
+    return spark.read.schema(schemas.GPU_SAMPLES).options(**{**_SAMPLES, **options}).csv(path)
 
 
 def stream_gpu_samples(spark: SparkSession, folder: str, **options) -> DataFrame:
     """The same samples as an endless stream of files."""
-    reader = spark.readStream.schema(schemas.GPU_SAMPLES).options(**_SAMPLES, **options)
+    reader = spark.readStream.schema(schemas.GPU_SAMPLES).options(**{**_SAMPLES, **options})
     return reader.csv(folder)
 
 
