@@ -10,7 +10,7 @@ from tallyloom import fixed
 
 def jobname(raw: Column) -> Column:
     """Lower-case name of letters, numerics and ``-._``; never holds an underscore."""
-    trimmed = F.regexp_replace(raw, r"(?U)^\s+|\s+$", "")
+    trimmed = F.btrim(raw, F.lit(fixed.WHITE_SPACE))
     dashed = F.translate(F.lower(trimmed), " _", "--")
     return F.regexp_replace(dashed, r"[^\p{IsLowercase}\p{N}._-]", "")
 

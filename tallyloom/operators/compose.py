@@ -31,10 +31,12 @@ def distinct_members(
 def expanded(
     keys: DataFrame, key: str = "id", delimiter: str = fixed.MEMBER_DELIMITER
 ) -> DataFrame:
-    """One row per key and member position; keys with too many members expand to none."""
+    """One row per key and member position; a key with too many members is one NULL member."""
     members = members_of(F.col(key), delimiter)
-    short = keys.where(F.size(members) <= fixed.MAX_MEMBERS)
-    return short.select(key, F.posexplode(members).alias("pos", "member"))
+    fitting = F.when(F.size(members) <= fixed.MAX_MEMBERS, members).otherwise(
+        F.array(F.lit(None).cast("string"))
+    )
+    return keys.select(key, F.posexplode(fitting).alias("pos", "member"))
 
 
 def compose(
@@ -51,7 +53,6 @@ def compose(
     other states are ``missing_member``, ``not_single`` and ``too_many_members``.
     """
     field = "entries" if "entries" in cache.columns else "sequences"
-    keys = keys.select("id").distinct()
     slim = cache.select(
         F.col("id").alias("member"),
         F.col("name").alias("_name"),
@@ -59,40 +60,32 @@ def compose(
         (F.size(field) == 1).alias("_single"),
     )
     wide = lookup_join(
-        expanded(keys, "id", delimiter), slim, "member", ["id", "pos"], hot_rows=hot_rows
+        expanded(keys.select("id").distinct(), "id", delimiter),
+        slim,
+        "member",
+        ["id", "pos"],
+        hot_rows=hot_rows,
+        counted=expanded(keys, "id", delimiter),
     )
     # At most MAX_MEMBERS rows per id.
-    grouped = wide.groupBy("id").agg(
-        ordered(F.col("pos"), F.col("_name")).alias("_names"),
-        ordered(F.col("pos"), F.col("_entry")).alias("_entries"),
-        F.count("*").alias("members"),
-        F.count_if(F.col("_single").isNull()).alias("_missing"),
-        F.count_if(~F.col("_single")).alias("_odd"),
-    )
+    member = F.struct(F.col("_name").alias("name"), "_entry", F.col("_single").alias("single"))
+    grouped = wide.groupBy("id").agg(ordered(F.col("pos"), member).alias("_all"))
+    count = F.size(members_of(F.col("id"), delimiter))
     status = (
-        F.when(F.col("_missing") > 0, "missing_member")
-        .when(F.col("_odd") > 0, "not_single")
+        F.when(count > fixed.MAX_MEMBERS, "too_many_members")
+        .when(F.exists("_all", lambda m: m["single"].isNull()), "missing_member")
+        .when(F.exists("_all", lambda m: ~m["single"]), "not_single")
         .otherwise("ok")
     )
     reletter = reletter_raw if field == "entries" else reletter_parsed
-    composed = grouped.withColumn("status", status).select(
-        "id",
-        F.when(F.col("status") == "ok", F.array_join("_names", fixed.MEMBER_DELIMITER)).alias(
-            "name"
-        ),
-        "members",
-        "status",
-        F.when(F.col("status") == "ok", reletter(F.col("_entries"))).alias(field),
-    )
-    count = F.size(members_of(F.col("id"), delimiter))
-    long = keys.where(count > fixed.MAX_MEMBERS).select(
+    ok = F.col("status") == "ok"
+    return grouped.withColumn("status", status).select(
         "id",
-        F.lit(None).cast("string").alias("name"),
+        F.when(ok, F.array_join("_all.name", fixed.MEMBER_DELIMITER)).alias("name"),
         count.cast("bigint").alias("members"),
-        F.lit("too_many_members").alias("status"),
-        F.lit(None).cast(composed.schema[field].dataType).alias(field),
+        "status",
+        F.when(ok, reletter(F.col("_all._entry"))).alias(field),
     )
-    return composed.unionByName(long)
 
 
 def reletter_parsed(entries: Column) -> Column:
@@ -174,12 +167,14 @@ def total_size(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Summed member ``tokens`` of every distinct key ``id``, from one lookup of ``(id, tokens)``."""
-    members = keys.select("id").distinct().select(
-        "id", F.posexplode(members_of(F.col("id"), delimiter)).alias("pos", "member")
-    )
+    parts = F.posexplode(members_of(F.col("id"), delimiter)).alias("pos", "member")
     wide = lookup_join(
-        members, sizes.withColumnRenamed("id", "member"), "member", ["id", "pos"],
+        keys.select("id").distinct().select("id", parts),
+        sizes.withColumnRenamed("id", "member"),
+        "member",
+        ["id", "pos"],
         hot_rows=hot_rows,
+        counted=keys.select("id", parts),
     )
     return summed(wide, ["id"], "tokens")
 

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import fixed
+from tallyloom.session import small_table
 
 
 def per_variant(df: DataFrame, variants: list[str] = fixed.VARIANTS, out: str = "variant"):
@@ -30,12 +31,12 @@ def tier_of(size: Column, tiers: list[dict], kind: Column | None = None) -> Colu
 def ladder_table(spark, ladders: dict = fixed.LADDERS) -> DataFrame:
     """One row per step and 1-based attempt."""
     rows = [
-        (step, n + 1, rungs["runtime"][n], rungs["mem_mb"][n], rungs["disk_mb"][n],
-         rungs["gpu_mem"][n])
+        {"step": step, "attempt": n + 1, **{name: rungs[name][n] for name in rungs}}
         for step, rungs in ladders.items()
         for n in range(len(rungs["runtime"]))
     ]
-    return spark.createDataFrame(
+    return small_table(
+        spark,
         rows,
         "step string, attempt int, runtime string, mem_mb int, disk_mb int, gpu_mem string",
     )

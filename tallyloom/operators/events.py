@@ -24,7 +24,7 @@ def segments(
     some = F.coalesce(*[F.col(c).cast("string") for c in captures]).isNotNull()
     kept = df.select(*by, *order, *captures).where(some)
     is_done = F.col(done).isNotNull().cast("bigint")
-    numbered = running_sum(kept, is_done, order, "_segment", by, False, hot_rows)
+    numbered = running_sum(kept, is_done, order, "_segment", by, False, hot_rows, counted=df)
     place = F.struct(*order)
     last = [F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in captures]
     return (

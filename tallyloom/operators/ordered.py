@@ -8,6 +8,7 @@ per-slice totals.
 
 from dataclasses import dataclass
 
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,16 +62,18 @@ def running_sum(
     by: list[str] | None = None,
     inclusive: bool = True,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Running sum of ``value`` in ``order``, for the whole table or per ``by`` key.
 
-    ``order`` must be total inside a group.
+    ``order`` must be total inside a group. ``counted`` may name a cheaper frame
+    with at least as many rows of every key to find hot keys in.
     """
     frame = _UP_TO if inclusive else _BEFORE
     by = by or []
     if not by:
         return _sliced_sum(df, value, order, by, out, frame, hot_rows)
-    hot = hot_keys(df, by, hot_rows)
+    hot = hot_keys(df if counted is None else counted, by, hot_rows)
     cold_rows, hot_part = (df, None) if hot is None else split_hot(df, by, hot)
     window = Window.partitionBy(*by).orderBy(*order).rowsBetween(*frame)
     cold = cold_rows.withColumn(out, F.coalesce(F.sum(value).over(window), F.lit(0)))
@@ -142,8 +145,9 @@ def by_size(
     """
     weight = F.lit(1.0) if weight is None else weight
     counts = df.groupBy(size).agg(F.count("*").alias("_n"))
-    found = counts.limit(max_sizes + 1).toPandas()
-    if len(found) > max_sizes or (found["_n"] > hot_rows).any():
+    found = counts.limit(max_sizes + 1).toArrow()
+    popular = pyarrow.compute.max(found["_n"]).as_py() or 0
+    if found.num_rows > max_sizes or popular > hot_rows:
         return _by_size_sliced(df, size, tie, weight, names, hot_rows)
 
     # At most max_sizes rows from here to the broadcast.
@@ -155,10 +159,11 @@ def by_size(
         F.coalesce(F.sum("_n").over(smaller), F.lit(0)).alias("_rows"),
         F.coalesce(F.sum(F.col("_n") * F.col("_w")).over(smaller), F.lit(0.0)).alias("_sum"),
     )
+    # Rank first: the shuffle then carries nothing that the broadcast can add later.
     rank = F.row_number().over(Window.partitionBy(size).orderBy(tie))
     return (
-        df.join(F.broadcast(starts), F.col(size).eqNullSafe(F.col("_size")))
-        .withColumn("_rank", rank)
+        df.withColumn("_rank", rank)
+        .join(F.broadcast(starts), F.col(size).eqNullSafe(F.col("_size")))
         .select(
             *df.columns,
             (F.col("_rows") + F.col("_rank") - 1).cast("bigint").alias(names.position),

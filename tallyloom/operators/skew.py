@@ -15,8 +15,8 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFr
     and broadcast.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
-    found = counts.collect()
-    if not found:
+    found = counts.toArrow()
+    if not found.num_rows:
         return None
     return df.sparkSession.createDataFrame(found, counts.schema)
 
@@ -43,25 +43,30 @@ def lookup_join(
     spread: list[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows to a lookup with one row per key, salting hot keys.
 
     Rows of a hot key are spread by a hash of ``spread`` (columns that differ
     between them) over enough salts to stay under ``hot_rows``; only the
-    matching lookup rows are repeated, once per salt.
+    matching lookup rows are repeated, once per salt. ``counted`` may name a
+    cheaper frame with at least as many rows of every key to find hot keys in.
     """
-    hot = hot_keys(left, [key], hot_rows)
+    hot = hot_keys(left if counted is None else counted, [key], hot_rows)
     if hot is None:
         return left.join(right, key, how)
-    salts = F.broadcast(hot.select(key, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")))
-    salted_left = left.join(salts, key, "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(*spread), "_salts").cast("int"), F.lit(0))
-    )
-    salted_right = right.join(salts, key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
+    salts = F.broadcast(
+        hot.select(
+            F.col(key).alias("_hot"), F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")
+        )
     )
+    same = F.col(key).eqNullSafe(F.col("_hot"))
+    spread_salt = F.coalesce(F.pmod(F.xxhash64(*spread), "_salts").cast("int"), F.lit(0))
+    repeats = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    salted_left = left.join(salts, same, "left").withColumn("_salt", spread_salt)
+    salted_right = right.join(salts, same, "left").withColumn("_salt", F.explode(repeats))
     return (
-        salted_left.drop("_salts")
-        .join(salted_right.drop("_salts"), [key, "_salt"], how)
+        salted_left.drop("_hot", "_salts")
+        .join(salted_right.drop("_hot", "_salts"), [key, "_salt"], how)
         .drop("_salt")
     )

@@ -5,13 +5,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom import fixed, schemas
+from tallyloom import fixed
 from tallyloom.functions.costs import CostModel, Quadratic
 from tallyloom.functions.names import filled
 from tallyloom.functions.sizes import in_window, token_count
 from tallyloom.operators.batching import assign_batches
-from tallyloom.operators.existence import required, with_exists
-from tallyloom.operators.progress import matching, shares
+from tallyloom.operators.existence import pending, required, with_exists
+from tallyloom.operators.progress import shares
 from tallyloom.session import written
 from tallyloom.sources.documents import scan_inputs
 from tallyloom.sources.listing import scan_ids
@@ -26,18 +26,12 @@ PENDING = "tokens_check & ~pred_isfile"
 
 
 def flagged(
-    sized: DataFrame,
-    done: DataFrame,
-    window: tuple[int, int] = fixed.BATCH_WINDOW,
-    json: str = INPUT_PATH,
-    pred: str = PREDICTION_PATH,
+    sized: DataFrame, done: DataFrame, window: tuple[int, int] = fixed.BATCH_WINDOW
 ) -> DataFrame:
-    """``(id, tokens)`` with expected paths, the size check and the existence flag."""
+    """``(id, tokens)`` with the size check and the existence flag."""
     checked = sized.select(
         "id",
-        filled(json, F.col("id")).alias("json"),
         F.col("tokens").cast("bigint").alias("tokens"),
-        filled(pred, F.col("id")).alias("pred"),
         in_window(F.col("tokens"), window).alias("tokens_check"),
     )
     return with_exists(checked, done)
@@ -49,20 +43,29 @@ def plan_batches(
     hours: float = fixed.BATCH_HOURS,
     cost: CostModel = Quadratic(),
     window: tuple[int, int] = fixed.BATCH_WINDOW,
+    json: str = INPUT_PATH,
+    pred: str = PREDICTION_PATH,
     **limits: int,
 ) -> DataFrame:
-    """The nine-column plan of all pending, right-sized ids."""
-    return plan_flagged(flagged(sized, done, window), hours, cost, **limits)
-
+    """The nine-column plan of all pending, right-sized ids.
 
-def plan_flagged(
-    flags: DataFrame,
-    hours: float = fixed.BATCH_HOURS,
-    cost: CostModel = Quadratic(),
-    **limits: int,
-) -> DataFrame:
-    todo = matching(flags, PENDING)
-    return assign_batches(todo, cost, hours, **limits).select(*schemas.PLAN_COLUMNS)
+    Only ``(id, tokens)`` is shuffled; paths and flags are added to the result.
+    """
+    fitting = sized.select("id", F.col("tokens").cast("bigint").alias("tokens")).where(
+        in_window(F.col("tokens"), window)
+    )
+    batched = assign_batches(pending(fitting, done), cost, hours, **limits)
+    return batched.select(
+        "id",
+        filled(json, F.col("id")).alias("json"),
+        "tokens",
+        filled(pred, F.col("id")).alias("pred"),
+        F.lit(True).alias("tokens_check"),
+        F.lit(False).alias("pred_isfile"),
+        "weight",
+        "weight_cumsum",
+        "batch_id",
+    )
 
 
 def progress(flags: DataFrame) -> DataFrame:
@@ -95,9 +98,10 @@ def plan_folder(
     sizes = inputs.select("id", token_count(F.col("sequences")).alias("tokens"))
     sized = written(required(outputs, sizes), "sizes")
     done = scan_ids(spark, f"{root}/{PREDICTION_PATH}").select("id")
-    flags = flagged(
-        sized.where("found"), done, window, f"{root}/{INPUT_PATH}", f"{root}/{PREDICTION_PATH}"
+    found = sized.where("found")
+    plan = plan_batches(
+        found, done, hours, cost, window, f"{root}/{INPUT_PATH}", f"{root}/{PREDICTION_PATH}"
     )
     return Campaign(
-        plan_flagged(flags, hours, cost), progress(flags), sized.where("not found").select("id")
+        plan, progress(flagged(found, done, window)), sized.where("not found").select("id")
     )

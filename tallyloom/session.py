@@ -3,7 +3,10 @@
 import tempfile
 import uuid
 
+import pyarrow
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 _own_folders: dict[str, str] = {}
 
@@ -56,3 +59,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = fresh_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A table of a few known rows, held in the plan itself."""
+    struct = StructType.fromDDL(schema)
+    return spark.createDataFrame(
+        pyarrow.Table.from_pylist(rows, to_arrow_schema(struct)), struct
+    )
