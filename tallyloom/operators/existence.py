@@ -1,6 +1,6 @@
 """Which expected artifacts exist, and what is therefore pending."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -38,3 +38,13 @@ def required(df: DataFrame, lookup: DataFrame, key: str = "id") -> DataFrame:
     marked = lookup.withColumn("found", F.lit(True))
     joined = df.join(marked, key, "left")
     return joined.withColumn("found", F.coalesce("found", F.lit(False)))
+
+
+def accepted(df: DataFrame, check: Column) -> DataFrame:
+    """Rows that pass a check."""
+    return df.where(check)
+
+
+def quarantined(df: DataFrame, check: Column) -> DataFrame:
+    """The other rows: those that fail it, and those it cannot tell."""
+    return df.where(~F.coalesce(check, F.lit(False)))

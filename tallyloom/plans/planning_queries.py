@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from tallyloom import fixed
 from tallyloom.functions.costs import Quadratic
 from tallyloom.functions.sizes import in_window
+from tallyloom.functions.text import thousands
 from tallyloom.operators import batching, dimensions, existence, progress, scoring
+from tallyloom.operators.fit import fitted_cost, quadratic_fit
 from tallyloom.operators.ordered import by_size
 from tallyloom.plans import campaign
 from tallyloom.plans.registry import query, table
@@ -129,6 +131,51 @@ def progress_counts(spark, sf_dir):
     return rounded(campaign.progress(flags), "share")
 
 
+@query("row_counts", """SELECT name, n, format('{:,}', n) AS text FROM (
+  SELECT 'documents' AS name, count(*) AS n FROM documents
+  UNION ALL SELECT 'labels', count(*) FROM labels
+  UNION ALL SELECT 'lineitem', count(*) FROM lineitem)""")
+def row_counts(spark, sf_dir):
+    counts = [
+        table(spark, sf_dir, name).agg(F.lit(name).alias("name"), F.count("*").alias("n"))
+        for name in ("documents", "labels", "lineitem")
+    ]
+    rows = counts[0].unionAll(counts[1]).unionAll(counts[2])
+    return rows.select("name", "n", thousands(F.col("n")).alias("text"))
+
+
+@query("refitted_plan", """WITH p AS (
+  SELECT CAST(n_chars AS DOUBLE) AS a, CAST(n_chars AS DOUBLE) * n_chars AS b,
+    CAST(strlen(text) AS DOUBLE) AS y FROM documents),
+m AS (
+  SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS aa, var_pop(b) AS bb,
+    covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS b_y FROM p),
+c AS (
+  SELECT *, (b_y * aa - ay * ab) / (aa * bb - ab * ab) AS c2,
+    (ay * bb - b_y * ab) / (aa * bb - ab * ab) AS c1 FROM m),
+cost AS (SELECT c2, c1, my - c2 * mb - c1 * ma AS c0 FROM c),
+pend AS (
+  SELECT doc_id AS id, n_chars AS tokens FROM documents d
+  WHERE n_chars > 16 AND n_chars <= 6000
+    AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)),
+weighed AS (
+  SELECT id, tokens, ((c2 * tokens + c1) * tokens + c0) / 3600 AS weight FROM pend, cost),
+summed AS (
+  SELECT *, sum(weight) OVER (ORDER BY tokens, id ROWS UNBOUNDED PRECEDING) AS s FROM weighed)
+SELECT CAST(floor(floor(s) / 3) AS BIGINT) AS batch_id, count(*) AS no_of_sequences,
+  round(sum(weight), 3) AS predicted_runtime
+FROM summed GROUP BY ALL""")
+def refitted_plan(spark, sf_dir):
+    """Batches under a cost refitted from observations: bytes stand in for seconds."""
+    observed = table(spark, sf_dir, "documents").select(
+        "n_chars", F.octet_length("text").alias("seconds")
+    )
+    cost = fitted_cost(quadratic_fit(observed, "n_chars", "seconds"))
+    plan = campaign.plan_batches(sized(spark, sf_dir), done(spark, sf_dir), HOURS, cost)
+    summary = batching.batch_summary(plan).drop("label")
+    return summary.withColumn("predicted_runtime", F.round("predicted_runtime", 3))
+
+
 STAGES = ["inputs", "outputs", "predictions"]
 
 

@@ -1,5 +1,7 @@
 """Files whose path encodes their key."""
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -7,6 +9,8 @@ from pyspark.sql import functions as F
 from tallyloom import schemas
 from tallyloom.functions.names import path_regex
 
+_SCHEME = r"^[a-zA-Z][\w+.-]*:(//[^/]*)?(?=/)"
+
 
 def decoded_path() -> Column:
     """The scanned file's path as text."""
@@ -34,10 +38,8 @@ def scan_ids(spark: SparkSession, pattern: str) -> DataFrame:
         "path string",
         spark,
     )
-    no_scheme = r"^[a-zA-Z][\w+.-]*:(//[^/]*)?(?=/)"
-    bare = F.regexp_replace("path", no_scheme, "")
-    local = spark.range(1).select(F.regexp_replace(F.lit(pattern), no_scheme, "")).first()[0]
-    regex = path_regex(local)
+    bare = F.regexp_replace("path", _SCHEME, "")
+    regex = path_regex(re.sub(_SCHEME, "", pattern))
     return listed.where(bare.rlike(regex)).select(
         F.regexp_extract(bare, regex, 1).alias("id"), "path"
     )
