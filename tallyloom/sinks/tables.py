@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tallyloom import schemas
 from tallyloom.operators.batching import in_size_order
 from tallyloom.operators.compose import ordered
+from tallyloom.session import small_table
 
 # Most rows of a report rendered into one file.
 REPORT_ROWS = 10_000
@@ -35,9 +36,11 @@ def write_markdown(report: DataFrame, path: str) -> None:
     rule = ["---:" if n in numeric else ":---" for n in names]
     head = ["| " + " | ".join(names) + " |", "| " + " | ".join(rule) + " |"]
     cells = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names]
-    rows = report.select(F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("value"))
-    lines = report.sparkSession.createDataFrame([(h,) for h in head], "value string")
-    lines.coalesce(1).unionAll(rows).coalesce(1).write.text(path)
+    row = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    body = report.select(F.monotonically_increasing_id().alias("n"), row.alias("value"))
+    top = [{"n": i - len(head), "value": line} for i, line in enumerate(head)]
+    table = body.unionAll(small_table(report.sparkSession, top, "n bigint, value string"))
+    table.repartition(1).sortWithinPartitions("n").select("value").write.text(path)
 
 
 def fasta_record(id_: Column, sequence: Column) -> Column:
