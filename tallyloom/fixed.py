@@ -42,6 +42,12 @@ LOG_RUNTIME = (
     r"([-+]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][-+]?[0-9]+)?) seconds\.$"
 )
 LOG_DONE = r"^Done processing fold input (\S+)\.$"
+# Words that lines of these forms contain.
+LOG_WORDS = [
+    "Calculating bucket size for input with",
+    "Running model inference and extracting output structures",
+    "Done processing fold input",
+]
 WALL_CLOCK_MARKER = "Wall-clock"
 
 # Resources by total size; bounds are inclusive integers, None is open.

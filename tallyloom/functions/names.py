@@ -57,8 +57,11 @@ def batch_label(batch_id: Column, rows: Column, prefix: str = "predictions") ->
 
 
 def path_regex(pattern: str) -> str:
-    """Regex of a path pattern: the first hole captures, later holes must repeat it."""
-    first, *rest = [re.escape(p) for p in pattern.split("{id}")]
+    """Regex of a path pattern: the first hole captures, later holes must repeat it.
+
+    ``*`` stands for any characters of one path component.
+    """
+    first, *rest = [re.escape(p).replace(r"\*", "[^/]*") for p in pattern.split("{id}")]
     if not rest:
         raise ValueError("pattern needs an {id} hole")
     return "(?U)" + first + r"([\w.-]*)" + r"\1".join(rest) + "$"

@@ -12,7 +12,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.operators.skew import HOT_ROWS, hot_keys, split_hot
+from tallyloom.operators.skew import HOT_ROWS, hot_keys, split_hot, total
 from tallyloom.session import written
 
 # Most distinct sizes held as a broadcast histogram.
@@ -22,20 +22,23 @@ _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
 
 
-def slices(df: DataFrame, order: list[str], slice_rows: int = HOT_ROWS) -> DataFrame:
+def slices(
+    df: DataFrame, order: list[str], slice_rows: int = HOT_ROWS, rows: int | None = None
+) -> DataFrame:
     """Rows tagged with ``_slice``; slices follow each other in ``order``.
 
     Written once, because range bounds come from a sample and every later use
-    must see the same ones.
+    must see the same ones. ``rows`` saves a count where it is known.
     """
+    rows = df.count() if rows is None else rows
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(parts, -(-df.count() // slice_rows))
+    parts = max(parts, -(-rows // slice_rows))
     ranged = df.repartitionByRange(parts, *order)
     return written(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
-def _sliced_sum(df, value, order, by, out, frame, slice_rows):
-    sliced = slices(df, [*by, *order], slice_rows)
+def _sliced_sum(df, value, order, by, out, frame, slice_rows, rows=None):
+    sliced = slices(df, [*by, *order], slice_rows, rows)
     totals = sliced.groupBy(*by, "_slice").agg(F.sum(value).alias("_total"))
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(*_BEFORE)
     starts = totals.select(
@@ -79,7 +82,8 @@ def running_sum(
     cold = cold_rows.withColumn(out, F.coalesce(F.sum(value).over(window), F.lit(0)))
     if hot_part is None:
         return cold
-    return cold.unionByName(_sliced_sum(hot_part, value, order, by, out, frame, hot_rows))
+    warm = _sliced_sum(hot_part, value, order, by, out, frame, hot_rows, total(hot))
+    return cold.unionByName(warm)
 
 
 def previous_value(
@@ -98,7 +102,7 @@ def previous_value(
     if hot_part is None:
         return cold
 
-    sliced = slices(hot_part, [*by, *order], hot_rows)
+    sliced = slices(hot_part, [*by, *order], hot_rows, total(hot))
     ends = sliced.groupBy(*by, "_slice").agg(F.max_by(boxed, F.struct(*order)).alias("_end"))
     carried = ends.select(
         *[F.col(c).alias(f"_{c}") for c in by],
@@ -148,7 +152,8 @@ def by_size(
     found = counts.limit(max_sizes + 1).toArrow()
     popular = pyarrow.compute.max(found["_n"]).as_py() or 0
     if found.num_rows > max_sizes or popular > hot_rows:
-        return _by_size_sliced(df, size, tie, weight, names, hot_rows)
+        rows = pyarrow.compute.sum(found["_n"]).as_py() if found.num_rows <= max_sizes else None
+        return _by_size_sliced(df, size, tie, weight, names, hot_rows, rows)
 
     # At most max_sizes rows from here to the broadcast.
     histogram = df.sparkSession.createDataFrame(found, counts.schema)
@@ -173,8 +178,8 @@ def by_size(
     )
 
 
-def _by_size_sliced(df, size, tie, weight, names, slice_rows):
-    sliced = slices(df, [size, tie], slice_rows).withColumn(names.weight, weight)
+def _by_size_sliced(df, size, tie, weight, names, slice_rows, rows):
+    sliced = slices(df, [size, tie], slice_rows, rows).withColumn(names.weight, weight)
     totals = sliced.groupBy("_slice").agg(
         F.count("*").alias("_n"), F.sum(names.weight).alias("_w")
     )

@@ -21,6 +21,11 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFr
     return df.sparkSession.createDataFrame(found, counts.schema)
 
 
+def total(hot: DataFrame) -> int:
+    """Rows under all hot keys."""
+    return hot.agg(F.sum("_n")).first()[0]
+
+
 def same_keys(left: DataFrame, right: DataFrame, keys: list[str]):
     """Null-safe equality of all keys."""
     condition = F.lit(True)

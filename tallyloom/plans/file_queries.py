@@ -12,7 +12,7 @@ from tallyloom.plans.registry import query, table
 from tallyloom.session import fresh_folder
 from tallyloom.sinks import documents as document_sinks
 from tallyloom.sinks import tables as table_sinks
-from tallyloom.sources import documents, keylists, sequences, tables
+from tallyloom.sources import documents, keylists, listing, sequences, tables
 from tallyloom.sources.logs import scan_logs
 
 LETTERS = "[^A-Za-z]"
@@ -81,6 +81,17 @@ def input_json_roundtrip(spark, sf_dir):
     )
 
 
+@query("listing_roundtrip", "SELECT DISTINCT source AS id FROM documents")
+def listing_roundtrip(spark, sf_dir):
+    """Document ids in a folder per source; the sources come back from the paths alone."""
+    folder = fresh_folder(spark, "listing")
+    rows = table(spark, sf_dir, "documents").select(
+        "source", F.col("doc_id").cast("string").alias("value")
+    )
+    rows.write.partitionBy("source").text(folder)
+    return listing.scan_ids(spark, f"{folder}/source={{id}}/part-*").select("id").distinct()
+
+
 @query("composed_json_roundtrip", f"""WITH s AS (
   SELECT DISTINCT {jobname_sql("s_name")} AS a, s_name, {jobname_sql("n_name")} AS b, n_name
   FROM supplier JOIN nation ON s_nationkey = n_nationkey)

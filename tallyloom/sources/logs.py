@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import lines_of, log_captures
+from tallyloom.functions.text import lines_of, log_captures, may_capture
 from tallyloom.operators.events import assemble_events
 from tallyloom.operators.skew import HOT_ROWS
 from tallyloom.sources.listing import decoded_path
@@ -47,7 +47,7 @@ def runtime_observations(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Finished inputs with their size and runtime, from log lines."""
-    captured = lines.select(
+    captured = lines.where(may_capture(F.col("line"))).select(
         *by, *order, *[c.alias(n) for n, c in log_captures(F.col("line")).items()]
     )
     return assemble_events(

@@ -10,7 +10,8 @@ def spark(tmp_path_factory):
         4,
         **{
             "spark.checkpoint.dir": str(folder),
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
+            "spark.default.parallelism": "2",
             "spark.driver.memory": "4g",
         },
     )
