@@ -16,6 +16,7 @@ def has_marker(line: Column, marker: str = fixed.WALL_CLOCK_MARKER) -> Column:
 
 
 def _captured(line: Column, pattern: str) -> Column:
+    """The pattern's group, NULL without a match: casting an empty text is slow."""
     return F.nullif(F.regexp_extract(line, pattern, 1), F.lit(""))
 
 

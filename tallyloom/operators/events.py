@@ -17,14 +17,13 @@ def segments(
 ) -> DataFrame:
     """Runs of rows that end at a row with ``done``, each with its last captures.
 
-    Rows without any capture are dropped first: they change nothing. ``closed``
-    is false for the rows after a group's last ``done``.
+    ``closed`` is false for the rows after a group's last ``done``. Rows without
+    any capture change nothing; drop them beforehand where that is cheap to tell.
     """
     captures = [*captures, done]
-    some = F.coalesce(*[F.col(c).cast("string") for c in captures]).isNotNull()
-    kept = df.select(*by, *order, *captures).where(some)
     is_done = F.col(done).isNotNull().cast("bigint")
-    numbered = running_sum(kept, is_done, order, "_segment", by, False, hot_rows, counted=df)
+    needed = df.select(*by, *order, *captures)
+    numbered = running_sum(needed, is_done, order, "_segment", by, False, hot_rows)
     place = F.struct(*order)
     last = [F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in captures]
     return (

@@ -136,7 +136,7 @@ def captured_events(rows):
     def when(kind, value):
         return F.when(F.col("event_type") == kind, value)
 
-    return rows.select(
+    return rows.where(F.col("event_type").isin("view", "click", "purchase")).select(
         "user_id",
         *EVENT_ORDER,
         when("view", F.get_json_object("props", "$.k").cast("bigint")).alias("n_tokens"),

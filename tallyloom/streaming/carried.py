@@ -113,7 +113,8 @@ def stream_events(
         runs = segments(rows, by, place, captures, done, hot_rows)
         closed = runs.where("closed").drop("closed").withColumn("complete", complete)
         types = dict(rows.dtypes)
-        carry = runs.where("not closed").select(
+        open_ = F.coalesce(*[F.col(c).cast("string") for c in captures]).isNotNull()
+        carry = runs.where(~F.col("closed") & open_).select(
             *by, *captures, done, *[F.lit(None).cast(types[c]).alias(c) for c in order]
         )
         return closed, carry
