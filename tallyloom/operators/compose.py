@@ -68,23 +68,27 @@ def compose(
         counted=expanded(keys, "id", delimiter),
     )
     # At most MAX_MEMBERS rows per id.
-    member = F.struct(F.col("_name").alias("name"), "_entry", F.col("_single").alias("single"))
-    grouped = wide.groupBy("id").agg(ordered(F.col("pos"), member).alias("_all"))
+    place = F.struct("pos", F.col("_name").alias("name"), F.col("_entry").alias("entry"))
+    grouped = wide.groupBy("id").agg(
+        F.sort_array(F.collect_list(place)).alias("_all"),
+        F.count_if(F.col("_single").isNull()).alias("_missing"),
+        F.count_if(~F.col("_single")).alias("_odd"),
+    )
     count = F.size(members_of(F.col("id"), delimiter))
     status = (
         F.when(count > fixed.MAX_MEMBERS, "too_many_members")
-        .when(F.exists("_all", lambda m: m["single"].isNull()), "missing_member")
-        .when(F.exists("_all", lambda m: ~m["single"]), "not_single")
+        .when(F.col("_missing") > 0, "missing_member")
+        .when(F.col("_odd") > 0, "not_single")
         .otherwise("ok")
     )
     reletter = reletter_raw if field == "entries" else reletter_parsed
     ok = F.col("status") == "ok"
-    return grouped.withColumn("status", status).select(
+    return grouped.withColumns({"status": status, "members": count.cast("bigint")}).select(
         "id",
         F.when(ok, F.array_join("_all.name", fixed.MEMBER_DELIMITER)).alias("name"),
-        count.cast("bigint").alias("members"),
+        "members",
         "status",
-        F.when(ok, reletter(F.col("_all._entry"))).alias(field),
+        F.when(ok, reletter(F.col("_all.entry"))).alias(field),
     )
 
 

@@ -39,7 +39,7 @@ def fasta_roundtrip(spark, sf_dir):
   CAST(sum(length(p_name)) AS BIGINT) AS letters
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey""")
 def complex_fasta(spark, sf_dir):
-    """Orders as complexes of their parts: one many-record text per order, read back."""
+    """Orders as complexes of their parts: member records written, read back, counted per order."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", F.col("l_partkey").alias("p_partkey")
     )

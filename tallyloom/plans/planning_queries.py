@@ -381,13 +381,13 @@ def _load_reciprocal():
     def step(row):
         if row["tokens"] < 100:
             raise ValueError("too short")
-        return round(1000.0 / row["tokens"], 6)
+        return row["tokens"] / 8
 
     return step
 
 
 @query("per_row_step", f"""SELECT id, tokens,
-  CASE WHEN tokens >= 100 THEN round(1000.0 / tokens, 6) END AS result,
+  CASE WHEN tokens >= 100 THEN tokens / 8 END AS result,
   CASE WHEN tokens < 100 THEN 'ValueError: too short' END AS error
 FROM ({SIZED_SQL}) WHERE tokens > 16 AND tokens <= 6000
   AND id NOT IN (SELECT doc_id FROM labels)""")

@@ -45,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A path not used before under the shared folder."""
+    """A path not used before under the shared folder, which is scratch to be emptied later."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 

@@ -22,7 +22,11 @@ def write_plan(plan: DataFrame, path: str, refresh: bool = False) -> None:
 def write_manifests(
     plan: DataFrame, path: str, paths: list[Column], by: str = "batch_id"
 ) -> None:
-    """One path per line, in a folder per ``by`` value; all rows are listed."""
+    """One path per line, in a folder per ``by`` value; all rows are listed.
+
+    For as many batches as a file system holds folders; a larger campaign reads
+    its batches from the written plan, which is laid out by batch.
+    """
     lines = plan.select(by, F.explode(F.array(*paths)).alias("value"))
     lines.repartition(by).write.partitionBy(by).text(path)
 

@@ -6,31 +6,42 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text import lines_of, log_captures, may_capture
 from tallyloom.operators.events import assemble_events
 from tallyloom.operators.skew import HOT_ROWS
+from tallyloom.session import written
 from tallyloom.sources.listing import decoded_path
 
 
-def scan_logs(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, line_no, line)`` of every line, right-trimmed, numbered from 0 in its file.
+def log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, block, place, line)`` of every line, right-trimmed.
 
-    Logs are read by block, so a huge one is shared by many tasks. Lines are
-    numbered inside their block and shifted by the lines of the blocks before.
+    Logs are read by block, so a huge one is shared by many tasks; ``block`` and
+    ``place`` give the order of lines in a file. They hold for this scan alone.
     """
-    lines = spark.read.text(path).select(
+    return spark.read.text(path).select(
         decoded_path().alias("file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_place"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
         F.regexp_replace("value", r"\s+$", "").alias("line"),
     )
-    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def scan_logs(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, line_no, line)`` of every line, numbered from 0 in its file.
+
+    Lines are numbered inside their block and shifted by the lines of the blocks
+    before. The scan is written once, since counts and lines must see the same
+    blocks; where only the order matters, :func:`log_lines` is enough.
+    """
+    lines = written(log_lines(spark, path), "logs")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        lines.groupBy("file", "_block")
+        lines.groupBy("file", "block")
         .agg(F.count("*").alias("_n"))
-        .select("file", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        .select("file", "block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
-    inside = F.row_number().over(Window.partitionBy("file", "_block").orderBy("_place"))
+    inside = F.row_number().over(Window.partitionBy("file", "block").orderBy("place"))
     return (
         lines.withColumn("_inside", inside)
-        .join(starts, ["file", "_block"])
+        .join(starts, ["file", "block"])
         .select("file", (F.col("_start") + F.col("_inside") - 1).alias("line_no"), "line")
     )
 
@@ -43,7 +54,7 @@ def text_lines(df: DataFrame, text: str, *keep: str) -> DataFrame:
 def runtime_observations(
     lines: DataFrame,
     by: tuple[str, ...] = ("file",),
-    order: tuple[str, ...] = ("line_no",),
+    order: tuple[str, ...] = ("block", "place"),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Finished inputs with their size and runtime, from log lines."""

@@ -173,9 +173,30 @@ def test_runtime_observations(spark, tmp_path, rows):
     size = "w x y z Calculating bucket size for input with {} tokens."
     put(tmp_path / "1.txt", "\n".join([LOG[0], LOG[1], LOG[4], size.format(7), size.format(9), LOG[3], done_b, size.format(5)]) + "\n")
     put(tmp_path / "2.txt", "\n".join([LOG[4], "noise", LOG[0]]) + "\n")
-    found = logs.runtime_observations(logs.scan_logs(spark, str(tmp_path)))
-    assert rows(found, "n_tokens", "runtime_sec", "done_processing", "complete") == [
-        (100, 12.5, "aa", True), (9, 10.0, "bb", True), (None, None, "aa", False),
+    expected = [(100, 12.5, "aa", True), (9, 10.0, "bb", True), (None, None, "aa", False)]
+    columns = ["n_tokens", "runtime_sec", "done_processing", "complete"]
+    ordered = logs.runtime_observations(logs.log_lines(spark, str(tmp_path)))
+    assert rows(ordered, *columns) == expected
+    numbered = logs.scan_logs(spark, str(tmp_path))
+    assert rows(logs.runtime_observations(numbered, order=("line_no",)), *columns) == expected
+
+
+@pytest.mark.parametrize("hot_rows", [2_000_000, 40])
+def test_observations_of_one_long_log_read_in_blocks(spark, tmp_path, hot_rows):
+    size = "w x y z Calculating bucket size for input with {} tokens."
+    took = "Running model inference and extracting output structures for seeds (4,) took {} seconds."
+    text = []
+    for n in range(200):
+        text += [size.format(n), "noise", took.format(n / 2), f"Done processing fold input i{n}."]
+    put(tmp_path / "long.txt", "\n".join(text) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    try:
+        lines = logs.log_lines(spark, str(tmp_path))
+        found = logs.runtime_observations(lines, hot_rows=hot_rows).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r["n_tokens"], r["runtime_sec"], r["done_processing"]) for r in found) == [
+        (n, n / 2, f"i{n}") for n in range(200)
     ]
 
 
