@@ -1,5 +1,7 @@
 """Composing many-member records from single-member ones."""
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tallyloom.operators.skew import HOT_ROWS, lookup_join
 
 
 def members_of(key: Column, delimiter: str = fixed.MEMBER_DELIMITER) -> Column:
-    return F.split(key, "\\Q" + delimiter + "\\E")
+    return F.split(key, re.escape(delimiter))
 
 
 def ordered(position: Column, value: Column) -> Column:

@@ -141,17 +141,15 @@ def by_size(
 
     ``weight`` is an expression over ``size`` alone, so equal sizes weigh the
     same. A histogram of sizes then carries all sums, and a row needs only its
-    rank among rows of its own size: no window spans the table. Sizes without
-    a histogram of bounded length, or one with a size too popular for one
-    task, go through slices instead.
+    rank among rows of its own size: no window spans the table, and sums do not
+    depend on how rows are spread. With a size too popular for one task, ranks
+    come from slices; with too many sizes for a histogram, sums do as well.
     """
     weight = F.lit(1.0) if weight is None else weight
     counts = df.groupBy(size).agg(F.count("*").alias("_n"))
     found = counts.limit(max_sizes + 1).toArrow()
-    popular = pyarrow.compute.max(found["_n"]).as_py() or 0
-    if found.num_rows > max_sizes or popular > hot_rows:
-        rows = pyarrow.compute.sum(found["_n"]).as_py() if found.num_rows <= max_sizes else None
-        return _by_size_sliced(df, size, tie, weight, names, hot_rows, rows)
+    if found.num_rows > max_sizes:
+        return _by_size_sliced(df, size, tie, weight, names, hot_rows)
 
     # At most max_sizes rows from here to the broadcast.
     histogram = df.sparkSession.createDataFrame(found, counts.schema)
@@ -163,10 +161,19 @@ def by_size(
         F.coalesce(F.sum(F.col("_n") * F.col("_w")).over(smaller), F.lit(0.0)).alias("_sum"),
     )
     # Rank first: the shuffle then carries nothing that the broadcast can add later.
-    rank = F.row_number().over(Window.partitionBy(size).orderBy(tie))
+    if (pyarrow.compute.max(found["_n"]).as_py() or 0) > hot_rows:
+        total_rows = pyarrow.compute.sum(found["_n"]).as_py()
+        counted = _sliced_sum(
+            df, F.lit(1), [size, tie], [], "_ordinal", _UP_TO, hot_rows, total_rows
+        )
+        rank = F.col("_ordinal") - F.col("_rows")
+    else:
+        local = Window.partitionBy(size).orderBy(tie)
+        counted = df.withColumn("_ordinal", F.row_number().over(local))
+        rank = F.col("_ordinal")
     return (
-        df.withColumn("_rank", rank)
-        .join(F.broadcast(starts), F.col(size).eqNullSafe(F.col("_size")))
+        counted.join(F.broadcast(starts), F.col(size).eqNullSafe(F.col("_size")))
+        .withColumn("_rank", rank)
         .select(
             *df.columns,
             (F.col("_rows") + F.col("_rank") - 1).cast("bigint").alias(names.position),
@@ -176,8 +183,8 @@ def by_size(
     )
 
 
-def _by_size_sliced(df, size, tie, weight, names, slice_rows, rows):
-    sliced = slices(df, [size, tie], slice_rows, rows).withColumn(names.weight, weight)
+def _by_size_sliced(df, size, tie, weight, names, slice_rows):
+    sliced = slices(df, [size, tie], slice_rows).withColumn(names.weight, weight)
     totals = sliced.groupBy("_slice").agg(
         F.count("*").alias("_n"), F.sum(names.weight).alias("_w")
     )

@@ -203,7 +203,7 @@ def manifest_roundtrip(spark, sf_dir):
 FROM events""")
 def score_table(spark, sf_dir):
     """Confidence summaries as JSON, read with declared fields."""
-    k = F.get_json_object("props", "$.k").cast("double") / 100
+    k = F.get_json_object("props", "$.k").try_cast("double") / 100
     scores = table(spark, sf_dir, "events").select(
         F.to_json(
             F.struct(

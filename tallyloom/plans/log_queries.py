@@ -139,7 +139,7 @@ def captured_events(rows):
     return rows.where(F.col("event_type").isin("view", "click", "purchase")).select(
         "user_id",
         *EVENT_ORDER,
-        when("view", F.get_json_object("props", "$.k").cast("bigint")).alias("n_tokens"),
+        when("view", F.get_json_object("props", "$.k").try_cast("bigint")).alias("n_tokens"),
         when("click", F.col("value")).alias("runtime_sec"),
         when("purchase", F.col("event_id")).alias("done"),
     )

@@ -137,7 +137,7 @@ def token_count(spark, sf_dir):
     AS confidence
 FROM events""")
 def json_field(spark, sf_dir):
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     return table(spark, sf_dir, "events").select(
         "event_id",
         k.alias("k"),

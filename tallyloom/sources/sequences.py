@@ -26,7 +26,7 @@ def read_fasta(spark: SparkSession, path: str, stop: int | None = None) -> DataF
     if stop is not None:
         records = records.orderBy("file", "_block", "_place").limit(stop)
     text = F.regexp_replace("value", "^>", "")
-    parts = F.split(text, "\r?\n|\r", 2)
+    parts = F.split(text, "\n", 2)
     return records.select(
         "file",
         F.regexp_extract(F.get(parts, F.lit(0)), r"^\s*(\S*)", 1).alias("id"),

@@ -174,6 +174,12 @@ def test_batches_keep_every_row_once_in_size_order(spark, limits, hours):
     assert total == pytest.approx(sum(r["weight"] for r in found))
 
 
+def test_a_popular_size_changes_no_digit(spark, rows):
+    rng = random.Random(4)
+    df = sized(spark, [rng.choice([500, rng.randrange(17, 6001)]) for _ in range(500)])
+    assert rows(assign_batches(df, hot_rows=20)) == rows(assign_batches(df))
+
+
 def test_batch_ids_skip_where_one_row_costs_more(spark):
     plan = assign_batches(sized(spark, [6000] * 4), hours=1)
     assert [r["batch_id"] for r in plan.orderBy("pos").collect()] == [1, 2, 3, 5]
