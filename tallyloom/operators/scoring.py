@@ -2,6 +2,9 @@
 
 A scorer is made once per task by ``load()`` and then called with one pandas
 frame at a time; it returns a frame with the columns of ``schema``.
+
+Rows are few bytes but much work, so the number of tasks is always given: a
+shuffle left to adaptive execution would be merged into a handful of tasks.
 """
 
 from collections.abc import Callable, Iterator
@@ -13,6 +16,10 @@ from pyspark.sql import types as T
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
 
 
+def _tasks(df: DataFrame, partitions: int | None) -> int:
+    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _batches(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
     """Regroup Arrow chunks of key-sorted rows into one frame per key."""
     held: list[pd.DataFrame] = []
@@ -40,7 +47,7 @@ def score_batches(
         for batch in _batches(frames, "batch_id"):
             yield scorer(batch)
 
-    placed = plan.repartition(*([partitions] if partitions else []), "batch_id")
+    placed = plan.repartition(_tasks(plan, partitions), "batch_id")
     return placed.sortWithinPartitions("batch_id", *order).mapInPandas(run, schema)
 
 
@@ -58,11 +65,16 @@ def score_all(
         for frame in frames:
             yield scorer(frame)
 
-    placed = df.repartitionByRange(*([partitions] if partitions else []), *order)
+    placed = df.repartitionByRange(_tasks(df, partitions), *order)
     return placed.sortWithinPartitions(*order).mapInPandas(run, schema)
 
 
-def run_each(df: DataFrame, load: Callable[[], Callable[[dict], object]], result: str = "double"):
+def run_each(
+    df: DataFrame,
+    load: Callable[[], Callable[[dict], object]],
+    result: str = "double",
+    partitions: int | None = None,
+) -> DataFrame:
     """Apply a step to each row by itself; a row's error is kept in ``error``, the rest go on."""
     schema = T.StructType(
         [*df.schema.fields]
@@ -82,4 +94,5 @@ def run_each(df: DataFrame, load: Callable[[], Callable[[dict], object]], result
                     errors.append(f"{type(error).__name__}: {error}")
             yield frame.assign(result=results, error=errors)
 
-    return df.mapInPandas(run, schema)
+    placed = df.repartition(_tasks(df, partitions), *df.columns)
+    return placed.mapInPandas(run, schema)

@@ -327,9 +327,8 @@ def test_complex_fasta_and_manifests(spark, tmp_path, rows):
         [("a+b", 1, "b", "VV"), ("a+b", 0, "a", "MK")], "complex string, pos int, id string, seq string"
     )
     table_sinks.write_complex_fasta(members, str(tmp_path / "f"))
-    assert texts(tmp_path / "f" / "complex=a%2Bb") == [">a", "MK", ">b", "VV"] if (
-        tmp_path / "f" / "complex=a%2Bb"
-    ).exists() else texts(tmp_path / "f" / "complex=a+b") == [">a", "MK", ">b", "VV"]
+    (folder,) = (tmp_path / "f").glob("complex=*")
+    assert texts(folder) == [">a", "MK", ">b", "VV"]
     plan = spark.createDataFrame([("x", 0), ("y", 0), ("z", 4)], "id string, batch_id bigint")
     table_sinks.write_manifests(plan, str(tmp_path / "m"), [F.concat("id", F.lit(".a3m")), F.concat("id", F.lit(".m8"))])
     assert sorted(texts(tmp_path / "m" / "batch_id=0")) == ["x.a3m", "x.m8", "y.a3m", "y.m8"]

@@ -41,6 +41,16 @@ def test_score_all(spark):
     assert sorted(found["id"]) == list(range(1000))
 
 
+def test_scoring_keeps_its_tasks(spark):
+    """Adaptive execution merges small shuffles, but not these."""
+    for scored in (
+        score_batches(plan(spark), load, SCHEMA, partitions=5),
+        score_all(plan(spark), load, SCHEMA, partitions=5),
+        run_each(plan(spark), lambda: lambda row: 1.0, partitions=5),
+    ):
+        assert scored.rdd.getNumPartitions() == 5
+
+
 def test_chunks_regroup():
     frames = [pd.DataFrame({"b": b}) for b in ([0, 0], [0, 1], [1], [2, 3])]
     assert [f["b"].tolist() for f in _batches(iter(frames), "b")] == [[0, 0, 0], [1, 1], [2], [3]]
