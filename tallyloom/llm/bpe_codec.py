@@ -46,7 +46,7 @@ class Encoder:
         return -1
 
     def word(self, symbols: str) -> list[int]:
-        lengths, fits, pairs = self.lengths, self.v.fits, self.v.pairs
+        lengths, shorter, fits, pairs = self.lengths, self.shorter, self.v.fits, self.v.pairs
         n = len(symbols)
         longest = [-1] * (n + 1)
         for end, token in self.matches.iter(symbols):  # of one start, later ends are longer
