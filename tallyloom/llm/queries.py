@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec
+from tallyloom.llm import bpe_codec, token_counts
 from tallyloom.plans.registry import Query, table
 
 #: The vocabulary's file; a parameter of every operator that uses one.
@@ -38,3 +38,8 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op5_token_counts")
+def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), WORD_VOCABULARY, keep=["doc_id"])

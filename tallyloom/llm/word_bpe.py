@@ -17,7 +17,7 @@ WORD_END = "</w>"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 
 #: White space that parts words, as code points of the Unicode property.
-WHITE = "\t\n\v\f\r \x85\xa0  -     　"
+WHITE = "\t\n\v\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Controls that str.split() takes for white space, but the vocabulary takes for symbols.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SEGMENT = re.compile(f"[^{WHITE}]+")
