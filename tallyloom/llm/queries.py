@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, token_counts
+from tallyloom.llm import bpe_codec, quality_rules, token_counts
 from tallyloom.plans.registry import Query, table
 
 #: The vocabulary's file; a parameter of every operator that uses one.
@@ -43,3 +43,50 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_token_counts")
 def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), WORD_VOCABULARY, keep=["doc_id"])
+
+
+_W = r"[^\x20\x09-\x0D]+"
+_QUALITY_COUNTS = f"""
+split_texts AS (
+    SELECT doc_id, coalesce(text, '') AS body,
+        regexp_extract_all(coalesce(text, ''), '{_W}') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_W}')) AS lines
+    FROM documents),
+windows AS (
+    SELECT *, list_transform(range(1, greatest(len(words) - 1, 1)),
+        lambda i: {{'w': words[i] || ' ' || words[i + 1] || ' ' || words[i + 2], 'place': i}}) AS tri FROM split_texts),
+places AS (
+    SELECT doc_id, unnest(tri) AS t FROM windows),
+repeated AS (
+    SELECT doc_id, t.place AS place FROM places
+    QUALIFY count(*) OVER (PARTITION BY doc_id, t.w) > 1),
+covered AS (
+    SELECT doc_id, count(DISTINCT place + k) AS n FROM repeated, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+counts AS (
+    SELECT s.doc_id, len(words)::BIGINT AS n_words,
+        length(array_to_string(words, ''))::BIGINT AS word_chars,
+        (length(body) - length(translate(body, '{quality_rules.SYMBOLS}', '')))::BIGINT AS n_symbols,
+        len(lines)::BIGINT AS n_lines,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+        coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+        len(list_filter(words, lambda x: lower(x) IN ({", ".join(f"'{w}'" for w in sorted(set(quality_rules.STOP_WORDS)))})))::BIGINT AS n_stop_words
+    FROM split_texts s LEFT JOIN covered c USING (doc_id))"""
+
+
+def _holds(rules: list[quality_rules.Rule]) -> str:
+    parts = []
+    for r in rules:
+        metric = quality_rules.METRICS[r.metric]
+        parts += [f"coalesce({metric} >= {r.least}, true)"] if r.least is not None else []
+        parts += [f"coalesce({metric} <= {r.most}, true)"] if r.most is not None else []
+    return " AND ".join(parts)
+
+
+@query(
+    "op4_quality_rules",
+    f"""WITH {_QUALITY_COUNTS},
+    judged AS (SELECT *, NOT ({_holds(quality_rules.BASE)}) AS base_failed FROM counts)
+    SELECT *, NOT base_failed AND {_holds(quality_rules.RULES)} AS kept FROM judged""",
+)
+def judge_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
