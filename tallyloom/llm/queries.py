@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, quality_rules, token_counts
+from tallyloom.llm import bpe_codec, minhash_join, quality_rules, token_counts
 from tallyloom.plans.registry import Query, table
 
 #: The vocabulary's file; a parameter of every operator that uses one.
@@ -90,3 +90,8 @@ def _holds(rules: list[quality_rules.Rule]) -> str:
 )
 def judge_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+@query("op8_near_duplicates")
+def find_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(documents(spark, sf_dir))
