@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, minhash_join, quality_rules, token_counts
+from tallyloom.llm import bpe_codec, minhash_join, quality_rules, token_counts, unit_dedup
 from tallyloom.plans.registry import Query, table
 
 #: The vocabulary's file; a parameter of every operator that uses one.
@@ -95,3 +95,11 @@ def judge_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_near_duplicates")
 def find_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op6_repeated_units")
+def remove_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that lose passages, with what is left of them and the spans that went."""
+    source = documents(spark, sf_dir).select("doc_id", "text")
+    spans = unit_dedup.repeated_spans(source)
+    return unit_dedup.without_spans(source, spans).drop("text")
