@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, minhash_join, quality_rules, token_counts, unit_dedup
+from tallyloom.llm import bpe_codec, line_dedup, minhash_join, quality_rules, token_counts, unit_dedup
 from tallyloom.plans.registry import Query, table
 
 #: The vocabulary's file; a parameter of every operator that uses one.
@@ -103,3 +103,12 @@ def remove_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = documents(spark, sf_dir).select("doc_id", "text")
     spans = unit_dedup.repeated_spans(source)
     return unit_dedup.without_spans(source, spans).drop("text")
+
+
+@query("op9_shared_lines")
+def remove_shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that lose lines, with the lines' numbers and what is left."""
+    source = documents(spark, sf_dir).select("doc_id", "text")
+    shared = line_dedup.shared_lines(source)
+    left = line_dedup.without_lines(source.join(shared.select("doc_id"), "doc_id", "left_semi"), shared)
+    return shared.join(left.withColumnRenamed("text", "kept_text"), "doc_id")
