@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, line_dedup, minhash_join, quality_rules, token_counts, unit_dedup
+from tallyloom.llm import bpe_codec, line_dedup, minhash_join, quality_rules, templates, token_counts, unit_dedup
 from tallyloom.plans.registry import Query, table
 
 #: The vocabulary's file; a parameter of every operator that uses one.
@@ -112,3 +112,8 @@ def remove_shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared = line_dedup.shared_lines(source)
     left = line_dedup.without_lines(source.join(shared.select("doc_id"), "doc_id", "left_semi"), shared)
     return shared.join(left.withColumnRenamed("text", "kept_text"), "doc_id")
+
+
+@query("op3_contaminated")
+def find_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
