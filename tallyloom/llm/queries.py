@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, line_dedup, minhash_join, quality_rules, templates, token_counts, unit_dedup
+from tallyloom.llm import bpe_codec, line_dedup, minhash_join, quality_rules, templates, token_counts, unit_dedup, url_filter
 from tallyloom.plans.registry import Query, table
 
 #: The vocabulary's file; a parameter of every operator that uses one.
@@ -117,3 +117,8 @@ def remove_shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_contaminated")
 def find_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_url_filter")
+def filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
