@@ -169,9 +169,15 @@ def shared_lines(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
 
 def without_lines(documents: DataFrame, shared: DataFrame) -> DataFrame:
     """``documents`` with the lines in ``shared`` cut out of their texts; other rows as they are.
-    Texts lose whole lines with their line feeds, all columns and rows stay."""
+
+    Whole lines go, with their line feeds; all rows and columns stay, and ``n_chars``, where it
+    is there, is the new length of a changed text.
+    """
     lost = shared.select(F.col("doc_id").alias("_doc"), F.col("lines").alias("_lost"))
-    rest = "filter(split(text, '\\n'), (x, i) -> NOT array_contains(_lost, i))"
-    text = F.expr(f"IF(_lost IS NULL, text, array_join({rest}, '\\n'))")
     joined = documents.join(lost, documents.doc_id == lost._doc, "left")
-    return joined.withColumn("text", text).select(*[F.col(f"`{c}`") for c in documents.columns])
+    rest = "filter(split(text, '\\n'), (x, i) -> NOT array_contains(_lost, i))"
+    joined = joined.withColumn("text", F.expr(f"IF(_lost IS NULL, text, array_join({rest}, '\\n'))"))
+    if "n_chars" in documents.columns:
+        length = F.expr("IF(_lost IS NULL, n_chars, length(text))").cast(documents.schema["n_chars"].dataType)
+        joined = joined.withColumn("n_chars", length)
+    return joined.select(*[F.col(f"`{c}`") for c in documents.columns])

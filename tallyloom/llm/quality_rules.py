@@ -90,10 +90,11 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
         + ", x -> array(x.at, x.at + 1, x.at + 2)))))",
         "n_stop_words": f"size(filter(_words, x -> lower(x) IN ({stops})))",
     }
-    return step.select(
-        *[F.col(k).alias(c) for k, c in zip(keys, kept, strict=True)],
-        *[F.expr(f"CAST({counts[c]} AS BIGINT)").alias(c) for c in COUNTS],
-    )
+    # One row made by a generator: later filters can't be pushed below it, where the counts
+    # would be computed again for each use.
+    made = ", ".join(f"'{c}', CAST({counts[c]} AS BIGINT)" for c in COUNTS)
+    step = step.select(*keys, F.expr(f"inline(array(named_struct({made})))"))
+    return step.select(*[F.col(k).alias(c) for k, c in zip(keys, kept, strict=True)], *COUNTS)
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words"]
@@ -115,7 +116,13 @@ def judged(
     df: DataFrame, text: str = "text", rules: list[Rule] = RULES, base: list[Rule] = BASE
 ) -> DataFrame:
     """``measured`` with ``base_failed`` and ``kept``: neither the base nor a rule is broken."""
-    got = measured(df.drop("base_failed", "kept") if text not in ("base_failed", "kept") else df, text)
+    got = measured(df, text).drop("base_failed", "kept")
     return got.withColumn("base_failed", ~compiled(base)).withColumn(
         "kept", ~F.col("base_failed") & compiled(rules)
     )
+
+
+def kept_rows(df: DataFrame, rules: list[Rule] = RULES, base: list[Rule] = BASE) -> DataFrame:
+    """The rows of ``df``, as they are, whose column ``text`` keeps all rules."""
+    packed = df.select(F.struct("*").alias("_row"), F.col("text").alias("text"))
+    return judged(packed, rules=rules, base=base).where("kept").select("_row.*")

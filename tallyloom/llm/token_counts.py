@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tallyloom.llm.rows import with_columns
-from tallyloom.llm.word_bpe import END, WHITE, Vocabulary, compiled, normalise, words
+from tallyloom.llm.word_bpe import END, WHITE, Vocabulary, compiled, normalise, segments, words
 
 #: States a Python worker keeps before it compiles anew; a bound on memory, not on texts.
 STATES = 150_000
+#: Stretches whose counts a Python worker remembers.
+SEGMENTS = 300_000
 #: Characters of one chunk.
 CHUNK = 1 << 16
 #: What may follow an apostrophe that begins a word, as whole words.
@@ -34,10 +36,10 @@ _BREAK = regex.compile(f"[{WHITE}]")
 class _State(dict):
     """Transitions by character, each (next state, change of the count)."""
 
-    __slots__ = ("key", "machine")
+    __slots__ = ("closing", "key", "machine")
 
     def __missing__(self, char: str):
-        self[char] = found = self.machine.transition(self.key, char)
+        self[char] = found = self.machine.transition(self, char)
         return found
 
 
@@ -47,36 +49,64 @@ class _State(dict):
 _EMPTY = ("", ((0, -1, 0),))
 
 
+class _Closed(dict):
+    """Counts of stretches without white space, from the start state and back to it."""
+
+    def __init__(self, machine: "Transducer"):
+        self.machine = machine
+
+    def __missing__(self, segment: str) -> int:
+        if len(self) >= SEGMENTS:
+            self.clear()
+        self[segment] = found = self.machine.run(segment + " ")[1]
+        return found
+
+
 class Transducer:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.heads = {s[:n] for s in vocabulary.by_symbols for n in range(1, len(s))}
         self.states: dict[tuple, _State] = {}
         self.start = self.state(("start",))
+        self.closed = _Closed(self)
 
     def state(self, key: tuple) -> _State:
         found = self.states.get(key)
         if found is None:
             self.states[key] = found = _State()
-            found.key, found.machine = key, self
+            found.key, found.machine, found.closing = key, self, None
         return found
 
     def step(self, tail: tuple, symbol: str) -> tuple[tuple, int]:
         """The tail after one more symbol, and the change of the count."""
         text, places = tail
         text += symbol
-        token_of, heads, n = self.v.by_symbols.get, self.heads, len(text)
+        token_of, heads, pairs, n = self.v.by_symbols.get, self.heads, self.v.pairs, len(text) - 1
+        token, kept = None, []
         for size, before, at in places:
-            token = token_of(text[n - size - 1 :])
-            if token is not None and (before < 0 or self.v.fits(before, token)):
-                break
-        change = at + 1
-        kept = [(size + 1, last, c - change) for size, last, c in places if text[n - size - 1 :] in heads]
+            suffix = text[n - size :]
+            if token is None:
+                found = token_of(suffix)
+                if found is not None:
+                    if before >= 0:
+                        fit = pairs.get((before, found))
+                        if self.v.fits(before, found) if fit is None else fit:
+                            token, change = found, at + 1
+                    else:
+                        token, change = found, at + 1
+            if suffix in heads:
+                kept.append((size + 1, before, at))
+        kept = [(size, last, at - change) for size, last, at in kept]
         kept.append((0, token, 0))
-        return (text[n - kept[0][0] :], tuple(kept)), change
+        return (text[n + 1 - kept[0][0] :], tuple(kept)), change
 
     def grow(self, tail: tuple, pending: str, char: str) -> tuple[tuple, str, int]:
         """A word with its last symbol pending takes one more character."""
+        if char < "\x80":
+            if not pending:
+                return tail, char, 0
+            tail, change = self.step(tail, pending)
+            return tail, char, change
         symbols = pending + char.encode("utf-8").decode("latin-1")
         total = 0
         for symbol in symbols[:-1]:
@@ -85,9 +115,17 @@ class Transducer:
         return tail, symbols[-1], total
 
     def close(self, tail: tuple, pending: str) -> int:
-        return self.step(tail, chr(END + ord(pending)))[1]
+        """The change of the count by the pending symbol as the word's last."""
+        text, places = tail
+        text += chr(END + ord(pending))
+        for size, before, at in places:
+            token = self.v.by_symbols.get(text[-size - 1 :])
+            if token is not None and (before < 0 or self.v.fits(before, token)):
+                return at + 1
+        raise ValueError("a symbol isn't in the vocabulary")
 
-    def transition(self, key: tuple, char: str) -> tuple[_State, int]:
+    def transition(self, of: _State, char: str) -> tuple[_State, int]:
+        key = of.key
         kind = key[0]
         if kind == "quote":  # an apostrophe that begins a word, and what followed it
             after = key[1] + char
@@ -97,7 +135,7 @@ class Transducer:
                 return self.state(("quote", after)), 0
             state, total = self.begun("'")
             for c in after:
-                state, change = self.move(state, c)
+                state, change = state[c]
                 total += change
             return state, total
         if kind == "start":
@@ -108,11 +146,10 @@ class Transducer:
         if run != "number" and _kind(char) == run:
             tail, pending, change = self.grow(tail, pending, char)
             return self.state(("word", run, tail, pending)), change
-        state, change = self.move(self.start, char)
-        return state, change + self.close(tail, pending)
-
-    def move(self, state: _State, char: str) -> tuple[_State, int]:
-        return state[char]
+        if of.closing is None:
+            of.closing = self.close(tail, pending)
+        state, change = self.start[char]
+        return state, change + of.closing
 
     def begun(self, char: str) -> tuple[_State, int]:
         tail, pending, change = self.grow(_EMPTY, "", char)
@@ -158,7 +195,7 @@ def chunk_map(machine: Transducer, chunk: str) -> ChunkMap:
     if not first:
         return ChunkMap(chunk, 0, None)
     last = max(map(chunk.rfind, _WHITE))
-    return ChunkMap(chunk[: first.start()], machine.run(chunk[first.start() : last + 1])[1], chunk[last + 1 :])
+    return ChunkMap(chunk[: first.start()], _closed(machine, chunk[first.start() : last + 1]), chunk[last + 1 :])
 
 
 def compose(machine: Transducer, a: ChunkMap, b: ChunkMap) -> ChunkMap:
@@ -171,7 +208,8 @@ def compose(machine: Transducer, a: ChunkMap, b: ChunkMap) -> ChunkMap:
 
 
 def _closed(machine: Transducer, text: str) -> int:
-    return machine.run(text + " ")[1]
+    """The count of a text between white space; stretches met before are looked up."""
+    return sum(map(machine.closed.__getitem__, segments(text)))
 
 
 def scan(machine: Transducer, maps: list[ChunkMap]) -> ChunkMap:
