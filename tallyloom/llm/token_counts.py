@@ -9,6 +9,7 @@ text is a scan over its chunks, whatever places they are cut at.
 """
 
 import functools
+import gc
 from collections.abc import Iterable
 from typing import NamedTuple
 
@@ -253,11 +254,13 @@ def token_counts(
 
     def make():
         kept = _kept(raw.value)
+        gc.disable()  # it would walk all states again and again; states are only dropped below
 
         def counts(texts):
             for t in texts:
                 if len(kept[0].states) > STATES:
                     kept[0] = Transducer(kept[0].v)
+                    gc.collect()
                 yield len((t or "").encode("utf-8")), count(kept[0], t)
 
         return counts
