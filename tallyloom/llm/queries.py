@@ -4,11 +4,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, line_dedup, minhash_join, quality_rules, templates, token_counts, unit_dedup, url_filter
+from tallyloom.llm import bpe_codec, lattice_lm, line_dedup, minhash_join, quality_rules, templates, token_counts, unit_dedup, url_filter
 from tallyloom.plans.registry import Query, table
 
 #: The vocabulary's file; a parameter of every operator that uses one.
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +123,8 @@ def find_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_url_filter")
 def filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
+@query("op2_lattice_score")
+def score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.scored(documents(spark, sf_dir), PIECE_VOCABULARY)
