@@ -4,10 +4,10 @@ Each set of shingles has a signature of ``COORDINATES`` minima. A document is po
 pair of coordinate and value. Two documents that agree at ``MATCHES`` coordinates must share a
 list even if each is posted under its rarest ``COORDINATES - MATCHES + 1`` only, so the popular
 lists are skipped for all documents that have enough rare ones. What remains of a list is tried
-against its smallest members: one in the first round, which joins up large groups of copies, then
-``LEADERS`` at a time for as long as a list still spans several components. Every pair of a list
-that isn't linked already is thus tried, and no round emits more than ``LEADERS`` rows for each
-posting.
+against some members: in the first round the smallest, which joins up large groups of copies,
+then ``LEADERS`` at a time from the list's smallest components, for as long as the list spans
+several. Every pair of a list that isn't connected already is thus tried, and no round emits more
+than ``LEADERS`` rows for each posting.
 """
 
 from functools import lru_cache
@@ -26,7 +26,7 @@ from tallyloom.session import written
 COORDINATES = 64
 #: At a similarity of 0.75 fewer agree in less than one of 100,000 pairs.
 MATCHES = 32
-LEADERS = 8
+LEADERS = 16
 #: Shingles handled at once; bounds the memory of a very long text.
 _BLOCK = 4096
 #: Low bits of a posting's key that tell its coordinate.
@@ -148,20 +148,20 @@ def near_duplicates(documents: DataFrame, share: int = 75) -> DataFrame:
     links = found.unionByName(
         member.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b"))
     )
-    roots = None
-    rest = lists.withColumn("root", F.col("rep"))
+    roots = contracted(links)
+    rest = written(_labelled(lists, roots), "open")
     leaders = 1
     while True:
-        low = _lowest(rest, leaders)
+        low = written(_leaders(rest, leaders), "leaders")
         pairs = (
-            rest.join(low.toDF("posting", "leader", "of"), "posting")
-            .where("rep > leader AND root <> of").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+            rest.join(low.toDF("posting", "leader", "of"), "posting").where("root <> of")
+            .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
         )
-        links = written(links.unionByName(confirmed(pairs, reps, texts, share)), "links")
-        roots = contracted(links)
-        tried = low.groupBy("posting").agg(F.max("rep").alias("tried"))
-        rest = rest.drop("root").join(tried, "posting").where("rep > tried").drop("tried")
-        rest = rest.join(roots.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        new = written(confirmed(pairs, reps, texts, share), "links")
+        if not new.isEmpty():
+            roots = contracted(roots.toDF("b", "a").unionByName(new))
+        tried = low.select("posting", "rep")
+        rest = _labelled(rest.select("posting", "rep").join(tried, ["posting", "rep"], "left_anti"), roots)
         open_lists = rest.groupBy("posting").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
         rest = written(rest.join(open_lists.select("posting"), "posting"), "open")
         if rest.isEmpty():
@@ -178,9 +178,22 @@ def near_duplicates(documents: DataFrame, share: int = 75) -> DataFrame:
     )
 
 
-def _lowest(rest: DataFrame, n: int) -> DataFrame:
-    """The ``n`` smallest members of each list, as (posting, rep, root)."""
+def _labelled(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """(posting, rep, root): members of lists with their components, so far as these are known."""
+    got = lists.join(roots.toDF("rep", "root"), "rep", "left")
+    return got.select("posting", "rep", F.coalesce("root", "rep").alias("root"))
+
+
+def _leaders(rest: DataFrame, n: int) -> DataFrame:
+    """The members (posting, rep, root) that the others of their lists are tried against next.
+
+    First the smallest; later ``n`` of each list's smallest components, so that a list closes as
+    soon as all members outside its largest component have been tried.
+    """
     if n == 1:
-        return rest.groupBy("posting").agg(F.min("rep").alias("rep")).withColumn("root", F.col("rep"))
-    order = Window.partitionBy("posting").orderBy("rep")
-    return rest.withColumn("_n", F.row_number().over(order)).where(f"_n <= {n}").select("posting", "rep", "root")
+        first = rest.groupBy("posting").agg(F.min(F.struct("rep", "root")).alias("m"))
+        return first.select("posting", "m.rep", "m.root")
+    sizes = rest.groupBy("posting", "root").agg(F.count("*").alias("size"))
+    order = Window.partitionBy("posting").orderBy("size", "root", "rep")
+    ranked = rest.join(sizes, ["posting", "root"]).withColumn("_n", F.row_number().over(order))
+    return ranked.where(f"_n <= {n}").select("posting", "rep", "root")
