@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, lattice_lm, line_dedup, minhash_join, quality_rules, templates, token_counts, unit_dedup, url_filter
+from tallyloom.llm import bpe_codec, lattice_lm, line_dedup, minhash_join, quality_rules, templates, token_counts, unit_dedup, url_filter, weak_labels
 from tallyloom.plans.registry import Query, table
 
 #: The vocabulary's file; a parameter of every operator that uses one.
@@ -128,3 +128,10 @@ def filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_lattice_score")
 def score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.scored(documents(spark, sf_dir), PIECE_VOCABULARY)
+
+
+@query("op10_quality_classifier")
+def classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.classified(documents(spark, sf_dir)).select(
+        "doc_id", "label", "score", "kept", F.array_join("votes", ",").alias("votes")
+    )
