@@ -37,6 +37,7 @@ HEURISTICS = [
     ("symbol_share", (0.01, 1), (0.1, -1)),
     ("repeat_share", (0.02, 1), (0.3, -1)),
     ("capital_share", (0.3, 1), (0.6, -1)),
+    ("shout_share", (0.02, 1), (0.2, -1)),
     ("sentence_share", (0.005, -1), (0.02, 1)),
     ("distinct_share", (0.15, -1), (0.4, 1)),
 ]
@@ -60,6 +61,7 @@ def measures(text: str | None) -> tuple[dict[str, float], np.ndarray, np.ndarray
         "symbol_share": (len(raw) - len(raw.translate(None, _SYMBOLS))) / n,
         "repeat_share": sum(a == b for a, b in pairwise(words)) / n,
         "capital_share": sum(k for w, k in plain.items() if w[:1].isupper()) / n,
+        "shout_share": sum(k for w, k in plain.items() if w.endswith(b"!!") or (len(w) > 3 and w.isupper())) / n,
         "sentence_share": sum(k for w, k in plain.items() if w[-1:] in (b".", b"!", b"?")) / n,
         "distinct_share": len(low) / n if n >= 50 else 1.0,
         "words": float(len(words)),
@@ -95,8 +97,8 @@ def votes(found: dict[str, float]) -> list[int]:
 def estimated(patterns: dict[tuple[int, ...], int], rounds: int = ROUNDS):
     """(share of good texts, vote rates, posterior of patterns).
 
-    Rates [truth, heuristic, vote] are how often a heuristic votes bad, nothing or good on bad
-    and on good texts; its accuracies follow from them. Heuristics err independently given the
+    Rates [truth, heuristic, vote] are how often a heuristic, where it votes, votes bad (0) or
+    good (2) on bad and on good texts: its accuracies. Not voting (1) is no evidence. Heuristics err independently given the
     truth. The first guess, which settles what good means, calls a text bad where more than one
     in five of its votes say so; a smoothing count keeps rates above 0.
     """
@@ -112,7 +114,8 @@ def estimated(patterns: dict[tuple[int, ...], int], rounds: int = ROUNDS):
             rates[1, h] += np.bincount(table[:, h], times * good, 3)
             rates[0, h] += np.bincount(table[:, h], times * (1 - good), 3)
         prior = (times @ good + 1) / (times.sum() + 2)
-        return float(prior), rates / rates.sum(axis=2, keepdims=True)
+        cast = rates[:, :, [0, 2]].sum(axis=2, keepdims=True)
+        return float(prior), np.where([False, True, False], 1.0, rates / cast)  # no vote tells nothing
 
     def posterior(rows: np.ndarray, prior: float, rates: np.ndarray) -> np.ndarray:
         logs = np.log(rates)
