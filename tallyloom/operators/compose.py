@@ -52,7 +52,8 @@ def compose(
     ``cache`` has ``id``, ``name`` and ``sequences`` (or raw ``entries``), one row
     per id. The result has ``id, name, members, status`` and ``sequences`` re-lettered
     in key order (``entries`` likewise). Only ``status = 'ok'`` rows are whole; the
-    other states are ``missing_member``, ``not_single`` and ``too_many_members``.
+    other states are ``missing_member``, ``not_single``, ``too_many_members`` and
+    ``no_entry_id`` (a raw entry whose body doesn't begin with its id).
     """
     field = "entries" if "entries" in cache.columns else "sequences"
     slim = cache.select(
@@ -84,13 +85,18 @@ def compose(
         .otherwise("ok")
     )
     reletter = reletter_raw if field == "entries" else reletter_parsed
+    lettered = grouped.withColumns(
+        {"_status": status, "members": count.cast("bigint"), "_lettered": reletter(F.col("_all.entry"))}
+    )
+    # An entry that is lost on the way makes the whole record invalid.
+    lost = (F.col("_status") == "ok") & F.exists("_lettered", lambda e: e.isNull())
     ok = F.col("status") == "ok"
-    return grouped.withColumns({"status": status, "members": count.cast("bigint")}).select(
+    return lettered.withColumn("status", F.when(lost, "no_entry_id").otherwise(F.col("_status"))).select(
         "id",
         F.when(ok, F.array_join("_all.name", fixed.MEMBER_DELIMITER)).alias("name"),
         "members",
         "status",
-        F.when(ok, reletter(F.col("_all.entry"))).alias(field),
+        F.when(ok, F.col("_lettered")).alias(field),
     )
 
 
@@ -106,21 +112,23 @@ def reletter_parsed(entries: Column) -> Column:
     )
 
 
+#: The start of an entry's text up to its id, which is its body's first field.
+_UP_TO_ID = r'^(\s*\{\s*"(?:[^"\\]|\\.)*"\s*:\s*\{\s*"id"\s*:\s*)'
+_ID = r'("(?:[^"\\]|\\.)*"|\[[^\]]*\])'
+
+
 def reletter_raw(entries: Column) -> Column:
-    """Raw JSON entries with the chain letter of their position; other fields stay."""
+    """Raw JSON entries with the chain letter of their position in place of their id.
+
+    Only the id's text is replaced, all else stays as it is written. An entry whose body
+    doesn't begin with an id is NULL.
+    """
 
     def one(raw: Column, i: Column) -> Column:
-        parsed = F.from_json(raw, "map<string, map<string, variant>>")
-        letter = F.to_variant_object(F.array(chain_letter(i)))
-        id_ = F.create_map(F.lit("id"), F.variant_get(letter, "$[0]", "variant"))
-        return F.to_json(
-            F.transform_values(
-                parsed,
-                lambda _, fields: F.map_concat(
-                    id_, F.map_filter(fields, lambda name, _v: name != "id")
-                ),
-            )
-        )
+        head = F.regexp_extract(raw, _UP_TO_ID + _ID, 1)
+        found = F.regexp_extract(raw, _UP_TO_ID + _ID, 0)
+        rest = F.substring(raw, F.length(found) + 1, F.length(raw))
+        return F.when(F.length(found) > 0, F.concat(head, F.lit('"'), chain_letter(i), F.lit('"'), rest))
 
     return F.transform(entries, one)
 

@@ -1,4 +1,4 @@
-"""Least squares in one pass."""
+"""Least squares on centred and scaled sizes."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,15 +9,18 @@ from tallyloom.functions.costs import Quadratic
 def quadratic_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """Coefficients ``c2, c1, c0`` and ``n`` of the least-squares parabola of ``y`` on ``x``.
 
-    Built from means and centred second moments of ``x``, ``x^2`` and ``y``:
-    those aggregates merge stably and combine map-side. Coefficients are NULL
-    with fewer than three distinct ``x``.
+    One pass finds the mean and spread of ``x``; a second gathers the moments of the
+    scaled ``z``, its square and ``y``, which stay well apart however far ``x`` lies
+    from 0. Both combine map-side. Coefficients are NULL with fewer than three distinct ``x``.
     """
-    n, square = F.col(x).cast("double"), F.col(x).cast("double") * F.col(x)
     pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        n.alias("a"), square.alias("b"), F.col(y).cast("double").alias("y")
+        F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")
     )
-    moments = pairs.agg(
+    place = pairs.agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("spread")).first()
+    enough = pairs.select("x").distinct().limit(3).count() == 3
+    mean, spread = (F.lit(place["mean"] or 0.0), F.lit(place["spread"] or 1.0))
+    z = (F.col("x") - mean) / spread
+    moments = pairs.select(z.alias("a"), (z * z).alias("b"), "y").agg(
         F.count("*").alias("n"),
         F.avg("a").alias("ma"), F.avg("b").alias("mb"), F.avg("y").alias("my"),
         F.var_pop("a").alias("aa"), F.var_pop("b").alias("bb"),
@@ -25,11 +28,18 @@ def quadratic_fit(df: DataFrame, x: str, y: str) -> DataFrame:
         F.covar_pop("a", "y").alias("ay"), F.covar_pop("b", "y").alias("by"),
     )
     det = F.expr("aa * bb - ab * ab")
-    solvable = F.expr("abs(aa * bb - ab * ab) > 1e-12 * aa * bb")
+    solvable = F.lit(enough) & (det > 0)
+    shift = mean / spread
     return (
-        moments.withColumn("c2", F.when(solvable, F.expr("by * aa - ay * ab") / det))
-        .withColumn("c1", F.when(solvable, F.expr("ay * bb - by * ab") / det))
-        .select("c2", "c1", F.expr("my - c2 * mb - c1 * ma").alias("c0"), "n")
+        moments.withColumn("d2", F.when(solvable, F.expr("by * aa - ay * ab") / det))
+        .withColumn("d1", F.when(solvable, F.expr("ay * bb - by * ab") / det))
+        .withColumn("d0", F.expr("my - d2 * mb - d1 * ma"))
+        .select(
+            (F.col("d2") / (spread * spread)).alias("c2"),
+            ((F.col("d1") - 2 * shift * F.col("d2")) / spread).alias("c1"),
+            (F.col("d0") - shift * F.col("d1") + shift * shift * F.col("d2")).alias("c0"),
+            "n",
+        )
     )
 
 

@@ -1,5 +1,7 @@
 """Counts, shares and stage funnels."""
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -8,15 +10,16 @@ from tallyloom.functions.sizes import in_window
 from tallyloom.functions.text import percent, thousands
 
 
-def matching(df: DataFrame, predicate: str | Column) -> DataFrame:
-    """Rows for which a flag expression such as ``'a & ~b'`` holds."""
-    return df.where(flag(predicate) if isinstance(predicate, str) else predicate)
+_LITERAL = re.compile("('(?:[^']|'')*')")
 
 
 def flag(expression: str) -> Column:
-    """A flag expression over boolean columns; ``&``, ``|`` and ``~`` read as and, or, not."""
+    """A flag expression over columns; ``&``, ``|`` and ``~`` read as and, or, not, but not
+    inside a string literal."""
     words = {"&": " and ", "|": " or ", "~": " not "}
-    return F.expr("".join(words.get(c, c) for c in expression))
+    parts = _LITERAL.split(expression)
+    parts[::2] = ["".join(words.get(c, c) for c in part) for part in parts[::2]]
+    return F.expr("".join(parts))
 
 
 def shares(df: DataFrame, queries: dict[str, str]) -> DataFrame:

@@ -10,8 +10,10 @@ shuffle left to adaptive execution would be merged into a handful of tasks.
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 Scorer = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -20,6 +22,17 @@ def _tasks(df: DataFrame, partitions: int | None) -> int:
     return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _typed(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    """Frames of Arrow-typed columns: integers beside nulls stay integers."""
+    for batch in batches:
+        yield batch.to_pandas(types_mapper=pd.ArrowDtype)
+
+
+def _back(frame: pd.DataFrame, arrow: pa.Schema) -> list[pa.RecordBatch]:
+    table = pa.Table.from_pandas(frame, schema=arrow, preserve_index=False)
+    return table.combine_chunks().to_batches()
+
+
 def _batches(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
     """Regroup Arrow chunks of key-sorted rows into one frame per key."""
     held: list[pd.DataFrame] = []
@@ -42,13 +55,15 @@ def score_batches(
 ) -> DataFrame:
     """Score batch by batch: a batch never splits, and one scorer serves a task's batches."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = load()
-        for batch in _batches(frames, "batch_id"):
-            yield scorer(batch)
+        for batch in _batches(_typed(frames), "batch_id"):
+            yield from _back(scorer(batch), arrow)
 
     placed = plan.repartition(_tasks(plan, partitions), "batch_id")
-    return placed.sortWithinPartitions("batch_id", *order).mapInPandas(run, schema)
+    return placed.sortWithinPartitions("batch_id", *order).mapInArrow(run, schema)
 
 
 def score_all(
@@ -60,13 +75,15 @@ def score_all(
 ) -> DataFrame:
     """Score everything as one job: similar sizes share a task, one scorer per task."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = load()
-        for frame in frames:
-            yield scorer(frame)
+        for frame in _typed(frames):
+            yield from _back(scorer(frame), arrow)
 
     placed = df.repartitionByRange(_tasks(df, partitions), *order)
-    return placed.sortWithinPartitions(*order).mapInPandas(run, schema)
+    return placed.sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
 def run_each(
@@ -75,24 +92,27 @@ def run_each(
     result: str = "double",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Apply a step to each row by itself; a row's error is kept in ``error``, the rest go on."""
-    schema = T.StructType(
-        [*df.schema.fields]
-        + T._parse_datatype_string(f"result {result}, error string").fields
-    )
+    """Apply a step to each row by itself; a row's error is kept in ``error``, the rest go on.
+
+    Input columns pass through as they are; the step gets Python values.
+    """
+    added = T.StructType.fromDDL(f"result {result}, error string")
+    kinds = to_arrow_schema(added)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = load()
-        for frame in frames:
+        for batch in batches:
             results, errors = [], []
-            for row in frame.to_dict("records"):
+            for row in batch.to_pylist():
                 try:
                     results.append(step(row))
                     errors.append(None)
                 except Exception as error:
                     results.append(None)
                     errors.append(f"{type(error).__name__}: {error}")
-            yield frame.assign(result=results, error=errors)
+            made = [pa.array(results, kinds.field(0).type), pa.array(errors, pa.string())]
+            fields = [*batch.schema, kinds.field(0), kinds.field(1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema=pa.schema(fields))
 
-    placed = df.repartition(_tasks(df, partitions), *df.columns)
-    return placed.mapInPandas(run, schema)
+    schema = T.StructType([*df.schema.fields, *added.fields])
+    return df.repartition(_tasks(df, partitions)).mapInArrow(run, schema)

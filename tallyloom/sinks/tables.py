@@ -8,9 +8,6 @@ from tallyloom.operators.batching import in_size_order
 from tallyloom.operators.compose import ordered
 from tallyloom.session import small_table
 
-# Most rows of a report rendered into one file.
-REPORT_ROWS = 10_000
-
 
 def write_plan(plan: DataFrame, path: str, refresh: bool = False) -> None:
     """Write the plan once; an existing one is kept unless ``refresh``."""
@@ -32,9 +29,8 @@ def write_manifests(
 
 
 def write_markdown(report: DataFrame, path: str) -> None:
-    """A pipe table in one file; for reports, and refused for larger frames."""
-    if report.limit(REPORT_ROWS + 1).count() > REPORT_ROWS:
-        raise ValueError(f"a report has at most {REPORT_ROWS} rows")
+    """A pipe table, in as many part files as the report has ranges of rows; read in the order
+    of their names they are one table."""
     names = report.columns
     numeric = {n for n, t in report.dtypes if t in ("double", "float", "int", "bigint")}
     rule = ["---:" if n in numeric else ":---" for n in names]
@@ -44,7 +40,7 @@ def write_markdown(report: DataFrame, path: str) -> None:
     body = report.select(F.monotonically_increasing_id().alias("n"), row.alias("value"))
     top = [{"n": i - len(head), "value": line} for i, line in enumerate(head)]
     table = body.unionAll(small_table(report.sparkSession, top, "n bigint, value string"))
-    table.repartition(1).sortWithinPartitions("n").select("value").write.text(path)
+    table.orderBy("n").select("value").write.text(path)
 
 
 def fasta_record(id_: Column, sequence: Column) -> Column:

@@ -210,3 +210,24 @@ def test_fit_needs_three_sizes(spark):
     assert fit.quadratic_fit(df, "x", "y").first()["c2"] is None
     with pytest.raises(ValueError):
         fit.fitted_cost(fit.quadratic_fit(df, "x", "y"))
+
+
+def test_fit_far_from_zero(spark):
+    import numpy as np
+
+    from tallyloom.operators.fit import quadratic_fit
+
+    for x in (np.arange(1e8, 1e8 + 1000), 1e6 + np.arange(5.0)):
+        y = 1e-4 * (x - x[0]) ** 2 + 0.5 * (x - x[0]) + 3
+        df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y, strict=True)], "x double, y double")
+        got = quadratic_fit(df, "x", "y").first()
+        assert abs(got.c2 - 1e-4) < 1e-10
+    few = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0), (2.0, 4.0)], "x double, y double")
+    assert quadratic_fit(few, "x", "y").first().c2 is None
+
+
+def test_flags_leave_literals_alone(spark):
+    from tallyloom.operators.progress import flag
+
+    df = spark.createDataFrame([(True, "x&y"), (True, "xy")], "a boolean, s string")
+    assert df.where(flag("a & ~(s = 'xy') & s = 'x&y'")).count() == 1

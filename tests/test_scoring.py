@@ -74,3 +74,9 @@ def test_members_and_layout(spark):
     assert found == {0: ["c", "a", "b"], 3: ["d"]}
     laid = in_size_order(small, 1).collect()
     assert [r["id"] for r in laid] == ["c", "a", "b", "d"]
+
+
+def test_each_keeps_large_integers_beside_null(spark, rows):
+    df = spark.createDataFrame([(2**53 + 1, 1), (None, 2)], "id long, k int")
+    got = run_each(df, lambda: lambda row: float(row["k"]))
+    assert rows(got) == [(2**53 + 1, 1, 1.0, None), (None, 2, 2.0, None)]
