@@ -166,7 +166,7 @@ def test_near_duplicates_of_odd_rows(odd, none):
 
 def test_components_of_a_long_path(spark):
     links = spark.range(0, 60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
-    got = components.contracted(links.unionByName(spark.createDataFrame([(90, 91), (5, 5), (None, 3)], links.schema)))
+    got = components.contracted(links.unionByName(spark.createDataFrame([(90, 91), (5, 5), (None, 3)], "a long, b long")))
     assert {r.node: r.root for r in got.collect()} == {**dict.fromkeys(range(61), 0), 90: 90, 91: 90}
 
 
