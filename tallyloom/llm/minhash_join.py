@@ -26,7 +26,7 @@ from tallyloom.session import written
 COORDINATES = 64
 #: At a similarity of 0.75 fewer agree in less than one of 100,000 pairs.
 MATCHES = 32
-LEADERS = 16
+LEADERS = 64
 #: Shingles handled at once; bounds the memory of a very long text.
 _BLOCK = 4096
 #: Low bits of a posting's key that tell its coordinate.
@@ -140,8 +140,9 @@ def near_duplicates(documents: DataFrame, share: int = 75) -> DataFrame:
         usable.join(unique, [usable.doc_id == unique.rep, usable.digest == unique.digest])
         .select("rep", "postings").distinct(), "representatives",
     )
-    texts = source.select(F.col("doc_id").alias("doc"), "text")
     lists = written(prefixes(reps), "postings")
+    posted = lists.select(F.col("rep").alias("doc")).distinct()
+    texts = written(source.select(F.col("doc_id").alias("doc"), "text").join(posted, "doc", "left_semi"), "texts")
     found = reps.limit(0).select(F.col("rep").alias("a"), F.col("rep").alias("b"))
     # A document with several texts stands under the representative of each.
     several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
@@ -159,7 +160,7 @@ def near_duplicates(documents: DataFrame, share: int = 75) -> DataFrame:
         )
         new = written(confirmed(pairs, reps, texts, share), "links")
         if not new.isEmpty():
-            roots = contracted(roots.toDF("b", "a").unionByName(new))
+            roots = _joined(roots, new)
         tried = low.select("posting", "rep")
         rest = _labelled(rest.select("posting", "rep").join(tried, ["posting", "rep"], "left_anti"), roots)
         open_lists = rest.groupBy("posting").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
@@ -184,6 +185,14 @@ def _labelled(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return got.select("posting", "rep", F.coalesce("root", "rep").alias("root"))
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) after more links: only the links' components are contracted."""
+    ends = links.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left")
+    moved = contracted(ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+    known = roots.join(moved.toDF("root", "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return written(known.unionByName(moved.join(roots, "node", "left_anti")), "components")
+
+
 def _leaders(rest: DataFrame, n: int) -> DataFrame:
     """The members (posting, rep, root) that the others of their lists are tried against next.
 
