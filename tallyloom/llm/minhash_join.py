@@ -23,10 +23,10 @@ from tallyloom.llm.rows import with_columns
 from tallyloom.llm.shingles import digest, shingle_set
 from tallyloom.session import written
 
-COORDINATES = 64
-#: At a similarity of 0.75 fewer agree in less than one of 100,000 pairs.
-MATCHES = 32
-LEADERS = 64
+COORDINATES = 128
+#: At a similarity of 0.75 fewer agree in about two of 100,000 pairs, at 0.8 in none of 10 million.
+MATCHES = 76
+LEADERS = 16
 #: Shingles handled at once; bounds the memory of a very long text.
 _BLOCK = 4096
 #: Low bits of a posting's key that tell its coordinate.
