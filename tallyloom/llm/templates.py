@@ -8,7 +8,6 @@ windows that disagree don't count. A document is contaminated by an item if enou
 windows are found in one reading.
 """
 
-import functools
 import re
 
 import numpy as np
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.shingles import windows
+from tallyloom.session import written
 
 #: Template tokens of a window; literal words that a window has at least.
 WINDOW, LITERALS = 5, 3
@@ -49,15 +49,37 @@ _SLOTS = np.array([0, *(xxhash.xxh3_64_intdigest(f"slot {k}") for k in (_NUM, _U
 _HITS = "id long, place int, hash long, kinds array<byte>, values array<long>"
 
 
-@functools.lru_cache(1 << 17)
-def _token(word: str) -> tuple[int, int, bool, bool]:
-    """(hash of the plain word, kind but for names, capital first, ends a sentence)."""
-    plain = word.strip(_MARKS)
-    low = plain.lower()
-    kind = _NUM if _NUMBER.fullmatch(plain) or low in NUMBER_WORDS else _UNIT if low in UNITS else _LITERAL
-    if not plain:
-        kind = -1
-    return xxhash.xxh3_64_intdigest(low), kind, plain[:1].isupper(), word.endswith(_ENDS) or not plain
+#: Words a Python worker knows at a time.
+KNOWN = 400_000
+
+
+class _Words(dict):
+    """Numbers of words met, and by number: hash of the plain word, kind but for names, capital
+    first, ends a sentence. Forgotten when there are too many."""
+
+    def __init__(self):
+        self.values = np.zeros(KNOWN + 1, np.uint64)
+        self.kinds = np.zeros(KNOWN + 1, np.int8)
+        self.capitals, self.ends = np.zeros((2, KNOWN + 1), bool)
+
+    def __missing__(self, word: str) -> int:
+        plain = word.strip(_MARKS)
+        low = plain.lower()
+        kind = _NUM if _NUMBER.fullmatch(plain) or low in NUMBER_WORDS else _UNIT if low in UNITS else _LITERAL
+        self[word] = n = len(self)
+        self.values[n] = xxhash.xxh3_64_intdigest(low)
+        self.kinds[n] = kind if plain else -1
+        self.capitals[n] = plain[:1].isupper()
+        self.ends[n] = word.endswith(_ENDS) or not plain
+        return n
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        if len(self) + len(words) > KNOWN:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
+_MET = _Words()
 
 
 def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,17 +91,20 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     text = text or ""
     if _WITH_UNIT.search(text):
         text = _SPLIT_UNIT.sub(r"\1 \2", text)
-    found: list[tuple[int, int, bool, bool]] = []
-    starts: list[int] = []
-    for line in text.split("\n"):
-        starts.append(len(found))
-        found += map(_token, line.split())
-    if not found:
+    lines = [line.split() for line in text.split("\n")]
+    starts = np.cumsum([0, *map(len, lines)])
+    words = [w for line in lines for w in line]
+    if not words:
         none = np.zeros(0, np.uint64)
         return none, none.astype(np.int8), none
-    values, kinds, capitals, ends = (np.array(c, t) for c, t in zip(zip(*found), (np.uint64, np.int8, bool, bool)))
+    tables = ([], [], [], [])
+    for at in range(0, len(words), KNOWN // 4):  # a very long text in parts
+        n = _MET.numbers(words[at : at + KNOWN // 4])
+        for table, source in zip(tables, (_MET.values, _MET.kinds, _MET.capitals, _MET.ends), strict=True):
+            table.append(source[n])
+    values, kinds, capitals, ends = map(np.concatenate, tables)
     begins = np.r_[True, ends[:-1]]
-    begins[[s for s in starts if s < len(begins)]] = True
+    begins[starts[starts < len(begins)]] = True
     real = kinds >= 0
     values, kinds, capitals, begins = values[real], kinds[real], capitals[real], begins[real]
     behind = np.r_[False, kinds[:-1] == _NUM] if len(kinds) else np.zeros(0, bool)
@@ -159,6 +184,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHAR
             ).alias("slots"),
         )
     )
+    met = written(met, "met")
     reading = ["doc_id", "item_id", "offset"]
     # In a reading an item's value stands for its most usual value of the document.
     bound = (
