@@ -1,27 +1,29 @@
 """Lines that a later document shares with an earlier one, found by aligning the two.
 
-Documents are paired through hashes of lines. A line of few documents names a partner for each
-of its later documents: the document before it, and the first one. A popular line only names the
-first. Each pair is aligned as patience diff does: lines that occur once on either side and in
-the same order are anchors, and equal lines around anchors join their blocks. Blocks of enough
-words go from the later document.
+Documents are paired through hashes of runs of neighbouring lines: from each line on, and back
+from each line, as many lines as make ``LEAST_WORDS`` words. Every line of a shared block of so
+many words lies in such a run inside the block, so the first holder of each run is partner enough,
+however popular the run. Each pair is aligned as patience diff does: lines that occur once on
+either side and in the same order are anchors, again between anchors; where there are none, the
+k-th copy of a line goes with the k-th. Blocks of enough words go from the later document, and so
+do runs that the alignment leaves over, as surplus copies and moved lines, wherever they stand.
 """
 
 from bisect import bisect_left
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.session import written
 
-#: A line of no more documents than this is rare, and also names the document before.
-RARE = 8
 #: Words of an aligned block that is deleted.
 LEAST_WORDS = 8
 
-_LINES = "doc_id long, hashes array<long>, words array<int>"
+_LINES = "doc_id long, hashes array<long>, words array<int>, runs array<long>"
 
 
 def lines(text: str) -> tuple[list[int], list[int]]:
@@ -34,7 +36,35 @@ def lines(text: str) -> tuple[list[int], list[int]]:
     return hashes, words
 
 
-def hashed(documents: DataFrame) -> DataFrame:
+def runs(words: Sequence[int | None], least: int) -> Iterator[tuple[int, int]]:
+    """(start, stop) of the shortest runs of at least ``least`` words that begin at each line with
+    a word, and of those that end there; no run holds a line of None."""
+    places: list[int] = []
+    at = ahead = total = 0
+    for stop, n in enumerate(words, 1):
+        if n is None:
+            places, at, ahead, total = [], 0, 0, 0
+        elif n:
+            places.append(stop - 1)
+            total += n
+            while total - words[places[at]] >= max(1, least):
+                if at >= ahead:
+                    yield places[at], stop
+                total -= words[places[at]]
+                at += 1
+            if total >= least:
+                yield places[at], stop
+                ahead = at + 1
+
+
+def hashed(documents: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
+    """doc_id, hashes and words of its lines, and the distinct hashes of its runs."""
+
+    def keys(hashes: list[int], words: list[int]) -> list[int]:
+        raw = np.array(hashes, np.int64).tobytes()
+        found = {xxhash.xxh3_64_intdigest(raw[8 * i : 8 * j]) for i, j in runs(words, least)}
+        return np.fromiter(found, np.uint64, len(found)).view(np.int64).tolist()
+
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -45,55 +75,57 @@ def hashed(documents: DataFrame) -> DataFrame:
                         pa.array(docs, pa.int64()),
                         pa.array([m[0] for m in made], pa.list_(pa.int64())),
                         pa.array([m[1] for m in made], pa.list_(pa.int32())),
+                        pa.array([keys(*m) for m in made], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "hashes", "words"],
+                    ["doc_id", "hashes", "words", "runs"],
                 )
 
     return documents.select("doc_id", "text").mapInArrow(run, _LINES)
 
 
 def partners(sequences: DataFrame) -> DataFrame:
-    """Pairs (later, earlier): at most two for each line of a document."""
-    held = sequences.select("doc_id", F.explode(F.array_distinct("hashes")).alias("hash")).where("hash <> 0")
-    known = held.groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    shared = held.join(known, "hash")
-    before = shared.where(f"n <= {RARE}").withColumn(
-        "earlier", F.lag("doc_id").over(Window.partitionBy("hash").orderBy("doc_id"))
-    )
-    named = shared.select(F.col("doc_id").alias("later"), F.col("first").alias("earlier")).unionByName(
-        before.select(F.col("doc_id").alias("later"), "earlier")
-    )
-    return named.where("later > earlier").distinct()
+    """Pairs (later, earlier): a document and the first holder of each of its runs."""
+    held = sequences.select("doc_id", F.explode("runs").alias("run"))
+    known = held.groupBy("run").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return (
+        held.join(known.drop("n"), "run").where("doc_id > first")
+        .select(F.col("doc_id").alias("later"), F.col("first").alias("earlier")).distinct()
+    )
 
 
 def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Places (i, j) of equal lines, rising on both sides, grown around patience anchors."""
-    once_a, once_b = _once(a), _once(b)
-    anchors = sorted((i, once_b[h]) for h, i in once_a.items() if h in once_b)
-    kept = _rising(anchors)
+    """Places (i, j) of equal lines, rising on both sides: equal ends and anchors of a range, and
+    the same again between them."""
     found: list[tuple[int, int]] = []
-    floor = (-1, -1)
-    for n, (i, j) in enumerate(kept):
-        ceiling = kept[n + 1] if n + 1 < len(kept) else (len(a), len(b))
-        if i <= floor[0] or j <= floor[1]:
+    ranges = [(0, len(a), 0, len(b))]
+    while ranges:
+        i, m, j, n = ranges.pop()
+        while i < m and j < n and a[i] == b[j]:
+            found.append((i, j))
+            i, j = i + 1, j + 1
+        while i < m and j < n and a[m - 1] == b[n - 1]:
+            m, n = m - 1, n - 1
+            found.append((m, n))
+        if i == m or j == n:
             continue
-        back = 1
-        while i - back > floor[0] and j - back > floor[1] and a[i - back] == b[j - back]:
-            back += 1
-        found += [(i - k, j - k) for k in range(back - 1, -1, -1)]
-        on = 1
-        while i + on < ceiling[0] and j + on < ceiling[1] and a[i + on] == b[j + on]:
-            found.append((i + on, j + on))
-            on += 1
-        floor = found[-1]
-    return found
-
-
-def _once(hashes: list[int]) -> dict[int, int]:
-    places: dict[int, int] = {}
-    for i, h in enumerate(hashes):
-        places[h] = -1 if h in places else i
-    return {h: i for h, i in places.items() if i >= 0 and h}
+        here, there = _copies(a, i, m), _copies(b, j, n)
+        once = [(p[0], there[h][0]) for h, p in here.items() if len(p) == 1 == len(there.get(h, ()))]
+        anchors = once or [x for h, p in here.items() for x in zip(p, there.get(h, ()))]
+        kept = _rising(sorted(anchors))
+        found += kept
+        for x, y in [*kept, (m, n)] if kept else []:
+            ranges.append((i, x, j, y))
+            i, j = x + 1, y + 1
+    return sorted(found)
+
+
+def _copies(hashes: list[int], start: int, stop: int) -> dict[int, list[int]]:
+    """The places of each line with a word."""
+    places: dict[int, list[int]] = {}
+    for i in range(start, stop):
+        if hashes[i]:
+            places.setdefault(hashes[i], []).append(i)
+    return places
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -114,16 +146,24 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def blocks(later: list[int], words: list[int], earlier: list[int], least: int) -> list[int]:
-    """Line numbers of the later document in aligned blocks of at least ``least`` words."""
-    found: list[int] = []
+    """Line numbers of the later document in aligned blocks of at least ``least`` words, and in
+    runs of so many words that stand anywhere in the earlier one."""
+    found: set[int] = set()
     block: list[tuple[int, int]] = []
     for place in [*aligned(later, earlier), (-9, -9)]:
         if block and place != (block[-1][0] + 1, block[-1][1] + 1):
             if sum(words[i] for i, _ in block) >= least:
-                found += [i for i, _ in block if later[i]]
+                found.update(i for i, _ in block)
             block = []
         block.append(place)
-    return found
+    left = [(i, j) for i, j in runs(words, least) if not found.issuperset(range(i, j))]
+    if left:
+        known = dict(zip(later, words, strict=True))
+        theirs = {tuple(earlier[i:j]) for i, j in runs([known.get(h) for h in earlier], least)}
+        for i, j in left:
+            if tuple(later[i:j]) in theirs:
+                found.update(range(i, j))
+    return sorted(i for i in found if later[i])
 
 
 def shared_lines(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -135,14 +175,13 @@ def shared_lines(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     a doc_id, the first of its texts by hash is aligned.
     """
     rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    sequences = hashed(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    sequences = written(sequences, "lines")
-    pairs = partners(sequences)
-    one = sequences.groupBy("doc_id").agg(F.min(F.struct("hashes", "words")).alias("s"))
+    sequences = hashed(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), least_words)
+    one = sequences.groupBy("doc_id").agg(F.min(F.struct("hashes", "words", "runs")).alias("s"))
+    one = written(one.select("doc_id", "s.*"), "lines")
     sides = (
-        pairs.join(one.select(F.col("doc_id").alias("later"), F.col("s").alias("mine")), "later")
-        .join(one.select(F.col("doc_id").alias("earlier"), F.col("s.hashes").alias("theirs")), "earlier")
-        .select("later", "earlier", "mine.hashes", "mine.words", "theirs")
+        partners(one).join(one.select(F.col("doc_id").alias("later"), "hashes", "words"), "later")
+        .join(one.select(F.col("doc_id").alias("earlier"), F.col("hashes").alias("theirs")), "earlier")
+        .select("later", "earlier", "hashes", "words", "theirs")
     )
 
     def align(batches):
@@ -160,7 +199,7 @@ def shared_lines(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
                 )
 
     found = sides.mapInArrow(align, "doc_id long, earlier long, lines array<int>")
-    # A document's partners are no more than twice its lines.
+    # A document's partners are no more than its runs.
     return found.groupBy("doc_id").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"),
         F.array_sort(F.collect_set("earlier")).alias("earlier"),

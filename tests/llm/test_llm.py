@@ -209,6 +209,37 @@ def test_shared_lines(spark, odd, none):
     assert line_dedup.shared_lines(none).count() == 0
 
 
+def shared_by_hand(later, earlier, least):
+    """Lines with a word in any equal stretch of both texts of at least ``least`` words."""
+    a, b = ([tuple(line.split()) for line in t.split("\n")] for t in (later, earlier))
+    found = set()
+    for i in range(len(a)):
+        for j in range(len(b)):
+            k = 0
+            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
+                k += 1
+            if sum(map(len, a[i : i + k])) >= least:
+                found.update(x for x in range(i, i + k) if a[x])
+    return found
+
+
+def test_shared_lines_against_all_pairs(spark):
+    rng = random.Random(4)
+    popular = "this line of eight words stands in all"
+    short = [f"short {i} line" for i in range(40)]
+    rows = [(0, f"{popular}\nown a\n{popular}"), *((d, f"mine {d}\n{popular}") for d in range(1, 12))]
+    rows += [(12, f"{popular}\nother\n{popular}\nmore\n{popular}")]
+    twice = "\n".join(f"a line that stands two times here {i}" for i in range(3))
+    rows += [(13, f"{twice}\n{twice}"), (14, f"{twice}\n{twice}")]
+    rows += [(20 + i, line) for i, line in enumerate(short[:4])]
+    rows += [(30 + d, f"head {d}\n" + "\n".join(short[:4]) + f"\ntail {d}") for d in range(12)]
+    rows += [(50 + d, "\n".join(rng.choices([*short[:9], popular, ""], k=12))) for d in range(30)]
+    got = {r.doc_id: r.lines for r in line_dedup.shared_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    expected = {d: sorted(set().union(*(shared_by_hand(t, u, 8) for e, u in rows if e < d))) for d, t in rows}
+    assert got == {d: x for d, x in expected.items() if x}
+    assert got[1] == [1] and got[12] == [0, 2, 4] and got[14] == list(range(6)) and got[31] == [1, 2, 3, 4]
+
+
 def test_templates(spark, odd):
     item = "If Mary buys 3 apples and sells 9 lb to John, how many apples will Mary have left over?"
     again = "If Anna buys 12 apples and sells 5kg to Bob, how many apples will Anna have left over?"
