@@ -3,8 +3,12 @@
 A unit is a line, or a piece of one: a line is also cut behind each word at which a hash of it
 and the next word says so. Such cuts depend on the words around them alone, so a passage that is
 pasted into the middle of lines is made of the same units wherever it stands, all but its edges.
-Digests of units are grouped globally and the earliest occurrence stays. Runs of removed units
-under ``least_words`` words are left alone: short lines recur by chance.
+Digests of units are grouped globally and the earliest occurrence stays. Whole lines that recur
+go at any length. Runs of pieces under ``least_words`` words are left alone: they recur by chance.
+
+Passages don't depend on the cuts: of each ``SEEDS`` neighbouring windows of ``LEAST_WORDS`` words
+the one of the least hash is a seed, so any ``SEEDS + LEAST_WORDS - 1`` words that recur hold one.
+A seed is grown word by word, both ways, against its first occurrence.
 """
 
 import hashlib
@@ -16,17 +20,21 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.llm.shingles import windows
 from tallyloom.session import written
 
 #: One word in so many ends a unit, besides those that end a line.
 UNIT_WORDS = 8
 #: A run of removed units has so many words at least.
 LEAST_WORDS = 25
+#: Neighbouring windows of which one is a seed.
+SEEDS = 26
 
 _WORD = re.compile("[^\x20\x09-\x0d]+")
 _EDGE = ".,;:!?\"'()[]{}#*$%&|<>"
 
-_UNITS = "doc_id long, unit int, start int, stop int, words int, digest binary"
+_UNITS = "doc_id long, kind byte, reach int, place int, after int, start int, stop int, digest binary"
+_PIECE, _LINE, _SEED = range(3)
 
 
 class _Words(dict):
@@ -36,43 +44,93 @@ class _Words(dict):
         if len(self) > 300_000:
             self.clear()
         plain = word.lower().strip(_EDGE)
-        self[word] = found = (plain, xxhash.xxh3_64_intdigest(plain) % 1_000_003)
+        self[word] = found = (plain, xxhash.xxh3_64_intdigest(plain))
         return found
 
 
 _KNOWN = _Words()
 
 
-def units(text: str, every: int = UNIT_WORDS) -> list[tuple[int, int, int, bytes]]:
-    """(start, stop, words, digest) of each unit; offsets count code points.
-
-    Normalised: lower case, marks at the edges of words dropped, blanks made one.
-    """
+def words(text: str) -> tuple[list[tuple[int, int]], list[str], np.ndarray]:
+    """Spans of words in code points, the words normalised (lower case, marks at edges dropped),
+    and hashes of them."""
     spans = [m.span() for m in _WORD.finditer(text)]
     known = [_KNOWN[text[a:b]] for a, b in spans]
-    plain = [k[0] for k in known]
-    found, first = [], 0
+    return spans, [k[0] for k in known], np.fromiter((k[1] for k in known), np.uint64, len(known))
+
+
+def units(text: str, every: int = UNIT_WORDS) -> list[tuple[int, int, int, int, int, int, bytes]]:
+    """(kind, reach, place, after, start, stop, digest) of each piece, line and seed.
+
+    Place and after are numbers of words, start and stop offsets in code points. A unit reaches
+    back over words of marks alone. Blanks are made one.
+    """
+    spans, plain, hashes = words(text)
+    known = (hashes % np.uint64(1_000_003)).tolist()
+    found, first, line, reach, line_reach = [], 0, 0, 0, 0
     for i, (_, stop) in enumerate(spans):
         last = i + 1 == len(spans)
         ends = last or "\n" in text[stop : spans[i + 1][0]]
-        if ends or (known[i][1] * 31 + known[i + 1][1]) % 8191 % every == 0:
+        if ends or (known[i] * 31 + known[i + 1]) % 8191 % every == 0:
             key = " ".join(filter(None, plain[first : i + 1])).encode()
             if key:
                 digest = hashlib.blake2b(key, digest_size=16).digest()
-                found.append((spans[first][0], stop, i + 1 - first, digest))
+                found.append((_PIECE, reach, first, i + 1, spans[first][0], stop, digest))
+                reach = i + 1
             first = i + 1
+        if ends:
+            key = " ".join(filter(None, plain[line : i + 1])).encode()
+            if key:
+                digest = hashlib.blake2b(key, digest_size=16, person=b"line").digest()
+                found.append((_LINE, line_reach, line, i + 1, spans[line][0], stop, digest))
+                line_reach = i + 1
+            line = i + 1
+    real = np.flatnonzero([bool(w) for w in plain])
+    hashes = hashes[real]
+    for p in seeds(hashes):
+        digest = xxhash.xxh3_128_digest(hashes[p : p + LEAST_WORDS].tobytes())
+        found.append((_SEED, p, p, p + LEAST_WORDS, 0, 0, digest))
+    return found
+
+
+def seeds(hashes: np.ndarray) -> list[int]:
+    """Places of the windows that are least among ``SEEDS`` neighbours (or all, if fewer)."""
+    if len(hashes) < LEAST_WORDS:
+        return []
+    made = windows(hashes, LEAST_WORDS)
+    views = np.lib.stride_tricks.sliding_window_view(made, min(SEEDS, len(made)))
+    return np.unique(views.argmin(axis=1) + np.arange(len(views))).tolist()
+
+
+def grown(mine: np.ndarray, theirs: np.ndarray, places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches (start, stop) of ``mine`` that equal ``theirs`` around the seeds at ``places``."""
+    found: list[tuple[int, int]] = []
+    for p, q in sorted(places):
+        if not np.array_equal(mine[p : p + LEAST_WORDS], theirs[q : q + LEAST_WORDS]):
+            continue  # another text of the same doc_id
+        if found and found[-1][0] <= p and p + LEAST_WORDS <= found[-1][1]:
+            a, b = found[-1]
+            ends = a - 1, b  # words just outside; a seed that can't pass them adds nothing
+            if not any(0 <= k < len(mine) and 0 <= k - p + q < len(theirs) and mine[k] == theirs[k - p + q] for k in ends):
+                continue
+        n = min(p, q)
+        other = np.flatnonzero(mine[p - n : p][::-1] != theirs[q - n : q][::-1])
+        start = p - (int(other[0]) if len(other) else n)
+        n = min(len(mine) - p, len(theirs) - q)
+        other = np.flatnonzero(mine[p : p + n] != theirs[q : q + n])
+        found.append((start, p + (int(other[0]) if len(other) else n)))
     return found
 
 
 def hashed(documents: DataFrame) -> DataFrame:
-    """One row for each unit: doc_id, unit (its number), start, stop, words, digest."""
+    """One row for each unit: doc_id and what ``units`` gives."""
 
     def run(batches):
         for batch in batches:
             docs, texts = (c.to_pylist() for c in batch.columns)
             rows: list[tuple] = []
             for doc, text in zip(docs, texts, strict=True):
-                rows += [(doc, n, *u) for n, u in enumerate(units(text))]
+                rows += [(doc, *u) for u in units(text)]
                 if len(rows) > 50_000:
                     yield _batch(rows)
                     rows = []
@@ -82,42 +140,85 @@ def hashed(documents: DataFrame) -> DataFrame:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"doc_id": pa.int64(), "unit": pa.int32(), "start": pa.int32(), "stop": pa.int32(), "words": pa.int32()}
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+    kinds = {"doc_id": pa.int64(), "kind": pa.int8()}
+    kinds |= dict.fromkeys(("reach", "place", "after", "start", "stop"), pa.int32())
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 8
     arrays = [pa.array(np.array(c, k.to_pandas_dtype())) for c, k in zip(columns, kinds.values(), strict=False)]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(columns[5], pa.binary())], [*kinds, "digest"])
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(columns[7], pa.binary())], [*kinds, "digest"])
+
+
+def _grown(seeds: DataFrame, documents: DataFrame) -> DataFrame:
+    """The stretches around repeated seeds, grown against the documents of their first occurrence."""
+    pairs = seeds.groupBy("doc_id", "first_doc_id").agg(F.collect_list(F.struct("place", "first_place")).alias("places"))
+    sides = (
+        pairs.join(documents, "doc_id")
+        .join(documents.select(F.col("doc_id").alias("first_doc_id"), F.col("text").alias("theirs")), "first_doc_id")
+        .select("doc_id", "first_doc_id", "places", "text", "theirs")
+    )
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):
+                rows = []
+                for doc, first, places, text, theirs in zip(*(c.to_pylist() for c in batch.slice(at, 100).columns), strict=True):
+                    spans, plain, hashes = words(text)
+                    real = np.flatnonzero([bool(w) for w in plain])
+                    _, others, other = words(theirs)
+                    other = other[np.flatnonzero([bool(w) for w in others])]
+                    places = [(x["place"], x["first_place"]) for x in places]
+                    for a, b in grown(hashes[real], other, places):
+                        place, after = int(real[a]), int(real[b - 1]) + 1
+                        rows.append((doc, first, place, after, spans[place][0], spans[after - 1][1]))
+                columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+                names = ["doc_id", "first_doc_id", "place", "after", "start", "stop"]
+                types = [pa.int64()] * 2 + [pa.int32()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    return sides.mapInArrow(run, "doc_id long, first_doc_id long, place int, after int, start int, stop int")
 
 
 def repeated_spans(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """One row (doc_id, start, stop, n_words, first_doc_ids) for each run of repeated units.
 
-    A unit is repeated where the same digest occurs at an earlier (doc_id, unit); a run is of
-    units next to each other. Offsets are those of the original text. Rows with a null doc_id
-    or a null text have no spans; rows that repeat a doc_id and its text are one document.
+    A unit is repeated where the same digest occurs at an earlier (doc_id, place); a run is of
+    units next to each other, or over each other. Offsets are those of the original text. Rows
+    with a null doc_id or a null text have no spans; rows that repeat a doc_id and its text are
+    one document.
     """
     rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    found = hashed(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = hashed(rows)
     earliest = (
-        found.groupBy("digest").agg(F.min(F.struct("doc_id", "unit")).alias("first"), F.count("*").alias("n"))
+        found.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
         .where("n > 1").select("digest", "first")
     )
     later = (
-        found.join(earliest, "digest").where("struct(doc_id, unit) > first")
-        .select("doc_id", "unit", "start", "stop", "words", F.col("first.doc_id").alias("first_doc_id"))
-        .dropDuplicates(["doc_id", "unit"])
+        found.join(earliest, "digest").where("struct(doc_id, place) > first")
+        .select("doc_id", "kind", "reach", "place", "after", "start", "stop",
+                F.col("first.doc_id").alias("first_doc_id"), F.col("first.place").alias("first_place"))
+        .dropDuplicates(["doc_id", "kind", "place"])
     )
-    order = Window.partitionBy("doc_id").orderBy("unit")  # one document's units
-    runs = later.withColumn("run", F.col("unit") - F.row_number().over(order))
+    later = written(later, "units")
+    stretches = _grown(later.where(f"kind = {_SEED}"), rows)
+    parts = later.where(f"kind <> {_SEED}").drop("first_place").unionByName(
+        stretches.withColumns({"kind": F.lit(_SEED).cast("byte"), "reach": F.col("place")})
+    )
+    order = Window.partitionBy("doc_id").orderBy("place", "after", "kind")  # one document's units
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("new", F.coalesce(F.col("reach") > F.max("after").over(before), F.lit(True)))
+    parts = parts.withColumn("run", F.sum(F.col("new").cast("int")).over(order))
+    run = Window.partitionBy("doc_id", "run")
+    parts = parts.withColumn("long", F.max("after").over(run) - F.min("place").over(run) >= least_words)
     return (
-        runs.groupBy("doc_id", "run")
+        parts.where(f"long OR kind = {_LINE}")
+        .groupBy("doc_id", "run", F.when(~F.col("long"), F.col("place")).alias("line"))
         .agg(
             F.min("start").alias("start"),
             F.max("stop").alias("stop"),
-            F.sum("words").alias("n_words"),
+            (F.max("after") - F.min("place")).cast("long").alias("n_words"),
             F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids"),
         )
-        .where(F.col("n_words") >= least_words)
-        .drop("run")
+        .drop("run", "line")
     )
 
 

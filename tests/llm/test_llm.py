@@ -190,6 +190,24 @@ def test_units_of_a_pasted_passage(spark, odd, none):
     assert {r.doc_id for r in spans.collect()} <= {5, 6, 9} and unit_dedup.repeated_spans(none).count() == 0
 
 
+def test_units_of_many_passages_and_short_lines(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    some = lambda n: " ".join(word() for _ in range(n))
+    rows, spans = [], {}
+    for i in range(300):
+        passage, head = some(rng.randint(51, 60)), some(20)
+        rows += [(2 * i, f"{some(20)} {passage} {some(20)}"), (2 * i + 1, f"{head} {passage} {some(20)}")]
+        spans[2 * i + 1] = [(len(head) + 1, len(head) + 1 + len(passage))]
+    rows += [(1000, f"own line\n{some(4)}"), (1001, "Own line."), (1002, f"{some(5)}\nown  line\n{some(6)}")]
+    spans[1001] = [(0, 9)]
+    spans[1002] = [(rows[-1][1].index("own"), rows[-1][1].index("own") + 9)]
+    got = collections.defaultdict(list)
+    for r in unit_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.doc_id].append((r.start, r.stop))
+    assert got == spans
+
+
 def test_patience_alignment():
     a, b = [1, 2, 3, 3, 4, 9], [7, 2, 3, 3, 4, 8, 1]
     assert line_dedup.aligned(a, b) == [(1, 1), (2, 2), (3, 3), (4, 4)]
