@@ -29,8 +29,10 @@ HEAD_WORDS = 50_000
 HELD = 300_000
 #: Weight of the vocabulary's order among the learned counts.
 PRIOR = 0.1
-#: Characters of a word up to which probabilities are summed as they are.
+#: Characters of a word up to which probabilities are first summed as they are.
 DIRECT = 24
+#: A plain sum under this is made again in log space.
+LEAST = 1e-280
 
 
 def word_list(text: str | None) -> list[bytes]:
@@ -42,7 +44,7 @@ class Lattice:
     """Pieces with probabilities, as a trie over characters; bytes stand in for other characters.
 
     A node is [children, probability or 0, number of the piece]. Words of up to ``DIRECT``
-    characters are summed as they are, which can't underflow; longer ones in log space.
+    characters are summed as they are; longer ones, and sums under ``LEAST``, in log space.
     """
 
     def __init__(self, pieces: Sequence[str], logs: Sequence[float]):
@@ -98,7 +100,7 @@ class Lattice:
                         first = node[1]
             if not first:
                 sums[i + 1] += base * math.exp(self.spelled(text[i]))
-        return math.log10(sums[n])
+        return math.log10(sums[n]) if sums[n] >= LEAST else self.forward(self.arcs(text))[-1] / math.log(10)
 
     def forward(self, arcs) -> list[float]:
         """The log of the summed probability of all segmentations up to each place."""
@@ -122,6 +124,9 @@ class Lattice:
             base = ahead[i]
             for j, _, p in here:
                 ahead[j] += base * p
+        if ahead[n] < LEAST:
+            self._expected(text, arcs, times, counts)
+            return
         back = [0.0] * n + [times / ahead[n]]
         for i in range(n - 1, -1, -1):
             base, total = ahead[i], 0.0
