@@ -98,6 +98,3 @@ VARIANTS = [
     "rtx_2080_ti", "rtx_3090", "rtx_4090", "titan_rtx",
     "quadro_rtx_6000", "v100", "a100_pcie_40gb", "a100_80gb",
 ]
-
-# Regions of the given tables by key, declared as the variants of two queries.
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]

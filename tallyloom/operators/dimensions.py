@@ -12,6 +12,12 @@ def per_variant(df: DataFrame, variants: list[str] = fixed.VARIANTS, out: str =
     return df.withColumn(out, F.explode(F.array(*[F.lit(v) for v in variants])))
 
 
+def per_row(df: DataFrame, small: DataFrame, out: str = "variant") -> DataFrame:
+    """Every row under every row of a small table, a struct; the table is read as one array."""
+    held = small.agg(F.collect_list(F.struct(*small.columns)).alias("held"))
+    return df.withColumn(out, held.scalar()).withColumn(out, F.explode(out))
+
+
 def tier_of(size: Column, tiers: list[dict], kind: Column | None = None) -> Column:
     """The fields of the first tier whose inclusive bounds hold ``size``; NULL if none does."""
     chosen = None

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from tallyloom import fixed
 from tallyloom.functions import names, sizes
 from tallyloom.functions.text import log_captures
 from tallyloom.operators import compose, dimensions, existence
@@ -291,16 +290,14 @@ def log_roundtrip(spark, sf_dir):
 FROM supplier CROSS JOIN region""")
 def variant_scores(spark, sf_dir):
     """Every supplier under every region: which results exist, and their scores where they do."""
-    variants = [{"r_name": n, "r_regionkey": i} for i, n in enumerate(fixed.REGIONS)]
+    regions = table(spark, sf_dir, "region").select("r_name", "r_regionkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
-    expected = dimensions.per_variant(suppliers, [v["r_name"] for v in variants]).select(
+    crossed = dimensions.per_row(suppliers, regions, "region").withColumn("variant", F.col("region.r_name"))
+    expected = crossed.select(
         "variant", F.col("s_suppkey").alias("id"), F.concat_ws("/", "variant", "s_suppkey").alias("path")
     )
-    floors = F.create_map(*[F.lit(x) for v in variants for x in (v["r_name"], v["r_regionkey"])])
-    listing = (
-        dimensions.per_variant(suppliers, [v["r_name"] for v in variants])
-        .where(F.col("s_acctbal") >= 1000 * floors[F.col("variant")])
-        .select(F.concat_ws("/", "variant", "s_suppkey").alias("path"), "s_acctbal")
+    listing = crossed.where(F.col("s_acctbal") >= 1000 * F.col("region.r_regionkey")).select(
+        F.concat_ws("/", "variant", "s_suppkey").alias("path"), "s_acctbal"
     )
     flagged = existence.with_exists(expected, listing, "path", "isfile")
     scored = flagged.join(listing, "path", "left")

@@ -283,10 +283,10 @@ def required_lookup(spark, sf_dir):
   r_name || '/' || s_suppkey || '/' || s_suppkey || '_scores.json.gz' AS expected
 FROM supplier CROSS JOIN region""")
 def variant_cross(spark, sf_dir):
-    """Regions are the variants, declared as a parameter of the query."""
-    variants = fixed.REGIONS
+    """Regions are the variants."""
+    regions = table(spark, sf_dir, "region").select("r_name")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey")
-    crossed = dimensions.per_variant(suppliers, variants)
+    crossed = dimensions.per_row(suppliers, regions).withColumn("variant", F.col("variant.r_name"))
     scores = names.filled("/{id}/{id}_scores.json.gz", F.col("s_suppkey"))
     return crossed.withColumn("expected", F.concat("variant", scores))
 
