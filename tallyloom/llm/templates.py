@@ -1,11 +1,13 @@
 """Benchmark decontamination through templates with typed slots.
 
-Words become a template: numbers, names and units of measure turn into typed placeholders. The
-hashes of all windows of ``WINDOW`` template tokens of documents and benchmark items are joined.
-Windows that keep the same distance between document and item form one reading of the item;
+Words become a template: numbers, names and units of measure turn into typed placeholders, runs
+of one kind into a single one. The hashes of all windows of ``WINDOW`` template tokens of
+documents and benchmark items are joined. Windows at the same distance between document and item
+form one reading of the item, and so do windows at nearby distances, as inserted words make them;
 within a reading each slot value of the item must stand for one value of the document, or the
 windows that disagree don't count. A document is contaminated by an item if enough of the item's
-windows are found in one reading.
+windows are found in one reading. The same is done without regard to case, with names as words.
+Items without a window contaminate the documents whose whole template is theirs.
 """
 
 import re
@@ -23,6 +25,8 @@ from tallyloom.session import written
 WINDOW, LITERALS = 5, 3
 #: Share of an item's windows that contaminates.
 SHARE = 0.5
+#: Distances that differ by no more than this, or a quarter of the item's windows, are nearby.
+NEAR = 16
 #: Bits of the filter that spares windows of documents the join; its size is fixed, and windows
 #: that it lets through in error are lost in the join.
 FILTER_BITS = 1 << 23
@@ -46,7 +50,10 @@ _ENDS = (".", "!", "?", ":", "|", "•")
 _LITERAL, _NUM, _UNIT, _NAME = range(4)
 _SLOTS = np.array([0, *(xxhash.xxh3_64_intdigest(f"slot {k}") for k in (_NUM, _UNIT, _NAME))], np.uint64)
 
-_HITS = "id long, place int, hash long, kinds array<byte>, values array<long>"
+_HITS = "id long, place int, hash long, kinds array<byte>, values array<long>, way byte"
+#: Ways to read a text, which set their hashes apart: names as slots, names as words, as a whole.
+_SLOTTED, _CASELESS, _WHOLE = range(3)
+_APART = [np.uint64(xxhash.xxh3_64_intdigest(f"way {k}")) for k in range(3)]
 
 
 #: Words a Python worker knows at a time.
@@ -82,11 +89,12 @@ class _Words(dict):
 _MET = _Words()
 
 
-def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def template(text: str | None, names: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of template tokens, their kinds, and hashes of the words they stand for.
 
     A unit counts as one behind a number only. A name is a word with a capital that doesn't
-    begin a line or a sentence. Marks at words' edges and case are dropped.
+    begin a line or a sentence; without ``names`` it is a word as others. Marks at words' edges
+    and case are dropped. A run of one kind of slot is one token.
     """
     text = text or ""
     if _WITH_UNIT.search(text):
@@ -109,19 +117,39 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     values, kinds, capitals, begins = values[real], kinds[real], capitals[real], begins[real]
     behind = np.r_[False, kinds[:-1] == _NUM] if len(kinds) else np.zeros(0, bool)
     kinds = np.where((kinds == _UNIT) & ~behind, _LITERAL, kinds)
-    kinds = np.where((kinds == _LITERAL) & capitals & ~begins, _NAME, kinds).astype(np.int8)
+    if names:
+        kinds = np.where((kinds == _LITERAL) & capitals & ~begins, _NAME, kinds)
+    kinds = kinds.astype(np.int8)
+    if len(kinds):
+        first = np.flatnonzero(np.r_[True, (kinds[1:] == _LITERAL) | (kinds[1:] != kinds[:-1])])
+        within = np.arange(len(kinds)) - np.repeat(first, np.diff(np.r_[first, len(kinds)]))
+        values = np.add.reduceat(values * (2 * within + 1).astype(np.uint64), first)
+        kinds = kinds[first]
     return np.where(kinds == _LITERAL, values, _SLOTS[kinds]), kinds, values
 
 
-def _windows(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places and hashes of the windows with enough literal words; kinds and values of tokens."""
-    tokens, kinds, values = template(text)
+def _windows(text: str | None, way: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places and hashes of the windows with enough literal words; kinds and values of tokens.
+    As a whole a text is one window at place 0, by its words if they are all slots."""
+    tokens, kinds, values = template(text, way != _CASELESS)
     none = np.zeros(0, np.int64)
+    if way == _WHOLE and len(tokens):
+        seen = tokens if (kinds == _LITERAL).any() else values
+        whole = np.array([xxhash.xxh3_64_intdigest(seen.tobytes())], np.uint64)
+        return np.zeros(1, np.int64), whole ^ _APART[way], kinds, values
     if len(tokens) < WINDOW:
         return none, none.astype(np.uint64), kinds, values
     literal = np.convolve(kinds == _LITERAL, np.ones(WINDOW, int), "valid")
     places = np.flatnonzero(literal >= LITERALS)
-    return places, windows(tokens, WINDOW)[places], kinds, values
+    return places, windows(tokens, WINDOW)[places] ^ _APART[way], kinds, values
+
+
+def _ways(text: str, item: bool) -> list[tuple[int, tuple]]:
+    """Each way with its windows: an item is compared as a whole only if it has no others."""
+    made = [(way, _windows(text, way)) for way in (_SLOTTED, _CASELESS)]
+    if not item or not any(len(w[0]) for _, w in made):
+        made.append((_WHOLE, _windows(text, _WHOLE)))
+    return made
 
 
 def _rows(df: DataFrame, key: str, passed=None) -> DataFrame:
@@ -133,20 +161,20 @@ def _rows(df: DataFrame, key: str, passed=None) -> DataFrame:
                 ids, texts = (c.to_pylist() for c in batch.slice(at, 500).columns)
                 rows = []
                 for i, text in zip(ids, texts, strict=True):
-                    places, hashes, kinds, values = _windows(text)
-                    if passed is not None and len(hashes):
-                        met = passed.value[hashes % np.uint64(FILTER_BITS)]
-                        places, hashes = places[met], hashes[met]
-                    for p, h in zip(places.tolist(), hashes.view(np.int64).tolist(), strict=True):
-                        rows.append((i, p, h, kinds[p : p + WINDOW], values[p : p + WINDOW].view(np.int64)))
+                    for way, (places, hashes, kinds, values) in _ways(text, passed is None):
+                        if passed is not None and len(hashes):
+                            met = passed.value[hashes % np.uint64(FILTER_BITS)]
+                            places, hashes = places[met], hashes[met]
+                        for p, h in zip(places.tolist(), hashes.view(np.int64).tolist(), strict=True):
+                            rows.append((i, p, h, kinds[p : p + WINDOW], values[p : p + WINDOW].view(np.int64), way))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[k] for r in rows], t)
                         for k, t in enumerate(
-                            (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.int64()))
+                            (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.int64()), pa.int8())
                         )
                     ],
-                    ["id", "place", "hash", "kinds", "values"],
+                    ["id", "place", "hash", "kinds", "values", "way"],
                 )
 
     return df.where(f"`{key}` IS NOT NULL AND text IS NOT NULL").select(
@@ -168,15 +196,15 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHAR
     for each document and item with its best reading.
 
     Items with fewer than ``WINDOW`` template tokens, or without a window of enough literal
-    words, can't be found. Null ids and null texts match nothing; repeated rows count once.
+    words, are found in documents that are nothing else. Null ids and null texts match nothing; repeated rows count once.
     """
     items = _rows(benchmark.select("item_id", "text"), "item_id").dropDuplicates(["id", "place", "hash"])
-    sizes = items.groupBy("id").agg(F.countDistinct("place").alias("n_windows")).withColumnRenamed("id", "item_id")
-    hits = _rows(documents.select("doc_id", "text"), "doc_id", _filter(items))
+    sizes = items.groupBy("id", "way").agg(F.countDistinct("place").alias("n_windows"))
+    hits = _rows(documents.select("doc_id", "text"), "doc_id", _filter(items)).drop("way")
     met = (
-        hits.alias("d").join(items.alias("i"), "hash")
+        hits.alias("d").join(items.join(sizes, ["id", "way"]).alias("i"), "hash")
         .select(
-            F.col("d.id").alias("doc_id"), F.col("i.id").alias("item_id"),
+            F.col("d.id").alias("doc_id"), F.col("i.id").alias("item_id"), "i.way", "i.n_windows",
             (F.col("d.place") - F.col("i.place")).alias("offset"), F.col("i.place").alias("place"),
             F.expr(
                 "filter(transform(d.kinds, (k, n) -> named_struct('kind', k, 'theirs', i.values[n], "
@@ -184,8 +212,18 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHAR
             ).alias("slots"),
         )
     )
-    met = written(met, "met")
-    reading = ["doc_id", "item_id", "offset"]
+    # A window is in the reading of its own distance and in two of nearby ones that overlap by half.
+    met = written(met, "met").withColumn("near", F.expr(f"greatest({NEAR}, n_windows DIV 4)")).withColumn(
+        "at",
+        F.explode(
+            F.expr(
+                "array(struct(0 AS kind, CAST(offset AS BIGINT) AS n), "
+                "struct(1 AS kind, CAST(floor(offset / (2 * near)) AS BIGINT) AS n), "
+                "struct(2 AS kind, CAST(floor((offset + near) / (2 * near)) AS BIGINT) AS n))"
+            )
+        ),
+    )
+    reading = ["doc_id", "item_id", "way", "n_windows", "at"]
     # In a reading an item's value stands for its most usual value of the document.
     bound = (
         met.select(*reading, F.explode("slots").alias("s"))
@@ -197,14 +235,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHAR
     fits = met.join(bound, reading, "left").where(
         "bound IS NULL OR forall(slots, s -> array_contains(bound, s))"
     )
-    best = fits.groupBy(*reading).agg(F.countDistinct("place").alias("n_found"))
-    best = best.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_found", (-F.col("offset")).alias("back"))).alias("b"))
-    return (
-        best.join(sizes, "item_id")
-        .select("doc_id", "item_id", "n_windows", F.col("b.n_found").alias("n_found"), (-F.col("b.back")).alias("offset"))
-        .withColumn("share", F.col("n_found") / F.col("n_windows"))
-        .where(F.col("share") >= share)
-    )
+    best = fits.groupBy(*reading).agg(F.countDistinct("place").alias("n_found"), F.min("offset").alias("offset"))
+    best = best.withColumn("share", F.col("n_found") / F.col("n_windows"))
+    order = F.struct("share", "n_found", (-F.col("offset")).alias("back"), "n_windows")
+    best = best.groupBy("doc_id", "item_id").agg(F.max(order).alias("b"))
+    return best.select(
+        "doc_id", "item_id", "b.n_windows", "b.n_found", (-F.col("b.back")).alias("offset"), "b.share"
+    ).where(F.col("share") >= share)
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
