@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, lattice_lm, line_dedup, minhash_join, quality_rules, templates, token_counts, unit_dedup, url_filter, weak_labels
+from tallyloom.llm import bpe_codec, lattice_lm, lexical_search, line_dedup, minhash_join, phrases, quality_rules, templates, token_counts, toxicity, unit_dedup, url_filter, weak_labels
 from tallyloom.plans.registry import Query, table
 
 #: The vocabulary's file; a parameter of every operator that uses one.
@@ -135,3 +135,81 @@ def classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_labels.classified(documents(spark, sf_dir)).select(
         "doc_id", "label", "score", "kept", F.array_join("votes", ",").alias("votes")
     )
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_CAPITALS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@query(
+    "op13_ranked_search",
+    f"""WITH found AS (
+        SELECT row_number() OVER () AS row, doc_id,
+            regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '{_TERM}') AS words
+        FROM documents),
+    held AS (SELECT row, doc_id, words, len(words)::BIGINT AS n FROM found WHERE len(words) > 0),
+    sums AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM held),
+    counted AS (
+        SELECT row, doc_id, n, term, count(*)::BIGINT AS tf
+        FROM (SELECT row, doc_id, n, unnest(words) AS term FROM held) GROUP BY ALL),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+        FROM counted, sums GROUP BY term, nn),
+    asked AS (
+        SELECT DISTINCT item_id,
+            unnest(regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '{_TERM}')) AS term
+        FROM benchmark),
+    scores AS (
+        SELECT item_id, row, doc_id,
+            sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * nn) // ll))))::BIGINT AS score
+        FROM asked JOIN counted USING (term) JOIN weights USING (term), sums GROUP BY item_id, row, doc_id)
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank,
+        doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= {lexical_search.BEST}""",
+)
+def search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each benchmark item the documents most like it."""
+    return lexical_search.ranked(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_toxicity")
+def score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op11_collocations",
+    f"""WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+            unnest(string_split_regex(translate(coalesce(text, ''), {_CAPITALS}), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents),
+    cut AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+    totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang),
+    grams AS (
+        SELECT lang, size, unnest(list_transform(range(1, greatest(len(w) - size + 2, 1)),
+            lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+        FROM cut, (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE len(w) >= size),
+    f AS (SELECT lang, size, phrase, count(*)::BIGINT AS f FROM grams GROUP BY ALL HAVING count(*) >= {phrases.LEAST}),
+    inside AS (
+        SELECT lang, f, string_split(phrase, ' ')[i:i + m - 1] AS part
+        FROM f, (SELECT unnest([2, 3, 4]) AS m), (SELECT unnest([1, 2, 3, 4]) AS i) WHERE m < size AND i + m - 1 <= size),
+    most AS (SELECT lang, array_to_string(part, ' ') AS phrase, max(f) AS most FROM inside GROUP BY ALL),
+    kept AS (
+        SELECT lang, phrase, size, f AS a FROM f LEFT JOIN most USING (lang, phrase)
+        WHERE size >= 2 AND (most IS NULL OR 100 * most < {phrases.COVERED} * f)),
+    cuts AS (
+        SELECT lang, phrase, a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS p,
+            array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS q
+        FROM kept, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE k < size),
+    scores AS (
+        SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n,
+            ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.p JOIN f y ON y.lang = c.lang AND y.phrase = c.q
+        JOIN totals t ON t.lang = c.lang),
+    least AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank,
+        phrase, a, l, r, n, score
+    FROM least QUALIFY rank <= {phrases.BEST}""",
+)
+def mine_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
