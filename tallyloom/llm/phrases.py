@@ -8,7 +8,8 @@ is a phrase and its size the phrase's count, and parts below the least count are
 Words come first: a word that is rare in its language ends every suffix, since no frequent
 phrase holds it. Suffixes that begin with a very common pair are routed by three words, then
 four, then five, so no route grows with the commonest phrase; the shorter phrases of such
-suffixes are summed up in each task and routed on their own.
+suffixes are summed up in each task and routed on their own. On the way the ``CODED`` most
+frequent words are written as short codes.
 """
 
 import numpy as np
@@ -31,6 +32,9 @@ COVERED = 100
 #: Phrases reported for each language.
 BEST = 2000
 
+#: Frequent words that have codes, at most.
+CODED = 1 << 18
+
 #: Bits of the filter of frequent words; its size is fixed, more words let more rare ones pass.
 _FILTER_BITS = 1 << 22
 #: Hashed counters of phrases, for each number of words; a hot one has so many suffixes, and so
@@ -63,11 +67,10 @@ _COUNT = StructType(
 )
 _SUFFIX = StructType(
     [
-        StructField("route", LongType()),
-        StructField("least_size", IntegerType()),
         StructField("lang", StringType()),
         StructField("words", StringType()),
-        StructField("n", LongType()),
+        #: 8 * occurrences + the least size of a phrase that the row counts for.
+        StructField("n_size", LongType()),
     ]
 )
 _PHRASE = StructType(
@@ -80,6 +83,19 @@ _PHRASE = StructType(
 )
 
 
+#: A suffix's route: its language and first words, as many as its least size.
+_ROUTE = "xxhash64(lang, substring_index(words, ' ', CAST(n_size & 7 AS INT)))"
+
+
+def code(rank: int) -> bytes:
+    """A short name for a word; no word begins with a full stop, since these end pieces."""
+    digits = b""
+    while rank or not digits:
+        rank, digit = divmod(rank, 94)
+        digits += bytes([33 + digit])
+    return b"." + digits
+
+
 def word_hash(lang: str, word: bytes) -> int:
     """As Spark's xxhash64 of the string "lang word", unsigned."""
     return xxhash.xxh64_intdigest(lang.encode() + b" " + word, 42)
@@ -125,8 +141,9 @@ class Words(dict):
     def full(self) -> bool:
         return len(self) > _WORDS or self.held > 100 * _WORDS
 
-    def strings(self) -> pa.Array:
-        return pa.array(self.words, pa.binary()).cast(pa.string())
+    def strings(self, codes: dict[bytes, bytes] | None = None) -> pa.Array:
+        words = self.words if codes is None else [codes.get(w, w) for w in self.words]
+        return pa.array(words, pa.binary()).cast(pa.string())
 
 
 def mixed(hashes: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
@@ -223,42 +240,39 @@ def summed(found: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray,
 
 
 def routed(found: np.ndarray, n: np.ndarray, hashes: np.ndarray, hot: dict[int, np.ndarray]):
-    """(route, least size, suffixes, counts): suffixes are cut short, or sent on by more words."""
+    """(least size, suffixes, counts): suffixes are cut short, or sent on by more words."""
     for size in range(2, LONGEST + 1):
-        route = mixed(hashes, list(found[:size])).view(np.int64)
         on = np.zeros(len(n), bool)
         if size < LONGEST and hot[size].any():
             on = hot[size][buckets(hashes, list(found[:size]))] & (found[size] > 0)
-        yield route[~on], size, found[:, ~on], n[~on]
+        yield size, found[:, ~on], n[~on]
         if not on.any():
             return
         short, total = found[:, on].copy(), n[on]
         short[size:] = 0
-        short, total = summed(short, total)
-        yield mixed(hashes, list(short[:size])).view(np.int64), size, short, total
+        yield size, *summed(short, total)
         found, n = found[:, on], n[on]
 
 
-def _route_suffixes(frequent, hot):
+def _route_suffixes(frequent, hot, coded):
     arrow = to_arrow_schema(_SUFFIX)
 
     def run(batches):
         known: dict[str, Words] = {}
         held: dict[str, list] = {}
         passing = np.unpackbits(frequent.value)
+        codes = {word: code(rank) for rank, word in enumerate(coded.value)}
 
         def emptied(lang):
             words, parts = known[lang], held.pop(lang, [])
             found = np.concatenate(parts, axis=1) if parts else np.zeros((LONGEST, 0), np.int32)
             if found.shape[1]:
-                strings, hashes = words.strings(), np.array(words.hashes, np.uint64)
-                for route, size, suffix, n in routed(*summed(found), hashes, hot.value):
+                strings, hashes = words.strings(codes), np.array(words.hashes, np.uint64)
+                for size, suffix, n in routed(*summed(found), hashes, hot.value):
                     if len(n):
                         taken = [strings.take(pa.array(c, mask=c == 0)) for c in suffix]
                         joined = pc.binary_join_element_wise(*taken, " ", null_handling="skip")
-                        langs = pa.array([lang] * len(n), pa.string())
-                        sizes = pa.array(np.full(len(n), size, np.int32))
-                        columns = [pa.array(route), sizes, langs, joined, pa.array(n)]
+                        columns = [pa.array([lang] * len(n), pa.string()), joined, pa.array(8 * n + size)]
                         yield pa.RecordBatch.from_arrays(columns, schema=arrow)
             words.clear()
 
@@ -302,10 +316,10 @@ def quicksorted(columns: np.ndarray, n: np.ndarray, least_size: np.ndarray, leas
             stack.append((same, depth + 1))
 
 
-def _count_suffixes(least: int):
+def _count_suffixes(least: int, coded):
     arrow = to_arrow_schema(_PHRASE)
 
-    def counted(table: pa.Table) -> pa.RecordBatch:
+    def counted(table: pa.Table, texts: dict[str, str]) -> pa.RecordBatch:
         lists = pc.split_pattern(table.column("words").combine_chunks(), " ")
         words = lists.flatten().dictionary_encode()
         lang = table.column("lang").combine_chunks().dictionary_encode()
@@ -315,9 +329,9 @@ def _count_suffixes(least: int):
         columns[0] = lang.indices.to_numpy()
         rows = np.repeat(np.arange(len(sizes)), sizes)
         columns[np.arange(len(rows)) - np.repeat(offsets[:-1] - offsets[0], sizes) + 1, rows] = words.indices.to_numpy()
-        n, least_size = table.column("n").to_numpy(), table.column("least_size").to_numpy()
-        found = list(quicksorted(columns, n, least_size, least))
-        names, langs = words.dictionary.to_pylist(), lang.dictionary.to_pylist()
+        n_size = table.column("n_size").to_numpy()
+        found = list(quicksorted(columns, n_size >> 3, n_size & 7, least))
+        names, langs = [texts.get(w, w) for w in words.dictionary.to_pylist()], lang.dictionary.to_pylist()
         made = [
             (langs[columns[0][p]], " ".join(names[w] for w in columns[1 : size + 1, p]), size, count)
             for p, size, count in found
@@ -328,6 +342,7 @@ def _count_suffixes(least: int):
 
     def run(batches):
         """Rows come sorted by route; whole routes are sorted together."""
+        texts = {code(rank).decode(): word.decode() for rank, word in enumerate(coded.value)}
         held, rows = [], 0
         for batch in batches:
             held.append(batch)
@@ -337,10 +352,10 @@ def _count_suffixes(least: int):
                 route = table.column("route").to_numpy()
                 end = int(np.searchsorted(route, route[-1]))
                 if end:
-                    yield counted(table.slice(0, end))
+                    yield counted(table.slice(0, end), texts)
                 held, rows = table.slice(end).to_batches(), table.num_rows - end
         if rows:
-            yield counted(pa.Table.from_batches(held))
+            yield counted(pa.Table.from_batches(held), texts)
 
     return run
 
@@ -367,12 +382,32 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, hot_rows: int = HOT_RO
         found = counts.where(F.col("size") == size).select("bucket", "n").toArrow()
         n = found.column(1).to_numpy()
         table[found.column(0).to_numpy()[n > max(hot_rows, _HOT_SHARE * n.sum() / _BUCKETS)]] = True
+    # At most CODED words.
+    uses = single.groupBy("phrase").agg(F.sum("f").alias("f"))
+    step = F.floor(F.log2("f") * 64)
+    fewest = _least_step(uses.groupBy(step.alias("s")).count().collect(), CODED)
+    common = uses.where((step >= fewest) & (F.length("phrase") <= 64)).toArrow()
+    order = np.argsort(-common.column(1).to_numpy(), kind="stable")
+    words = [w.encode() for w in common.column(0).take(pa.array(order)).to_pylist()]
     context = spark.sparkContext
-    routes = texts.mapInArrow(_route_suffixes(context.broadcast(np.packbits(bits)), context.broadcast(hot)), _SUFFIX)
-    phrases = routes.repartition("route").sortWithinPartitions("route").mapInArrow(_count_suffixes(least), _PHRASE)
+    known = [context.broadcast(v) for v in (np.packbits(bits), hot, words)]
+    found = texts.mapInArrow(_route_suffixes(*known), _SUFFIX).repartition(F.expr(_ROUTE))
+    sorted_ = found.withColumn("route", F.expr(_ROUTE)).sortWithinPartitions("route")
+    phrases = sorted_.mapInArrow(_count_suffixes(least, known[2]), _PHRASE)
     return written(phrases.unionByName(single), "phrases"), totals
 
 
+def _least_step(counted, most: int) -> int:
+    """The lowest of the steps (step, rows) from which on there are at most ``most`` rows."""
+    total, lowest = 0, 1 << 30
+    for step, rows in sorted(map(tuple, counted), reverse=True):
+        total += rows
+        if total > most:
+            break
+        lowest = step
+    return lowest
+
+
 def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, covered: int = COVERED) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's ``best`` phrases of 2 words or more.
 

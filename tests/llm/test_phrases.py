@@ -73,7 +73,7 @@ def test_equals_counting_every_phrase(spark, monkeypatch, hot_rows, best):
     """Also where common beginnings are routed by more words, and blocks are small."""
     docs = corpus(5, 300)
     if best == 7:
-        for name, value in (("_SORTED", 300), ("_SUFFIXES", 500), ("_WORDS", 20), ("_CHUNK", 256)):
+        for name, value in (("_SORTED", 300), ("_SUFFIXES", 500), ("_WORDS", 20), ("_CHUNK", 256), ("CODED", 20)):
             monkeypatch.setattr(phrases, name, value)
     monkeypatch.setattr(phrases, "HOT_ROWS", hot_rows)
     table = spark.createDataFrame(docs, DOCS).repartition(3)
@@ -99,7 +99,7 @@ def test_suffixes_are_routed_by_more_words_where_they_are_many():
     assert found.shape[1] == 5 and n.tolist() == [1] * 5
     hashes = np.array(words.hashes, np.uint64)
     hot = {size: np.ones(phrases._BUCKETS, bool) for size in range(2, 5)}
-    parts = [(size, part.T.tolist()) for _, size, part, n in phrases.routed(found, n, hashes, hot) if len(n)]
+    parts = [(size, part.T.tolist()) for size, part, n in phrases.routed(found, n, hashes, hot) if len(n)]
     assert [size for size, _ in parts] == [2, 2, 3, 3, 4, 4, 5]
     assert parts[-1] == (5, [[1, 2, 3, 4, 5], [2, 3, 4, 5, 6]])
 

@@ -15,7 +15,8 @@ LABELS = "doc_id long, quality int, toxic int"
 
 def test_models_equal_the_formulas(spark, monkeypatch):
     texts = [("you foul thing go", True), ("foul you go away", True), ("you go on and on", False), ("a b c you go", False)] * 30
-    texts += [(f"x{i} y{i % 7} fine", False) for i in range(200)] + [(f"x{i} foul", True) for i in range(60)]
+    texts += [(f"x{i} y{i % 7} fine", False) for i in range(200)]
+    texts += [(f"x{i} z{i % 5} x{i + 1}", False) for i in range(200)] + [(f"x{i} foul", True) for i in range(60)]
     model = toxicity.fitted(spark.createDataFrame(texts, "text string, toxic boolean").repartition(3))
     words = sorted({int(h) for t, _ in texts for h in toxicity.hashes(t)})
     kept_words = [w for w in words if sum((w in toxicity.hashes(t)) for t, _ in texts) >= 2]
