@@ -68,9 +68,10 @@ _COUNT = StructType(
 _SUFFIX = StructType(
     [
         StructField("lang", StringType()),
-        StructField("words", StringType()),
-        #: 8 * occurrences + the least size of a phrase that the row counts for.
-        StructField("n_size", LongType()),
+        #: The words by which suffixes are routed; shorter phrases aren't counted with this row.
+        StructField("head", StringType()),
+        #: Each suffix with this head: its occurrences and further words, one to a line.
+        StructField("tails", StringType()),
     ]
 )
 _PHRASE = StructType(
@@ -83,10 +84,6 @@ _PHRASE = StructType(
 )
 
 
-#: A suffix's route: its language and first words, as many as its least size.
-_ROUTE = "xxhash64(lang, substring_index(words, ' ', CAST(n_size & 7 AS INT)))"
-
-
 def code(rank: int) -> bytes:
     """A short name for a word; no word begins with a full stop, since these end pieces."""
     digits = b""
@@ -257,6 +254,17 @@ def routed(found: np.ndarray, n: np.ndarray, hashes: np.ndarray, hot: dict[int,
 def _route_suffixes(frequent, hot, coded):
     arrow = to_arrow_schema(_SUFFIX)
 
+    def headed(lang, strings, size, suffix, n):
+        """Suffixes, which come sorted, as one row for each head."""
+        words = [strings.take(pa.array(c, mask=c == 0)) for c in suffix]
+        tails = pc.binary_join_element_wise(pa.array(n).cast(pa.string()), *words[size:], " ", null_handling="skip")
+        new = (suffix[:size, 1:] != suffix[:size, :-1]).any(axis=0)
+        starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+        offsets = pa.array(np.append(starts, len(n)), pa.int32())
+        heads = pc.binary_join_element_wise(*(w.take(pa.array(starts)) for w in words[:size]), " ")
+        joined = pc.binary_join(pa.ListArray.from_arrays(offsets, tails), "\n")
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(starts), pa.string()), heads, joined], schema=arrow)
+
     def run(batches):
         known: dict[str, Words] = {}
         held: dict[str, list] = {}
@@ -270,10 +278,7 @@ def _route_suffixes(frequent, hot, coded):
                 strings, hashes = words.strings(codes), np.array(words.hashes, np.uint64)
                 for size, suffix, n in routed(*summed(found), hashes, hot.value):
                     if len(n):
-                        taken = [strings.take(pa.array(c, mask=c == 0)) for c in suffix]
-                        joined = pc.binary_join_element_wise(*taken, " ", null_handling="skip")
-                        columns = [pa.array([lang] * len(n), pa.string()), joined, pa.array(8 * n + size)]
-                        yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+                        yield headed(lang, strings, size, suffix, n)
             words.clear()
 
         for batch in batches:
@@ -316,21 +321,34 @@ def quicksorted(columns: np.ndarray, n: np.ndarray, least_size: np.ndarray, leas
             stack.append((same, depth + 1))
 
 
+def _extents(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each list starts in the flattened array, and its size."""
+    offsets = lists.offsets.to_numpy()
+    return offsets[:-1] - offsets[0], np.diff(offsets)
+
+
 def _count_suffixes(least: int, coded):
     arrow = to_arrow_schema(_PHRASE)
 
     def counted(table: pa.Table, texts: dict[str, str]) -> pa.RecordBatch:
-        lists = pc.split_pattern(table.column("words").combine_chunks(), " ")
-        words = lists.flatten().dictionary_encode()
         lang = table.column("lang").combine_chunks().dictionary_encode()
-        offsets = lists.offsets.to_numpy()
-        sizes = np.diff(offsets)
-        columns = np.full((LONGEST + 1, len(sizes)), -1, np.int32)
-        columns[0] = lang.indices.to_numpy()
-        rows = np.repeat(np.arange(len(sizes)), sizes)
-        columns[np.arange(len(rows)) - np.repeat(offsets[:-1] - offsets[0], sizes) + 1, rows] = words.indices.to_numpy()
-        n_size = table.column("n_size").to_numpy()
-        found = list(quicksorted(columns, n_size >> 3, n_size & 7, least))
+        heads = pc.split_pattern(table.column("head").combine_chunks(), " ")
+        rows = pc.split_pattern(table.column("tails").combine_chunks(), "\n")
+        tails = pc.split_pattern(rows.flatten(), " ")
+        words = pa.concat_arrays([heads.flatten(), tails.flatten()]).dictionary_encode()
+        numbers = words.indices.to_numpy()
+        (head_starts, head_sizes), (_, tail_rows), (tail_starts, tail_sizes) = map(_extents, (heads, rows, tails))
+        n = tails.flatten().take(pa.array(tail_starts)).cast(pa.int64()).to_numpy()
+        row = np.repeat(np.arange(len(head_sizes)), tail_rows)
+        columns = np.full((LONGEST + 1, len(n)), -1, np.int32)
+        columns[0] = lang.indices.to_numpy()[row]
+        least_size, further = head_sizes[row], tail_sizes - 1
+        for k in range(LONGEST):
+            own = k < least_size
+            columns[k + 1, own] = numbers[head_starts[row[own]] + k]
+            own = ~own & (k - least_size < further)
+            columns[k + 1, own] = numbers[len(heads.flatten()) + tail_starts[own] + 1 + k - least_size[own]]
+        found = list(quicksorted(columns, n, least_size, least))
         names, langs = [texts.get(w, w) for w in words.dictionary.to_pylist()], lang.dictionary.to_pylist()
         made = [
             (langs[columns[0][p]], " ".join(names[w] for w in columns[1 : size + 1, p]), size, count)
@@ -391,8 +409,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, hot_rows: int = HOT_RO
     words = [w.encode() for w in common.column(0).take(pa.array(order)).to_pylist()]
     context = spark.sparkContext
     known = [context.broadcast(v) for v in (np.packbits(bits), hot, words)]
-    found = texts.mapInArrow(_route_suffixes(*known), _SUFFIX).repartition(F.expr(_ROUTE))
-    sorted_ = found.withColumn("route", F.expr(_ROUTE)).sortWithinPartitions("route")
+    found = texts.mapInArrow(_route_suffixes(*known), _SUFFIX)
+    route = F.xxhash64("lang", "head")
+    sorted_ = found.repartition(route).withColumn("route", route).sortWithinPartitions("route")
     phrases = sorted_.mapInArrow(_count_suffixes(least, known[2]), _PHRASE)
     return written(phrases.unionByName(single), "phrases"), totals
 
