@@ -21,10 +21,14 @@ def assign_batches(
 
     A batch holds the rows whose running cost, cut to whole hours, falls into
     the same multiple of ``hours``; ids may skip values where one row costs more.
+    Running costs are exact sums, so batches don't depend on how rows are spread.
     """
     sized = by_size(df, size, tie, cost(F.col(size)), **limits)
-    whole = F.floor("weight_cumsum")
-    return sized.withColumn("batch_id", F.floor(whole / F.lit(float(hours))).cast("bigint"))
+    whole = F.floor("weight_cumsum").cast("double")
+    batch = F.floor(whole / F.lit(float(hours))).cast("bigint")
+    return sized.withColumn("batch_id", batch).withColumn(
+        "weight_cumsum", F.col("weight_cumsum").cast("double")
+    )
 
 
 def batch_summary(plan: DataFrame, prefix: str = "predictions") -> DataFrame:
@@ -70,15 +74,15 @@ def equal_effort(
     between its least and greatest value; ``batch_id`` is the whole part of the
     bin's average rank over all rows. Bins may stay empty.
     """
-    squared = F.col(size).cast("double") * F.col(size)
-    names = SizeOrder(position="_pos", weight="_weight", running="_running")
-    sized = by_size(df, size, tie, squared, names, **limits)
-    bounds = df.agg(F.sum(squared).alias("_all"), F.min(squared).alias("_least")).first()
-    total = bounds["_all"] or 1.0
-    low, high = (bounds["_least"] or 0.0) / total, 1.0
-    width = (high - low) / splits or 1.0
-    share = F.col("_running") / F.lit(total)
-    bin_ = F.greatest(F.ceil((share - F.lit(low)) / F.lit(width)) - 1, F.lit(0))
+    squared = F.col(size).cast("decimal(12,0)") * F.col(size).cast("decimal(12,0)")
+    names = SizeOrder("_pos", "_weight", "_running", "_all", "_smallest")
+    sized = by_size(df, size, tie, squared, names, digits=0, **limits)
+    total = F.coalesce(F.nullif(F.col("_all").cast("double"), F.lit(0.0)), F.lit(1.0))
+    low = F.coalesce(F.col("_smallest").cast("double"), F.lit(0.0)) / total
+    width = (F.lit(1.0) - low) / F.lit(splits)
+    width = F.when(width == 0, 1.0).otherwise(width)
+    share = F.col("_running").cast("double") / total
+    bin_ = F.greatest(F.ceil((share - low) / width) - 1, F.lit(0))
     binned = sized.withColumn("share", share).withColumn(
         "bin", F.least(bin_, F.lit(splits - 1)).cast("bigint")
     )

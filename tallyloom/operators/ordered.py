@@ -8,16 +8,12 @@ per-slice totals.
 
 from dataclasses import dataclass
 
-import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.skew import HOT_ROWS, hot_keys, split_hot, total
 from tallyloom.session import written
 
-# Most distinct sizes held as a broadcast histogram.
-MAX_SIZES = 100_000
-
 _BEFORE = (Window.unboundedPreceding, -1)
 _UP_TO = (Window.unboundedPreceding, Window.currentRow)
 
@@ -37,7 +33,7 @@ def slices(
     return written(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
-def _sliced_sum(df, value, order, by, out, frame, slice_rows, rows=None):
+def _sliced_sum(df, value, order, by, out, frame, slice_rows, rows=None, total=None):
     sliced = slices(df, [*by, *order], slice_rows, rows)
     totals = sliced.groupBy(*by, "_slice").agg(F.sum(value).alias("_total"))
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(*_BEFORE)
@@ -45,15 +41,17 @@ def _sliced_sum(df, value, order, by, out, frame, slice_rows, rows=None):
         *[F.col(c).alias(f"_{c}") for c in by],
         F.col("_slice").alias("_at"),
         F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"),
+        F.sum("_total").over(Window.partitionBy(*by)).alias("_whole"),
     )
     match = F.col("_slice") == F.col("_at")
     for c in by:
         match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    whole = [F.col("_whole").alias(total)] if total else []
     local = Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(*frame)
     return (
         sliced.withColumn(out, F.coalesce(F.sum(value).over(local), F.lit(0)))
         .join(starts, match)
-        .select(*df.columns, (F.col("_start") + F.col(out)).alias(out))
+        .select(*df.columns, (F.col("_start") + F.col(out)).alias(out), *whole)
     )
 
 
@@ -121,11 +119,18 @@ def previous_value(
 
 @dataclass(frozen=True)
 class SizeOrder:
-    """Names of the columns that :func:`by_size` adds."""
+    """Names of the columns that :func:`by_size` adds; a sum over all rows and the least weight
+    only where they are named."""
 
     position: str = "pos"
     weight: str = "weight"
     running: str = "weight_cumsum"
+    total: str | None = None
+    least: str | None = None
+
+
+#: Bits of a place that count rows within a slice; the others number the slice.
+_PLACE_BITS = 33
 
 
 def by_size(
@@ -134,76 +139,85 @@ def by_size(
     tie: str,
     weight: Column | None = None,
     names: SizeOrder = SizeOrder(),
-    hot_rows: int = HOT_ROWS,
-    max_sizes: int = MAX_SIZES,
+    digits: int = 12,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """0-based position in ``(size, tie)`` order and the running sum of ``weight``.
+    """0-based position in ``(size, tie)`` order and the exact running sum of ``weight``.
+
+    ``weight`` is an expression over ``size`` alone, so equal sizes weigh the same; without
+    it only the position is added. Weights are rounded to ``digits`` decimal places and summed
+    as decimals, so sums are the same however rows are spread over slices. A null weight adds
+    nothing.
 
-    ``weight`` is an expression over ``size`` alone, so equal sizes weigh the
-    same. A histogram of sizes then carries all sums, and a row needs only its
-    rank among rows of its own size: no window spans the table, and sums do not
-    depend on how rows are spread. With a size too popular for one task, ranks
-    come from slices; with too many sizes for a histogram, sums do as well.
+    Rows are range-partitioned, sorted and written with their place; beyond the sample that
+    the ranges come from, ``df`` is read once.
+    Positions then need one row per slice, sums one row for each size in a slice: a size that
+    spans several slices is summed up in each of them.
     """
-    weight = F.lit(1.0) if weight is None else weight
-    counts = df.groupBy(size).agg(F.count("*").alias("_n"))
-    found = counts.limit(max_sizes + 1).toArrow()
-    if found.num_rows > max_sizes:
-        return _by_size_sliced(df, size, tie, weight, names, hot_rows)
-
-    # At most max_sizes rows from here to the broadcast.
-    histogram = df.sparkSession.createDataFrame(found, counts.schema)
-    smaller = Window.orderBy(size).rowsBetween(*_BEFORE)
-    starts = histogram.withColumn("_w", weight).select(
-        F.col(size).alias("_size"),
-        F.col("_w").alias(names.weight),
-        F.coalesce(F.sum("_n").over(smaller), F.lit(0)).alias("_rows"),
-        F.coalesce(F.sum(F.col("_n") * F.col("_w")).over(smaller), F.lit(0.0)).alias("_sum"),
-    )
-    # Rank first: the shuffle then carries nothing that the broadcast can add later.
-    if (pyarrow.compute.max(found["_n"]).as_py() or 0) > hot_rows:
-        total_rows = pyarrow.compute.sum(found["_n"]).as_py()
-        counted = _sliced_sum(
-            df, F.lit(1), [size, tie], [], "_ordinal", _UP_TO, hot_rows, total_rows
+    order = [size, tie]
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *order)
+    placed = ranged.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    rows = written(placed, "size-order").withColumn("_slice", F.shiftright("_place", _PLACE_BITS))
+    weighed = rows.groupBy("_slice", size).agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    if weight is not None:
+        exact = F.coalesce(F.col("_w").cast(f"decimal(24,{digits})"), F.lit(0).cast(f"decimal(24,{digits})"))
+        weighed = weighed.withColumn("_w", weight).withColumn("_exact", exact)
+        weighed = weighed.withColumn("_cost", F.col("_n").cast("decimal(13,0)") * F.col("_exact"))
+    starts = _slice_starts(weighed, weight is not None)
+    place = F.col("_place").bitwiseAND((1 << _PLACE_BITS) - 1)
+    position = (F.col("_rows") + place).alias(names.position)
+    if weight is None:
+        return rows.join(F.broadcast(starts), F.col("_slice") == F.col("_at")).select(*df.columns, position)
+
+    def sum_of(column):
+        return F.col(column).cast(f"decimal(36,{digits})")
+
+    smaller = Window.partitionBy("_slice").orderBy(F.asc_nulls_first(size)).rowsBetween(*_BEFORE)
+    within = F.coalesce(F.sum("_cost").over(smaller), F.lit(0))
+    sizes = (
+        weighed.withColumn("_within", within)
+        .join(F.broadcast(starts), F.col("_slice") == F.col("_at"))
+        .select(
+            "_at", F.col(size).alias("_size"), "_first", "_w", "_exact", "_rows", "_all", "_least",
+            (sum_of("_within") + sum_of("_before")).alias("_start"),
         )
-        rank = F.col("_ordinal") - F.col("_rows")
-    else:
-        local = Window.partitionBy(size).orderBy(tie)
-        counted = df.withColumn("_ordinal", F.row_number().over(local))
-        rank = F.col("_ordinal")
+    )
+    same = (F.col("_slice") == F.col("_at")) & F.col(size).eqNullSafe(F.col("_size"))
+    rank = (F.col("_place") - F.col("_first") + 1).cast("decimal(13,0)")
+    more = [F.col(c).alias(n) for c, n in (("_all", names.total), ("_least", names.least)) if n]
     return (
-        counted.join(F.broadcast(starts), F.col(size).eqNullSafe(F.col("_size")))
-        .withColumn("_rank", rank)
+        rows.join(sizes, same)
+        .withColumn("_own", rank * F.col("_exact"))
         .select(
             *df.columns,
-            (F.col("_rows") + F.col("_rank") - 1).cast("bigint").alias(names.position),
-            names.weight,
-            (F.col("_sum") + F.col("_rank") * F.col(names.weight)).alias(names.running),
+            position,
+            F.col("_w").alias(names.weight),
+            (sum_of("_start") + sum_of("_own")).alias(names.running),
+            *more,
         )
     )
 
 
-def _by_size_sliced(df, size, tie, weight, names, slice_rows):
-    sliced = slices(df, [size, tie], slice_rows).withColumn(names.weight, weight)
-    totals = sliced.groupBy("_slice").agg(
-        F.count("*").alias("_n"), F.sum(names.weight).alias("_w")
-    )
-    # One row per slice.
+def _slice_starts(weighed: DataFrame, sums: bool) -> DataFrame:
+    """One row for each slice: what comes before it, and the sum and least weight of all slices."""
     earlier = Window.orderBy("_slice").rowsBetween(*_BEFORE)
-    starts = totals.select(
-        F.col("_slice").alias("_at"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_rows"),
-        F.coalesce(F.sum("_w").over(earlier), F.lit(0.0)).alias("_sum"),
-    )
-    local = Window.partitionBy("_slice").orderBy(size, tie)
-    return (
-        sliced.withColumn("_rank", F.row_number().over(local))
-        .withColumn("_local", F.sum(names.weight).over(local.rowsBetween(*_UP_TO)))
-        .join(F.broadcast(starts), F.col("_slice") == F.col("_at"))
-        .select(
-            *df.columns,
-            (F.col("_rows") + F.col("_rank") - 1).cast("bigint").alias(names.position),
-            names.weight,
-            (F.col("_sum") + F.col("_local")).alias(names.running),
-        )
-    )
+    added = [F.sum("_n").alias("_n")]
+    found = {"_rows": F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("bigint")}
+    if sums:
+        added += [F.sum("_cost").alias("_cost"), F.min("_w").alias("_least")]
+        found |= {
+            "_before": F.coalesce(F.sum("_cost").over(earlier), F.lit(0)),
+            "_all": F.sum("_cost").over(Window.partitionBy()),
+            "_least": F.min("_least").over(Window.partitionBy()),
+        }
+    slices_ = weighed.groupBy("_slice").agg(*added)
+    return slices_.select(F.col("_slice").alias("_at"), *[c.alias(n) for n, c in found.items()])
+
+
+def cost_share(df: DataFrame, key: str, cost: Column, digits: int = 12) -> DataFrame:
+    """``key, before, cost, total``: summed ``cost`` of each key, of all lesser keys and of all
+    rows, exact to ``digits`` decimal places. Costs combine map-side."""
+    costs = df.groupBy(key).agg(F.sum(cost.cast(f"decimal(24,{digits})")).alias("cost"))
+    # Ranges of keys, not of rows: no count is needed to keep them small.
+    summed = _sliced_sum(costs, F.col("cost"), [key], [], "before", _BEFORE, HOT_ROWS, 0, total="total")
+    return summed.select(key, "before", "cost", "total")

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import events
 from tallyloom.operators.batching import assign_batches, batch_summary, equal_effort
-from tallyloom.operators.ordered import by_size, previous_value, running_sum, slices
+from tallyloom.operators.ordered import by_size, cost_share, previous_value, running_sum, slices
 from tallyloom.operators.skew import hot_keys, lookup_join
 
 # One key holds a third of all rows.
@@ -147,7 +148,7 @@ def sized(spark, sizes):
     return spark.createDataFrame([(f"p{n:03}", s) for n, s in enumerate(sizes)], "id string, tokens bigint")
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot_rows": 3}, {"max_sizes": 2}])
+@pytest.mark.parametrize("limits", [{}, {"partitions": 1}, {"partitions": 5}])
 def test_by_size_is_the_sorted_order(spark, limits):
     df = by_size(sized(spark, SIZES), "tokens", "id", F.col("tokens") / 2, **limits)
     found = sorted(df.collect(), key=lambda r: r["pos"])
@@ -155,10 +156,68 @@ def test_by_size_is_the_sorted_order(spark, limits):
     assert [(r["tokens"], r["id"]) for r in found] == expected
     assert [r["pos"] for r in found] == list(range(len(SIZES)))
     sums = np.cumsum([s / 2 for s, _ in expected])
-    assert np.allclose([r["weight_cumsum"] for r in found], sums)
+    assert [float(r["weight_cumsum"]) for r in found] == sums.tolist()
+
+
+def test_sums_are_exact_however_rows_are_spread(spark, rows):
+    """No digit depends on the number of slices, nor on how many sizes there are."""
+    rng = random.Random(9)
+    sizes = [rng.choice([500, rng.randrange(17, 6001), rng.randrange(10**9)]) for _ in range(400)]
+    df = sized(spark, [*sizes, None, None])
+    found = [
+        sorted((r["id"], r["pos"], r["weight_cumsum"]) for r in by_size(
+            df, "tokens", "id", F.col("tokens") / 7, partitions=n).collect())
+        for n in (1, 3, 7)
+    ]
+    assert found[0] == found[1] == found[2]
+    exact, total = {}, Decimal(0)
+    for n in sorted(range(402), key=lambda n: (n < 400, n < 400 and sizes[n], n)):
+        total += Decimal(repr(sizes[n] / 7)).quantize(Decimal(10) ** -12, ROUND_HALF_UP) if n < 400 else 0
+        exact[f"p{n:03}"] = total
+    assert {i: s for i, _, s in found[0]} == exact
+    plans = []
+    for n in (1, 3, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            plans.append(rows(assign_batches(df.where("tokens < 7000"))))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "3")
+    assert plans[0] == plans[1] == plans[2]
+
+
+def test_running_costs_on_the_edge_of_a_batch(spark):
+    """Sixty rows of a tenth of an hour are six whole hours, two batches and one row over."""
+
+    def tenth(size):
+        return F.lit(0.1)
+
+    plan = assign_batches(sized(spark, [100] * 60), cost=tenth, hours=3).orderBy("pos").collect()
+    assert [r["batch_id"] for r in plan] == [0] * 29 + [1] * 30 + [2]
+    assert plan[-1]["weight_cumsum"] == 6.0
+
+
+def test_planning_reads_its_input_once(spark):
+    """While the plan is built, jobs sample range bounds, shuffle by them and write the order;
+    nothing is counted or collected."""
+    counter = spark.sparkContext
+    counter.setJobGroup("plan", "plan")
+    try:
+        plan = assign_batches(sized(spark, SIZES))
+        jobs = len(counter.statusTracker().getJobIdsForGroup("plan"))
+    finally:
+        counter.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 3 and plan.count() == len(SIZES)
+
+
+def test_a_share_of_cost(spark):
+    df = spark.createDataFrame([(3, 0.25), (1, 0.5), (1, 0.5), (2, 1.0)], "k int, c double")
+    found = cost_share(df, "k", F.col("c")).orderBy("k").collect()
+    assert [(r.k, float(r.before), float(r.cost), float(r.total)) for r in found] == [
+        (1, 0.0, 1.0, 2.25), (2, 1.0, 1.0, 2.25), (3, 2.0, 0.25, 2.25),
+    ]
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot_rows": 20}])
+@pytest.mark.parametrize("limits", [{}, {"partitions": 9}])
 @pytest.mark.parametrize("hours", [1, 3, 1.5])
 def test_batches_keep_every_row_once_in_size_order(spark, limits, hours):
     rng = random.Random(3)
@@ -177,7 +236,7 @@ def test_batches_keep_every_row_once_in_size_order(spark, limits, hours):
 def test_a_popular_size_changes_no_digit(spark, rows):
     rng = random.Random(4)
     df = sized(spark, [rng.choice([500, rng.randrange(17, 6001)]) for _ in range(500)])
-    assert rows(assign_batches(df, hot_rows=20)) == rows(assign_batches(df))
+    assert rows(assign_batches(df, partitions=20)) == rows(assign_batches(df))
 
 
 def test_batch_ids_skip_where_one_row_costs_more(spark):
@@ -185,7 +244,7 @@ def test_batch_ids_skip_where_one_row_costs_more(spark):
     assert [r["batch_id"] for r in plan.orderBy("pos").collect()] == [1, 2, 3, 5]
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot_rows": 30}])
+@pytest.mark.parametrize("limits", [{}, {"partitions": 11}])
 @pytest.mark.parametrize("splits", [4, 20, 200])
 def test_equal_effort_is_cut_and_rank(spark, splits, limits):
     rng = random.Random(5)

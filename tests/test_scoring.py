@@ -1,9 +1,11 @@
 """Scorers see whole batches, are made once per task, and errors stay with their row."""
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from tallyloom.operators.batching import batch_members, in_size_order
+from tallyloom.functions.costs import Quadratic
+from tallyloom.operators.batching import assign_batches, batch_members, in_size_order
 from tallyloom.operators.scoring import _batches, run_each, score_all, score_batches
 
 SCHEMA = "id bigint, batch_id bigint, made bigint, seen bigint"
@@ -51,6 +53,30 @@ def test_scoring_keeps_its_tasks(spark):
         assert scored.rdd.getNumPartitions() == 5
 
 
+def test_tasks_have_like_costs(spark):
+    """No task of eight has 1.3 times the mean hours, though sizes are skewed and one is popular."""
+    cost = Quadratic()
+    sizes = [17 + (n * n) % 5000 if n % 3 else 2500 for n in range(6000)]
+    df = spark.createDataFrame([(n, s) for n, s in enumerate(sizes)], "id long, tokens long")
+    schema = "id long, batch_id long, task int, tokens long"
+
+    def numbered():
+        task = TaskContext.get().partitionId()
+        return lambda rows: rows.assign(task=task)[["id", "batch_id", "task", "tokens"]]
+
+    for scored in (
+        score_batches(assign_batches(df, cost, 0.5).select("id", "tokens", "batch_id"), numbered, schema, 8),
+        score_all(df.withColumn("batch_id", F.lit(0)), numbered, schema, partitions=8),
+    ):
+        found = scored.toPandas()
+        assert sorted(found["id"]) == list(range(6000)) and scored.rdd.getNumPartitions() == 8
+        n = found["tokens"].astype(float)
+        hours = ((cost.c2 * n + cost.c1) * n + cost.c0).groupby(found["task"]).sum()
+        assert len(hours) == 8 and hours.max() < 1.3 * hours.mean()
+        if found["batch_id"].max():
+            assert (found.groupby("batch_id")["task"].nunique() == 1).all()
+
+
 def test_chunks_regroup():
     frames = [pd.DataFrame({"b": b}) for b in ([0, 0], [0, 1], [1], [2, 3])]
     assert [f["b"].tolist() for f in _batches(iter(frames), "b")] == [[0, 0, 0], [1, 1], [2], [3]]
