@@ -8,9 +8,8 @@ SINGLE_SEEDS = [4]
 COMPOSED_VERSION = 2
 COMPOSED_SEEDS = [1]
 
-# Composed records letter their members B, C, ... Z.
+# Composed records letter their members B, C, ... Z, AA, AB, ...
 FIRST_COMPOSED_LETTER = "B"
-MAX_MEMBERS = 25
 MEMBER_DELIMITER = "_"
 
 # Half-open size windows: lo < size <= hi.

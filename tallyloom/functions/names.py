@@ -47,9 +47,16 @@ def id_is_valid(id_: Column) -> Column:
 
 
 def chain_letter(position: Column) -> Column:
-    """Letter of a 0-based member position; NULL when the alphabet is used up."""
-    letter = F.chr(F.lit(ord(fixed.FIRST_COMPOSED_LETTER)) + position)
-    return F.when(position.between(0, fixed.MAX_MEMBERS - 1), letter)
+    """Letters of a 0-based member position: B to Z, then AA, AB and so on; NULL if negative.
+
+    Six letters are enough for 300 million members.
+    """
+    rest = position.cast("bigint") + F.lit(ord(fixed.FIRST_COMPOSED_LETTER) - ord("A") + 1)
+    letters = []
+    for _ in range(6):
+        letters.insert(0, F.when(rest > 0, F.chr(F.lit(ord("A")) + (rest - 1) % 26)).otherwise(""))
+        rest = F.floor((rest - 1) / 26)
+    return F.when(position >= 0, F.concat(*letters))
 
 
 def batch_label(batch_id: Column, rows: Column, prefix: str = "predictions") -> Column:

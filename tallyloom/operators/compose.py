@@ -10,6 +10,10 @@ from tallyloom.functions.names import chain_letter
 from tallyloom.operators.skew import HOT_ROWS, lookup_join
 
 
+#: Neighbouring positions of a group that are joined at once.
+_RUN = 1024
+
+
 def members_of(key: Column, delimiter: str = fixed.MEMBER_DELIMITER) -> Column:
     return F.split(key, re.escape(delimiter))
 
@@ -33,12 +37,8 @@ def distinct_members(
 def expanded(
     keys: DataFrame, key: str = "id", delimiter: str = fixed.MEMBER_DELIMITER
 ) -> DataFrame:
-    """One row per key and member position; a key with too many members is one NULL member."""
-    members = members_of(F.col(key), delimiter)
-    fitting = F.when(F.size(members) <= fixed.MAX_MEMBERS, members).otherwise(
-        F.array(F.lit(None).cast("string"))
-    )
-    return keys.select(key, F.posexplode(fitting).alias("pos", "member"))
+    """One row per key and member position."""
+    return keys.select(key, F.posexplode(members_of(F.col(key), delimiter)).alias("pos", "member"))
 
 
 def compose(
@@ -52,8 +52,9 @@ def compose(
     ``cache`` has ``id``, ``name`` and ``sequences`` (or raw ``entries``), one row
     per id. The result has ``id, name, members, status`` and ``sequences`` re-lettered
     in key order (``entries`` likewise). Only ``status = 'ok'`` rows are whole; the
-    other states are ``missing_member``, ``not_single``, ``too_many_members`` and
-    ``no_entry_id`` (a raw entry whose body doesn't begin with its id).
+    other states are ``missing_member``, ``not_single`` and ``no_entry_id`` (a raw entry
+    whose body doesn't begin with its id). A key has as many members as its text names; they
+    are brought together as the one row that they become.
     """
     field = "entries" if "entries" in cache.columns else "sequences"
     slim = cache.select(
@@ -70,7 +71,6 @@ def compose(
         hot_rows=hot_rows,
         counted=expanded(keys, "id", delimiter),
     )
-    # At most MAX_MEMBERS rows per id.
     place = F.struct("pos", F.col("_name").alias("name"), F.col("_entry").alias("entry"))
     grouped = wide.groupBy("id").agg(
         F.sort_array(F.collect_list(place)).alias("_all"),
@@ -79,8 +79,7 @@ def compose(
     )
     count = F.size(members_of(F.col("id"), delimiter))
     status = (
-        F.when(count > fixed.MAX_MEMBERS, "too_many_members")
-        .when(F.col("_missing") > 0, "missing_member")
+        F.when(F.col("_missing") > 0, "missing_member")
         .when(F.col("_odd") > 0, "not_single")
         .otherwise("ok")
     )
@@ -136,41 +135,46 @@ def reletter_raw(entries: Column) -> Column:
 def compose_positions(df: DataFrame, by: str, pos: str, name: str, size: str) -> DataFrame:
     """Compose rows already expanded to one per member: ``name``, ``chains`` and ``tokens``.
 
-    Rows are reduced per position first, so that a group brings at most
-    MAX_MEMBERS rows together whatever its length. Longer groups and repeated
-    positions have a status other than ``ok`` and no name.
+    Rows are reduced per position, positions are joined in runs of ``_RUN``, and runs to the
+    whole: a group of any length brings together no more than the text that it becomes.
+    Groups with a negative or repeated position have a status other than ``ok`` and no name;
+    every group has its ``tokens``.
     """
-    whole = df.groupBy(by).agg(
-        F.count("*").alias("members"), F.max(pos).alias("_last"), F.min(pos).alias("_first")
-    )
-    placed = (
-        df.where(F.col(pos).between(0, fixed.MAX_MEMBERS - 1))
-        .groupBy(by, pos)
-        .agg(F.count("*").alias("_n"), F.min(name).alias("_name"), F.sum(size).alias("_size"))
+    placed = df.groupBy(by, pos).agg(
+        F.count("*").alias("_n"), F.min(name).alias("_name"), F.sum(size).alias("_size")
     )
-    grouped = placed.groupBy(by).agg(
-        ordered(F.col(pos), F.col("_name")).alias("_names"),
-        ordered(F.col(pos), chain_letter(F.col(pos))).alias("_letters"),
-        F.sum("_size").alias("_tokens"),
+    place, letter = F.col(pos), chain_letter(F.col(pos))
+    runs = placed.groupBy(by, F.floor(place / _RUN).alias("_run")).agg(
+        F.array_join(ordered(place, F.col("_name")), fixed.MEMBER_DELIMITER).alias("_names"),
+        F.array_join(ordered(place, letter), ",").alias("_letters"),
+        F.count_if(F.col("_name").isNotNull()).alias("_named"),
+        F.sum("_size").alias("_size"),
+        F.sum("_n").alias("_rows"),
         F.max("_n").alias("_copies"),
+        F.min(pos).alias("_first"),
+    )
+    run = F.col("_run")
+    grouped = runs.groupBy(by).agg(
+        ordered(run, F.when(F.col("_named") > 0, F.col("_names"))).alias("_names"),
+        ordered(run, F.col("_letters")).alias("_letters"),
+        F.sum("_rows").alias("members"),
+        F.sum("_size").cast("bigint").alias("tokens"),
+        F.max("_copies").alias("_copies"),
+        F.min("_first").alias("_first"),
     )
     status = (
-        F.when((F.col("_last") >= fixed.MAX_MEMBERS) | (F.col("_first") < 0), "too_many_members")
+        F.when(F.col("_first") < 0, "negative_position")
         .when(F.col("_copies") > 1, "repeated_position")
         .otherwise("ok")
     )
     ok = F.col("status") == "ok"
-    return (
-        whole.join(grouped, by, "left")
-        .withColumn("status", status)
-        .select(
-            by,
-            "members",
-            "status",
-            F.when(ok, F.array_join("_names", fixed.MEMBER_DELIMITER)).alias("name"),
-            F.when(ok, F.array_join("_letters", ",")).alias("chains"),
-            F.when(ok, F.col("_tokens")).cast("bigint").alias("tokens"),
-        )
+    return grouped.withColumn("status", status).select(
+        by,
+        "members",
+        "status",
+        F.when(ok, F.array_join("_names", fixed.MEMBER_DELIMITER)).alias("name"),
+        F.when(ok, F.array_join("_letters", ",")).alias("chains"),
+        "tokens",
     )
 
 

@@ -147,18 +147,26 @@ def json_field(spark, sf_dir):
     )
 
 
-@query("compose_members", """WITH g AS (
-  SELECT conv_id, count(*) AS members, max(turn) < 25 AND min(turn) >= 0 AS fits,
+#: Letters of a position up to three of them: B to Z, AA to ZZ, AAA to ZZZ.
+LETTER_SQL = """CASE WHEN turn < 25 THEN chr(CAST(66 + turn AS INTEGER))
+      WHEN turn < 701 THEN chr(CAST(64 + (turn + 1) // 26 AS INTEGER))
+        || chr(CAST(65 + (turn + 1) % 26 AS INTEGER))
+      ELSE chr(CAST(64 + ((turn + 1) // 26 - 1) // 26 AS INTEGER))
+        || chr(CAST(65 + ((turn + 1) // 26 - 1) % 26 AS INTEGER))
+        || chr(CAST(65 + (turn + 1) % 26 AS INTEGER)) END"""
+
+
+@query("compose_members", f"""WITH g AS (
+  SELECT conv_id, count(*) AS members, min(turn) >= 0 AS fits,
     count(DISTINCT turn) = count(*) AS single,
     string_agg(role, '_' ORDER BY turn) AS name,
-    string_agg(chr(CAST(66 + turn AS INTEGER)), ',' ORDER BY turn) AS chains,
+    string_agg({LETTER_SQL}, ',' ORDER BY turn) AS chains,
     CAST(sum(length(text)) AS BIGINT) AS tokens
   FROM conversations GROUP BY conv_id)
-SELECT conv_id, members, CASE WHEN NOT fits THEN 'too_many_members'
+SELECT conv_id, members, CASE WHEN NOT fits THEN 'negative_position'
     WHEN NOT single THEN 'repeated_position' ELSE 'ok' END AS status,
   CASE WHEN fits AND single THEN name END AS name,
-  CASE WHEN fits AND single THEN chains END AS chains,
-  CASE WHEN fits AND single THEN tokens END AS tokens
+  CASE WHEN fits AND single THEN chains END AS chains, tokens
 FROM g""")
 def compose_members(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select(

@@ -1,4 +1,4 @@
-"""The streaming forms, run over everything available and read back from their sink."""
+"""The streaming forms: events arrive part by part, a stream stopped and started in between."""
 
 from tallyloom.plans.log_queries import (
     CAPTURES,
@@ -9,34 +9,33 @@ from tallyloom.plans.log_queries import (
 )
 from tallyloom.plans.registry import query, table
 from tallyloom.session import fresh_folder
-from tallyloom.streaming.carried import read_sink, stream_changes, stream_events
+from tallyloom.streaming.carried import read_sink
+from tallyloom.streaming.stateful import assembled, changes, replayed, start
 
 
-def event_stream(spark, sf_dir):
-    """Events as a stream; the path is a glob because a stream reads folders."""
-    schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+def arrived(spark, sf_dir, results, schema):
+    """What ``results`` of a stream writes while all events arrive."""
+    arriving, sink, checkpoint = (fresh_folder(spark, n) for n in ("arriving", "sink", "state"))
+    replayed(
+        table(spark, sf_dir, "events"), "ts", arriving,
+        lambda stream: start(results(stream), sink, checkpoint, available_now=True),
+    )
+    return read_sink(spark, sink, schema)
 
 
 @query("change_only_stream", CHANGES_SQL)
 def change_only_stream(spark, sf_dir):
-    sink, checkpoint = fresh_folder(spark, "changes"), fresh_folder(spark, "changes-state")
-    stream_changes(
-        event_stream(spark, sf_dir), "event_type", ["user_id"], EVENT_ORDER, sink, checkpoint,
-        available_now=True,
-    ).awaitTermination()
-    return read_sink(spark, sink, "user_id bigint, event_id bigint, event_type string").select(
-        "user_id", "event_id", "event_type"
-    )
+    def changed(stream):
+        samples = stream.select("user_id", *EVENT_ORDER, "event_type")
+        return changes(samples, "event_type", ["user_id"], EVENT_ORDER).drop("ts")
+
+    return arrived(spark, sf_dir, changed, "user_id bigint, event_id bigint, event_type string")
 
 
 @query("event_assembly_stream", EVENTS_SQL)
 def event_assembly_stream(spark, sf_dir):
-    sink, checkpoint = fresh_folder(spark, "events"), fresh_folder(spark, "events-state")
-    stream_events(
-        captured_events(event_stream(spark, sf_dir)), ["user_id"], EVENT_ORDER, CAPTURES, "done",
-        sink, checkpoint, available_now=True,
-    ).awaitTermination()
-    columns = ["user_id", *CAPTURES, "done", "complete"]
+    def events(stream):
+        return assembled(captured_events(stream), ["user_id"], EVENT_ORDER, CAPTURES, "done")
+
     schema = "user_id bigint, n_tokens bigint, runtime_sec double, done bigint, complete boolean"
-    return read_sink(spark, sink, schema).select(*columns)
+    return arrived(spark, sf_dir, events, schema)

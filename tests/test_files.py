@@ -257,8 +257,8 @@ def cache(spark, tmp_path):
 
 @pytest.mark.parametrize("hot_rows", [2_000_000, 2])
 def test_compose(spark, tmp_path, cache, hot_rows):
-    long_ok, too_long = "_".join(["dusp6"] * 25), "_".join(["dusp6"] * 26)
-    keys = ["mapk1_dusp6", "dusp6_dusp6", "mapk1_none", "two_dusp6", long_ok, too_long, "mapk1_dusp6"]
+    long_ok, longer, longest = ("_".join(["dusp6"] * n) for n in (25, 26, 1000))
+    keys = ["mapk1_dusp6", "dusp6_dusp6", "mapk1_none", "two_dusp6", long_ok, longer, longest, "mapk1_dusp6"]
     df = compose.compose(
         spark.createDataFrame([(k,) for k in keys], "id string"),
         cache.select("id", "name", "entries"), hot_rows=hot_rows,
@@ -266,14 +266,14 @@ def test_compose(spark, tmp_path, cache, hot_rows):
     found = {r["id"]: r for r in df.collect()}
     assert {k: (r["status"], r["members"]) for k, r in found.items()} == {
         "mapk1_dusp6": ("ok", 2), "dusp6_dusp6": ("ok", 2), "mapk1_none": ("missing_member", 2),
-        "two_dusp6": ("not_single", 2), long_ok: ("ok", 25), too_long: ("too_many_members", 26),
+        "two_dusp6": ("not_single", 2), long_ok: ("ok", 25), longer: ("ok", 26), longest: ("ok", 1000),
     }
     assert found["mapk1_none"]["name"] is None and found[long_ok]["name"] == long_ok
 
     path = str(tmp_path / "composed")
     document_sinks.write_composed(df, path)
     docs = {d["name"]: d for d in map(json.loads, texts(path))}
-    assert set(docs) == {"mapk1_dusp6", "dusp6_dusp6", long_ok}
+    assert set(docs) == {"mapk1_dusp6", "dusp6_dusp6", long_ok, longer, longest}
     assert docs["mapk1_dusp6"] == {
         "dialect": "alphafold3", "version": 2, "name": "mapk1_dusp6",
         "sequences": [
@@ -286,6 +286,9 @@ def test_compose(spark, tmp_path, cache, hot_rows):
         "dialect", "version", "name", "sequences", "modelSeeds", "bondedAtomPairs", "userCCD",
     ]
     assert [e["protein"]["id"] for e in docs[long_ok]["sequences"]] == list("BCDEFGHIJKLMNOPQRSTUVWXYZ")
+    assert docs[longer]["sequences"][-1]["protein"]["id"] == "AA"
+    ids = [e["protein"]["id"] for e in docs[longest]["sequences"]]
+    assert len(set(ids)) == 1000 and ids[-1] == "ALM"
 
 
 def test_compose_from_parsed_sequences(spark, tmp_path, cache, rows):
@@ -306,9 +309,9 @@ def test_total_size(spark, rows, hot_rows):
     ]
 
 
-def test_compose_positions_bounds_groups(spark):
+def test_compose_positions(spark):
     rows = [("ok", n, f"m{n}", 2) for n in range(3)]
-    rows += [("long", n, "m", 1) for n in range(500)]
+    rows += [("long", n, f"m{n}", 1) for n in range(2600)] + [("below", -1, "m", 4)]
     rows += [("twice", 0, "m", 1), ("twice", 0, "m", 1)]
     df = compose.compose_positions(
         spark.createDataFrame(rows, "k string, pos int, name string, size bigint"),
@@ -317,9 +320,12 @@ def test_compose_positions_bounds_groups(spark):
     found = {r["k"]: (r["status"], r["members"], r["name"], r["chains"], r["tokens"]) for r in df.collect()}
     assert found == {
         "ok": ("ok", 3, "m0_m1_m2", "B,C,D", 6),
-        "long": ("too_many_members", 500, None, None, None),
-        "twice": ("repeated_position", 2, None, None, None),
+        "long": ("ok", 2600, "_".join(f"m{n}" for n in range(2600)), found["long"][3], 2600),
+        "twice": ("repeated_position", 2, None, None, 2),
+        "below": ("negative_position", 1, None, None, 4),
     }
+    letters = found["long"][3].split(",")
+    assert len(set(letters)) == 2600 and letters[:2] == ["B", "C"] and letters[24:26] == ["Z", "AA"]
 
 
 def test_complex_fasta_and_manifests(spark, tmp_path, rows):

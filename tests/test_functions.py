@@ -39,9 +39,10 @@ def test_id_is_valid(spark):
     assert column(spark, given, names.id_is_valid) == [True, True, False, False, True]
 
 
-def test_chain_letters_end_with_the_alphabet(spark):
-    given = [0, 1, 24, 25, -1]
-    assert column(spark, given, names.chain_letter, "int") == ["B", "C", "Z", None, None]
+def test_chain_letters_go_on_after_the_alphabet(spark):
+    given = [0, 1, 24, 25, 50, 700, 701, 18_276, 18_277, -1, None]
+    expected = ["B", "C", "Z", "AA", "AZ", "ZZ", "AAA", "ZZZ", "AAAA", None, None]
+    assert column(spark, given, names.chain_letter, "int") == expected
 
 
 def test_chain_ids_are_always_a_list(spark):

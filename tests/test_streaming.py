@@ -6,6 +6,7 @@ import pytest
 
 from tallyloom.operators import events
 from tallyloom.sources import tables
+from tallyloom.streaming import stateful
 from tallyloom.streaming.carried import read_sink, stream_changes, stream_events
 
 SCHEMA = "key int, t bigint, state string, v bigint"
@@ -78,6 +79,49 @@ def test_stream_events_resume(spark, tmp_path, rows, arriving, hot_rows):
     assert rows(read_sink(spark, sink, schema), "key", "size", "done", "complete") == expected
 
 
+def run_stateful(results, tmp_path):
+    query = stateful.start(results, str(tmp_path / "out"), str(tmp_path / "ck"), available_now=True)
+    query.awaitTermination()
+    return query
+
+
+def test_stateful_changes_over_four_micro_batches(spark, tmp_path, rows, arriving):
+    """One file a micro-batch, a third of all rows in one group."""
+    batch, stream = arriving
+    query = run_stateful(stateful.changes(stream, "state", ["key"], ["t"]), tmp_path)
+    assert query.lastProgress["batchId"] >= 3
+    expected = rows(events.changes_only(batch, "state", ["key"], ["t"]), "key", "t", "state", "v")
+    assert rows(read_sink(spark, str(tmp_path / "out"), SCHEMA), "key", "t", "state", "v") == expected
+
+
+def test_stateful_events_go_on_after_a_restart(spark, tmp_path, rows, arriving):
+    batch, stream = arriving
+
+    def run():
+        run_stateful(stateful.assembled(captured(stream), ["key"], ["t"], ["size"], "done"), tmp_path)
+
+    run()
+    extra = spark.createDataFrame([(k, t + 400, s, v) for k, t, s, v in make(12, 100)], SCHEMA)
+    extra.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+    whole = captured(batch.unionAll(extra))
+    columns = ("key", "size", "done", "complete")
+    expected = rows(events.assemble_events(whole, ["key"], ["t"], ["size"], "done"), *columns)
+    schema = "key int, size bigint, done bigint, complete boolean"
+    assert rows(read_sink(spark, str(tmp_path / "out"), schema), *columns) == expected
+
+
+def test_stateful_values_stay_as_they_are(spark, tmp_path, rows):
+    """Nulls are values, in keys too, and long integers keep all digits."""
+    given = [(1, 1, 2**60 + 1), (1, 2, 2**60 + 1), (1, 3, None), (1, 4, None), (None, 5, None), (None, 6, 2**60), (1, 7, 2**60)]
+    schema = "key int, t bigint, v bigint"
+    spark.createDataFrame(given, schema).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    run_stateful(stateful.changes(stream, "v", ["key"], ["t"]), tmp_path)
+    found = rows(read_sink(spark, str(tmp_path / "out"), schema), "key", "t", "v")
+    assert found == sorted([given[i] for i in (0, 2, 4, 5, 6)], key=repr)
+
+
 def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path, rows, arriving):
     """Losing the last commit makes Spark run the last micro-batch again."""
     batch, stream = arriving
