@@ -8,11 +8,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-from tallyloom.llm.rows import with_columns
+from tallyloom.llm.rows import Memo, with_columns
 from tallyloom.llm.word_bpe import Vocabulary, compiled, normalise, segments, word_symbols, words
 
-#: Segments, and words, whose ids a Python worker remembers.
-REMEMBERED = 400_000
 #: Marks that only ever make a word of their own after letters.
 _MARKS = ".,;:!?#$%&*|"
 
@@ -33,8 +31,8 @@ class Encoder:
             self.matches.add_word(symbols, token)
         self.matches.make_automaton()
         self.shorter = [self._shorter(token) for token in range(vocabulary.size)]
-        self.memo: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        #: Ids of segments and of words.
+        self.memo, self.known = Memo(), Memo()
 
     def _shorter(self, token: int) -> int:
         """The longest token that is a proper prefix of ``token``, or -1."""
@@ -79,10 +77,8 @@ class Encoder:
     def remembered(self, word: str) -> bytes:
         found = self.known.get(word)
         if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
             ids = self.word(word_symbols(word))
-            self.known[word] = found = pack(f"<{len(ids)}I", *ids)
+            found = self.known.keep(word, pack(f"<{len(ids)}I", *ids))
         return found
 
     def segment(self, segment: str) -> bytes:
@@ -94,10 +90,7 @@ class Encoder:
                 found += self.remembered(segment[len(stem) :])
         else:
             found = b"".join(map(self.remembered, words(segment)))
-        if len(self.memo) >= REMEMBERED:
-            self.memo.clear()
-        self.memo[segment] = found
-        return found
+        return self.memo.keep(segment, found)
 
     def encode(self, text: str | None) -> bytes:
         found: list[bytes] = []

@@ -18,12 +18,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.rows import is_document, told_apart
 from tallyloom.session import written
 
 #: Words of an aligned block that is deleted.
 LEAST_WORDS = 8
 
-_LINES = "doc_id long, hashes array<long>, words array<int>, runs array<long>"
+_LINES = "doc_id long, variant long, hashes array<long>, words array<int>, runs array<long>"
 
 
 def lines(text: str) -> tuple[list[int], list[int]]:
@@ -58,7 +59,7 @@ def runs(words: Sequence[int | None], least: int) -> Iterator[tuple[int, int]]:
 
 
 def hashed(documents: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, hashes and words of its lines, and the distinct hashes of its runs."""
+    """doc_id, variant, hashes and words of a document's lines, and the distinct hashes of its runs."""
 
     def keys(hashes: list[int], words: list[int]) -> list[int]:
         raw = np.array(hashes, np.int64).tobytes()
@@ -68,28 +69,28 @@ def hashed(documents: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                docs, texts = (c.to_pylist() for c in batch.slice(at, 500).columns)
-                made = [lines(t) for t in texts]
+                part = batch.slice(at, 500)
+                made = [lines(t) for t in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(docs, pa.int64()),
+                        *part.columns[:2],
                         pa.array([m[0] for m in made], pa.list_(pa.int64())),
                         pa.array([m[1] for m in made], pa.list_(pa.int32())),
                         pa.array([keys(*m) for m in made], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "hashes", "words", "runs"],
+                    ["doc_id", "variant", "hashes", "words", "runs"],
                 )
 
-    return documents.select("doc_id", "text").mapInArrow(run, _LINES)
+    return documents.select("doc_id", "variant", "text").mapInArrow(run, _LINES)
 
 
 def partners(sequences: DataFrame) -> DataFrame:
     """Pairs (later, earlier): a document and the first holder of each of its runs."""
-    held = sequences.select("doc_id", F.explode("runs").alias("run"))
-    known = held.groupBy("run").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    held = sequences.select("doc", F.explode("runs").alias("run"))
+    known = held.groupBy("run").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1")
     return (
-        held.join(known.drop("n"), "run").where("doc_id > first")
-        .select(F.col("doc_id").alias("later"), F.col("first").alias("earlier")).distinct()
+        held.join(known.drop("n"), "run").where("doc > first")
+        .select(F.col("doc").alias("later"), F.col("first").alias("earlier")).distinct()
     )
 
 
@@ -167,56 +168,84 @@ def blocks(later: list[int], words: list[int], earlier: list[int], least: int) -
 
 
 def shared_lines(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """Rows (doc_id, lines, earlier): the line numbers that each document loses, sorted, and the
-    documents it was aligned with.
+    """Rows (doc_id, variant, lines, earlier): the line numbers that each document loses, sorted,
+    and the doc_ids of the documents it was aligned with.
 
     A pair's earlier document is the one of the smaller doc_id; it is aligned as it was given,
-    whatever it loses itself. Rows with a null doc_id or text lose nothing; of rows that repeat
-    a doc_id, the first of its texts by hash is aligned.
+    whatever it loses itself. Rows with a null doc_id or text lose nothing, an empty text has
+    no lines, and texts are aligned whole. Rows that repeat a doc_id and its text are one
+    document; different texts of one doc_id are documents of their own, told apart by
+    ``variant`` and ordered by it. Columns but doc_id and text aren't looked at; an empty table
+    gives an empty one.
     """
-    rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    sequences = hashed(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), least_words)
-    one = sequences.groupBy("doc_id").agg(F.min(F.struct("hashes", "words", "runs")).alias("s"))
-    one = written(one.select("doc_id", "s.*"), "lines")
+    sequences = hashed(told_apart(documents), least_words)
+    one = sequences.groupBy(F.struct("doc_id", "variant").alias("doc")).agg(
+        F.min(F.struct("hashes", "words", "runs")).alias("s")
+    )
+    one = written(one.select("doc", "s.*"), "lines")
     sides = (
-        partners(one).join(one.select(F.col("doc_id").alias("later"), "hashes", "words"), "later")
-        .join(one.select(F.col("doc_id").alias("earlier"), F.col("hashes").alias("theirs")), "earlier")
-        .select("later", "earlier", "hashes", "words", "theirs")
+        partners(one).join(one.select(F.col("doc").alias("later"), "hashes", "words"), "later")
+        .join(one.select(F.col("doc").alias("earlier"), F.col("hashes").alias("theirs")), "earlier")
+        .select("later.doc_id", "later.variant", F.col("earlier.doc_id").alias("earlier"), "hashes", "words", "theirs")
     )
 
     def align(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True)
-                made = [(x, e, found) for x, e, h, w, t in rows if (found := blocks(h, w, t, least_words))]
+                made = [(x, v, e, found) for x, v, e, h, w, t in rows if (found := blocks(h, w, t, least_words))]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([m[0] for m in made], pa.int64()),
                         pa.array([m[1] for m in made], pa.int64()),
-                        pa.array([m[2] for m in made], pa.list_(pa.int32())),
+                        pa.array([m[2] for m in made], pa.int64()),
+                        pa.array([m[3] for m in made], pa.list_(pa.int32())),
                     ],
-                    ["doc_id", "earlier", "lines"],
+                    ["doc_id", "variant", "earlier", "lines"],
                 )
 
-    found = sides.mapInArrow(align, "doc_id long, earlier long, lines array<int>")
+    found = sides.mapInArrow(align, "doc_id long, variant long, earlier long, lines array<int>")
     # A document's partners are no more than its runs.
-    return found.groupBy("doc_id").agg(
+    return found.groupBy("doc_id", "variant").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"),
         F.array_sort(F.collect_set("earlier")).alias("earlier"),
     )
 
 
-def without_lines(documents: DataFrame, shared: DataFrame) -> DataFrame:
+def _cut(documents: DataFrame, shared: DataFrame, how: str) -> tuple[DataFrame, dict[str, str], str]:
+    """Rows with the lines they lose, their columns' own names for the time being, and what is
+    left of the text as an expression."""
+    own = {c: f"_own{i}" for i, c in enumerate(documents.columns)}
+    rows = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
+    lost = shared.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "variant", "lines", "earlier")])
+    same = is_document(F.col(own["doc_id"]), F.col(own["text"]), F.col("_doc_id"), F.col("_variant"))
+    rest = f"filter(split({own['text']}, '\\n'), (x, i) -> NOT array_contains(_lines, i))"
+    return rows.join(lost, same, how), own, f"array_join({rest}, '\\n')"
+
+
+def changed_texts(documents: DataFrame, shared: DataFrame) -> DataFrame:
+    """doc_id, lines, earlier and kept_text of each row that loses lines."""
+    rows, own, left = _cut(documents, shared, "inner")
+    return rows.select(
+        F.col(own["doc_id"]).alias("doc_id"), F.col("_lines").alias("lines"),
+        F.col("_earlier").alias("earlier"), F.expr(left).alias("kept_text"),
+    )
+
+
+def without_lines(documents: DataFrame, shared: DataFrame, emptied: bool = True) -> DataFrame:
     """``documents`` with the lines in ``shared`` cut out of their texts; other rows as they are.
 
-    Whole lines go, with their line feeds; all rows and columns stay, and ``n_chars``, where it
-    is there, is the new length of a changed text.
+    Whole lines go, with their line feeds; all columns stay, whatever their names, and
+    ``n_chars``, where it is there, is the new length of a changed text. A row that has lost its
+    last word stays only if ``emptied``.
     """
-    lost = shared.select(F.col("doc_id").alias("_doc"), F.col("lines").alias("_lost"))
-    joined = documents.join(lost, documents.doc_id == lost._doc, "left")
-    rest = "filter(split(text, '\\n'), (x, i) -> NOT array_contains(_lost, i))"
-    joined = joined.withColumn("text", F.expr(f"IF(_lost IS NULL, text, array_join({rest}, '\\n'))"))
-    if "n_chars" in documents.columns:
-        length = F.expr("IF(_lost IS NULL, n_chars, length(text))").cast(documents.schema["n_chars"].dataType)
-        joined = joined.withColumn("n_chars", length)
-    return joined.select(*[F.col(f"`{c}`") for c in documents.columns])
+    rows, own, left = _cut(documents, shared, "left")
+    text = own["text"]
+    rows = rows.withColumn(text, F.expr(f"IF(_lines IS NULL, {text}, {left})"))
+    if "n_chars" in own:
+        count = own["n_chars"]
+        length = F.expr(f"IF(_lines IS NULL, {count}, length({text}))")
+        rows = rows.withColumn(count, length.cast(documents.schema["n_chars"].dataType))
+    if not emptied:
+        rows = rows.where(F.col("_lines").isNull() | F.col(text).rlike("[^\\x20\\x09-\\x0D]"))
+    return rows.select(*[F.col(n).alias(c) for c, n in own.items()])

@@ -110,9 +110,7 @@ def remove_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 def remove_shared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that lose lines, with the lines' numbers and what is left."""
     source = documents(spark, sf_dir).select("doc_id", "text")
-    shared = line_dedup.shared_lines(source)
-    left = line_dedup.without_lines(source.join(shared.select("doc_id"), "doc_id", "left_semi"), shared)
-    return shared.join(left.withColumnRenamed("text", "kept_text"), "doc_id")
+    return line_dedup.changed_texts(source, line_dedup.shared_lines(source))
 
 
 @query("op3_contaminated")

@@ -3,11 +3,13 @@
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
+from tallyloom.session import written
+
 #: Rows handled at once inside a task; results leave the task in batches of this size.
 SLICE = 256
 #: Blanks between words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -16,6 +18,46 @@ BLANKS = "\\x20\\x09-\\x0D"
 _INPUT = "_in"
 
 
+class Memo(dict):
+    """What a worker remembers: it forgets all when keys and values pass ``limit`` bytes or so,
+    and doesn't keep long keys at all."""
+
+    def __init__(self, limit: int = 25_000_000, longest: int = 64):
+        super().__init__()
+        self.limit, self.longest, self.held = limit, longest, 0
+
+    def keep(self, key: str, value: bytes) -> bytes:
+        if len(key) <= self.longest:
+            self.held += len(key) + len(value) + 200
+            if self.held > self.limit:
+                self.clear()
+                self.held = 0
+            self[key] = value
+        return value
+
+
+def told_apart(documents: DataFrame) -> DataFrame:
+    """doc_id, variant and text of the rows that have both an id and a text.
+
+    The variant is 0 where all rows of a doc_id have one text, else the text's own number: such
+    texts are documents of their own. Only ids and hashes are grouped to find out.
+    """
+    rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text"
+    )
+    number = F.xxhash64("text").bitwiseOR(F.lit(1))
+    ends = rows.groupBy("doc_id").agg(F.min(number).alias("low"), F.max(number).alias("high"))
+    several = written(ends.where("low <> high").select("doc_id", F.lit(True).alias("several")), "repeated-ids")
+    return rows.join(several, "doc_id", "left").select(
+        "doc_id", F.when(F.col("several"), number).otherwise(F.lit(0)).alias("variant"), "text"
+    )
+
+
+def is_document(doc_id: Column, text: Column, theirs: Column, variant: Column) -> Column:
+    """Whether a row is the document of a (doc_id, variant)."""
+    return (doc_id == theirs) & ((variant == 0) | (variant == F.xxhash64(text).bitwiseOR(F.lit(1))))
+
+
 def with_columns(
     df: DataFrame,
     source: str,

@@ -57,7 +57,7 @@ _APART = [np.uint64(xxhash.xxh3_64_intdigest(f"way {k}")) for k in range(3)]
 
 
 #: Words a Python worker knows at a time.
-KNOWN = 400_000
+KNOWN = 150_000
 
 
 class _Words(dict):
@@ -89,12 +89,11 @@ class _Words(dict):
 _MET = _Words()
 
 
-def template(text: str | None, names: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of template tokens, their kinds, and hashes of the words they stand for.
+def read(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of a text's words, their kinds, and which of them are names.
 
     A unit counts as one behind a number only. A name is a word with a capital that doesn't
-    begin a line or a sentence; without ``names`` it is a word as others. Marks at words' edges
-    and case are dropped. A run of one kind of slot is one token.
+    begin a line or a sentence. Marks at words' edges and case are dropped.
     """
     text = text or ""
     if _WITH_UNIT.search(text):
@@ -104,7 +103,7 @@ def template(text: str | None, names: bool = True) -> tuple[np.ndarray, np.ndarr
     words = [w for line in lines for w in line]
     if not words:
         none = np.zeros(0, np.uint64)
-        return none, none.astype(np.int8), none
+        return none, none.astype(np.int8), none.astype(bool)
     tables = ([], [], [], [])
     for at in range(0, len(words), KNOWN // 4):  # a very long text in parts
         n = _MET.numbers(words[at : at + KNOWN // 4])
@@ -117,9 +116,19 @@ def template(text: str | None, names: bool = True) -> tuple[np.ndarray, np.ndarr
     values, kinds, capitals, begins = values[real], kinds[real], capitals[real], begins[real]
     behind = np.r_[False, kinds[:-1] == _NUM] if len(kinds) else np.zeros(0, bool)
     kinds = np.where((kinds == _UNIT) & ~behind, _LITERAL, kinds)
-    if names:
-        kinds = np.where((kinds == _LITERAL) & capitals & ~begins, _NAME, kinds)
-    kinds = kinds.astype(np.int8)
+    return values, kinds.astype(np.int8), (kinds == _LITERAL) & capitals & ~begins
+
+
+def template(
+    values: np.ndarray, kinds: np.ndarray, named: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of template tokens, their kinds, and hashes of the words they stand for.
+
+    The words ``named`` are slots; with None names are words as others. A run of one kind of
+    slot is one token.
+    """
+    if named is not None:
+        kinds = np.where(named, np.int8(_NAME), kinds)
     if len(kinds):
         first = np.flatnonzero(np.r_[True, (kinds[1:] == _LITERAL) | (kinds[1:] != kinds[:-1])])
         within = np.arange(len(kinds)) - np.repeat(first, np.diff(np.r_[first, len(kinds)]))
@@ -128,10 +137,10 @@ def template(text: str | None, names: bool = True) -> tuple[np.ndarray, np.ndarr
     return np.where(kinds == _LITERAL, values, _SLOTS[kinds]), kinds, values
 
 
-def _windows(text: str | None, way: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places and hashes of the windows with enough literal words; kinds and values of tokens.
-    As a whole a text is one window at place 0, by its words if they are all slots."""
-    tokens, kinds, values = template(text, way != _CASELESS)
+def _windows(made: tuple, way: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places and hashes of a template's windows with enough literal words; kinds and values of
+    its tokens. As a whole it is one window at place 0, by its words if they are all slots."""
+    tokens, kinds, values = made
     none = np.zeros(0, np.int64)
     if way == _WHOLE and len(tokens):
         seen = tokens if (kinds == _LITERAL).any() else values
@@ -146,9 +155,12 @@ def _windows(text: str | None, way: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def _ways(text: str, item: bool) -> list[tuple[int, tuple]]:
     """Each way with its windows: an item is compared as a whole only if it has no others."""
-    made = [(way, _windows(text, way)) for way in (_SLOTTED, _CASELESS)]
+    values, kinds, named = read(text)
+    slotted = template(values, kinds, named)
+    caseless = template(values, kinds, None) if named.any() else slotted
+    made = [(_SLOTTED, _windows(slotted, _SLOTTED)), (_CASELESS, _windows(caseless, _CASELESS))]
     if not item or not any(len(w[0]) for _, w in made):
-        made.append((_WHOLE, _windows(text, _WHOLE)))
+        made.append((_WHOLE, _windows(slotted, _WHOLE)))
     return made
 
 
@@ -187,7 +199,7 @@ def _filter(items: DataFrame):
     ``FILTER_BITS``, whatever the benchmark's size."""
     bits = items.select(F.expr(f"pmod(hash, {FILTER_BITS})").cast("int").alias("bit")).distinct()
     found = np.zeros(FILTER_BITS, bool)
-    found[np.array(bits.toArrow().column(0).to_pylist(), np.int64)] = True
+    found[bits.toArrow().column(0).to_numpy()] = True
     return items.sparkSession.sparkContext.broadcast(found)
 
 

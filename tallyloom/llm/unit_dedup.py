@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.llm.rows import is_document, told_apart
 from tallyloom.llm.shingles import windows
 from tallyloom.session import written
 
@@ -33,7 +34,7 @@ SEEDS = 26
 _WORD = re.compile("[^\x20\x09-\x0d]+")
 _EDGE = ".,;:!?\"'()[]{}#*$%&|<>"
 
-_UNITS = "doc_id long, kind byte, reach int, place int, after int, start int, stop int, digest binary"
+_UNITS = "doc_id long, variant long, kind byte, reach int, place int, after int, start int, stop int, digest binary"
 _PIECE, _LINE, _SEED = range(3)
 
 
@@ -123,44 +124,44 @@ def grown(mine: np.ndarray, theirs: np.ndarray, places: list[tuple[int, int]]) -
 
 
 def hashed(documents: DataFrame) -> DataFrame:
-    """One row for each unit: doc_id and what ``units`` gives."""
+    """One row for each unit: doc_id, variant and what ``units`` gives."""
 
     def run(batches):
         for batch in batches:
-            docs, texts = (c.to_pylist() for c in batch.columns)
             rows: list[tuple] = []
-            for doc, text in zip(docs, texts, strict=True):
-                rows += [(doc, *u) for u in units(text)]
+            for doc, variant, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows += [(doc, variant, *u) for u in units(text)]
                 if len(rows) > 50_000:
                     yield _batch(rows)
                     rows = []
             yield _batch(rows)
 
-    return documents.select("doc_id", "text").mapInArrow(run, _UNITS)
+    return documents.select("doc_id", "variant", "text").mapInArrow(run, _UNITS)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"doc_id": pa.int64(), "kind": pa.int8()}
+    kinds = {"doc_id": pa.int64(), "variant": pa.int64(), "kind": pa.int8()}
     kinds |= dict.fromkeys(("reach", "place", "after", "start", "stop"), pa.int32())
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 8
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 9
     arrays = [pa.array(np.array(c, k.to_pandas_dtype())) for c, k in zip(columns, kinds.values(), strict=False)]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(columns[7], pa.binary())], [*kinds, "digest"])
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(columns[8], pa.binary())], [*kinds, "digest"])
 
 
 def _grown(seeds: DataFrame, documents: DataFrame) -> DataFrame:
     """The stretches around repeated seeds, grown against the documents of their first occurrence."""
-    pairs = seeds.groupBy("doc_id", "first_doc_id").agg(F.collect_list(F.struct("place", "first_place")).alias("places"))
+    mine, firsts = ["doc_id", "variant"], ["first_doc_id", "first_variant"]
+    pairs = seeds.groupBy(*mine, *firsts).agg(F.collect_list(F.struct("place", "first_place")).alias("places"))
+    theirs = documents.select(*[F.col(c).alias(f"first_{c}") for c in mine], F.col("text").alias("theirs"))
     sides = (
-        pairs.join(documents, "doc_id")
-        .join(documents.select(F.col("doc_id").alias("first_doc_id"), F.col("text").alias("theirs")), "first_doc_id")
-        .select("doc_id", "first_doc_id", "places", "text", "theirs")
+        pairs.join(documents, mine).join(theirs, firsts)
+        .select(*mine, "first_doc_id", "places", "text", "theirs")
     )
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
                 rows = []
-                for doc, first, places, text, theirs in zip(*(c.to_pylist() for c in batch.slice(at, 100).columns), strict=True):
+                for doc, variant, first, places, text, theirs in zip(*(c.to_pylist() for c in batch.slice(at, 100).columns), strict=True):
                     spans, plain, hashes = words(text)
                     real = np.flatnonzero([bool(w) for w in plain])
                     _, others, other = words(theirs)
@@ -168,50 +169,52 @@ def _grown(seeds: DataFrame, documents: DataFrame) -> DataFrame:
                     places = [(x["place"], x["first_place"]) for x in places]
                     for a, b in grown(hashes[real], other, places):
                         place, after = int(real[a]), int(real[b - 1]) + 1
-                        rows.append((doc, first, place, after, spans[place][0], spans[after - 1][1]))
-                columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-                names = ["doc_id", "first_doc_id", "place", "after", "start", "stop"]
-                types = [pa.int64()] * 2 + [pa.int32()] * 4
+                        rows.append((doc, variant, first, place, after, spans[place][0], spans[after - 1][1]))
+                columns = list(zip(*rows, strict=True)) if rows else [()] * 7
+                names = ["doc_id", "variant", "first_doc_id", "place", "after", "start", "stop"]
+                types = [pa.int64()] * 3 + [pa.int32()] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    return sides.mapInArrow(run, "doc_id long, first_doc_id long, place int, after int, start int, stop int")
+    return sides.mapInArrow(run, "doc_id long, variant long, first_doc_id long, place int, after int, start int, stop int")
 
 
 def repeated_spans(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """One row (doc_id, start, stop, n_words, first_doc_ids) for each run of repeated units.
-
-    A unit is repeated where the same digest occurs at an earlier (doc_id, place); a run is of
-    units next to each other, or over each other. Offsets are those of the original text. Rows
-    with a null doc_id or a null text have no spans; rows that repeat a doc_id and its text are
-    one document.
+    """One row (doc_id, variant, start, stop, n_words, first_doc_ids) for each run of repeated units.
+
+    A unit is repeated where the same digest occurs at an earlier (doc_id, variant, place); a run
+    is of units next to each other, or over each other. Offsets are those of the original text.
+    Rows with a null doc_id or a null text have no spans, an empty text has no units, and texts
+    are cut whole. Rows that repeat a doc_id and its text are one document; different texts of
+    one doc_id are documents of their own, told apart by ``variant``. Columns but doc_id and
+    text aren't looked at; an empty table gives an empty one.
     """
-    rows = documents.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = told_apart(documents)
     found = hashed(rows)
+    place = F.struct("doc_id", "variant", "place")
     earliest = (
-        found.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n"))
+        found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
         .where("n > 1").select("digest", "first")
     )
     later = (
-        found.join(earliest, "digest").where("struct(doc_id, place) > first")
-        .select("doc_id", "kind", "reach", "place", "after", "start", "stop",
-                F.col("first.doc_id").alias("first_doc_id"), F.col("first.place").alias("first_place"))
-        .dropDuplicates(["doc_id", "kind", "place"])
+        found.join(earliest, "digest").where(place > F.col("first"))
+        .select("doc_id", "variant", "kind", "reach", "place", "after", "start", "stop",
+                *[F.col(f"first.{c}").alias(f"first_{c}") for c in ("doc_id", "variant", "place")])
+        .dropDuplicates(["doc_id", "variant", "kind", "place"])
     )
     later = written(later, "units")
     stretches = _grown(later.where(f"kind = {_SEED}"), rows)
-    parts = later.where(f"kind <> {_SEED}").drop("first_place").unionByName(
+    parts = later.where(f"kind <> {_SEED}").drop("first_variant", "first_place").unionByName(
         stretches.withColumns({"kind": F.lit(_SEED).cast("byte"), "reach": F.col("place")})
     )
-    order = Window.partitionBy("doc_id").orderBy("place", "after", "kind")  # one document's units
+    order = Window.partitionBy("doc_id", "variant").orderBy("place", "after", "kind")  # one document's units
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("new", F.coalesce(F.col("reach") > F.max("after").over(before), F.lit(True)))
     parts = parts.withColumn("run", F.sum(F.col("new").cast("int")).over(order))
-    run = Window.partitionBy("doc_id", "run")
+    run = Window.partitionBy("doc_id", "variant", "run")
     parts = parts.withColumn("long", F.max("after").over(run) - F.min("place").over(run) >= least_words)
     return (
         parts.where(f"long OR kind = {_LINE}")
-        .groupBy("doc_id", "run", F.when(~F.col("long"), F.col("place")).alias("line"))
+        .groupBy("doc_id", "variant", "run", F.when(~F.col("long"), F.col("place")).alias("line"))
         .agg(
             F.min("start").alias("start"),
             F.max("stop").alias("stop"),
@@ -225,14 +228,19 @@ def repeated_spans(documents: DataFrame, least_words: int = LEAST_WORDS) -> Data
 def without_spans(documents: DataFrame, spans: DataFrame) -> DataFrame:
     """The rows of ``documents`` that have spans, with ``kept_text``, and ``spans`` as an array of
     (start, stop) in the original text, in order."""
-    removed = spans.groupBy("doc_id").agg(
+    removed = spans.groupBy("doc_id", "variant").agg(
         F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"),
         F.sum("n_words").alias("n_words_removed"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("first_doc_ids")))).alias("first_doc_ids"),
     )
-    kept = """concat_ws('', transform(sequence(0, size(spans)), i -> substring(text,
+    own = {c: f"_own{i}" for i, c in enumerate(documents.columns)}
+    text = own["text"]
+    kept = f"""concat_ws('', transform(sequence(0, size(spans)), i -> substring({text},
         IF(i = 0, 0, get(spans, i - 1).stop) + 1,
-        IF(i = size(spans), length(text), get(spans, i).start) - IF(i = 0, 0, get(spans, i - 1).stop))))"""
+        IF(i = size(spans), length({text}), get(spans, i).start) - IF(i = 0, 0, get(spans, i - 1).stop))))"""
+    rows = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
+    same = is_document(F.col(own["doc_id"]), F.col(text), F.col("doc_id"), F.col("variant"))
     taken = ["spans", "n_words_removed", "first_doc_ids", "kept_text"]
-    rest = documents.select(*[F.col(f"`{c}`") for c in documents.columns if c not in taken])
-    return rest.join(removed, "doc_id").withColumn("kept_text", F.expr(kept))
+    return rows.join(removed, same).withColumn("kept_text", F.expr(kept)).select(
+        *[F.col(n).alias(c) for c, n in own.items() if c not in taken], *taken
+    )

@@ -57,7 +57,7 @@ def _patterns() -> tuple[regex.Pattern, frozenset[str], regex.Pattern]:
 
 
 #: Entries of the table of pairs of tokens that a Python worker keeps.
-PAIRS = 300_000
+PAIRS = 150_000
 #: Added to a byte's symbol at the end of a word.
 END = 256
 
