@@ -17,12 +17,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that they share with earlier ones; one that has no other
     words is a copy, and goes."""
-    shared = line_dedup.shared_lines(docs)
-    left = line_dedup.without_lines(docs, shared)
-    words = "text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'"
-    return left.join(shared.select(F.col("doc_id").alias("_cut")), F.col("doc_id") == F.col("_cut"), "left").where(
-        f"_cut IS NULL OR {words}"
-    ).select(*docs.columns)
+    return line_dedup.without_lines(docs, line_dedup.shared_lines(docs), emptied=False)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
