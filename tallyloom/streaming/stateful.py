@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -33,7 +34,7 @@ class _Changes(StatefulProcessor):
         self.last = handle.getValueState("last", self.state)
 
     def handleInputRows(self, key, rows, timerValues):
-        before = self.last.get() if self.last.exists() else None
+        before = self.last.get()
         for row in _in_order(rows, self.order):
             now = (row[self.value],)
             if before is None or tuple(before) != now:
@@ -55,7 +56,7 @@ class _Events(StatefulProcessor):
         self.open = handle.getValueState("open", self.state)
 
     def handleInputRows(self, key, rows, timerValues):
-        seen = list(self.open.get()) if self.open.exists() else [None] * len(self.captures)
+        seen = list(self.open.get() or [None] * len(self.captures))
         for row in _in_order(rows, self.order):
             for i, c in enumerate(self.captures):
                 if row[c] is not None:
@@ -124,7 +125,7 @@ def replayed(
     """Let ``history`` arrive in ``parts`` ranges of the timestamp ``order``, and run a stream
     over what is new after each: it stops and goes on from its checkpoint in between."""
     spark = history.sparkSession
-    place = history[order].cast("double")
+    place = F.unix_micros(history[order].cast("timestamp"))
     cuts = history.select(place.alias("p")).approxQuantile("p", [n / parts for n in range(1, parts)], 0.01)
     low = None
     for high in [*cuts, None]:
