@@ -3,18 +3,24 @@
 Each set of shingles has a signature of ``COORDINATES`` minima. A document is posted under each
 pair of coordinate and value. Two documents that agree at ``MATCHES`` coordinates must share a
 list even if each is posted under its rarest ``COORDINATES - MATCHES + 1`` only, so the popular
-lists are skipped for all documents that have enough rare ones. What remains of a list is tried
-against some members: in the first round the smallest, which joins up large groups of copies,
-then ``LEADERS`` at a time from the list's smallest components, for as long as the list spans
-several. Every pair of a list that isn't connected already is thus tried, and no round emits more
-than ``LEADERS`` rows for each posting.
+lists are skipped for all documents that have enough rare ones.
+
+Collisions are counted in two ways. First each list names its most central member, and each
+document counts in how many of its lists it meets each of them; the one it meets most often is
+compared, one pair for each document, which joins up groups of copies of any size. The lists that
+still span several components are then merged: members of the smaller components are tried
+against the others, ``LEADERS`` at a time, then twice as many and so on, until each list lies in
+one component or is used up. These pairs are filtered before they leave the join, by their sizes
+and by a sketch of four bits for each coordinate: whatever agrees at ``MATCHES`` coordinates
+agrees at so many of their sketches, so no pair above the threshold is lost. Links are confirmed
+on full sets.
 """
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -27,6 +33,9 @@ COORDINATES = 128
 #: At a similarity of 0.75 fewer agree in 2.9 of a million pairs (computed; 4.6 at 32 of 64).
 MATCHES = 73
 LEADERS = 16
+#: Bits of each minimum that a sketch holds, and the lowest of them; those below tell the coordinate.
+_BITS = 4
+_LOWEST = np.uint64(8)
 #: Shingles handled at once; bounds the memory of a very long text.
 _BLOCK = 4096
 #: Low bits of a posting's key that tell its coordinate.
@@ -37,6 +46,7 @@ SIGNATURE = StructType(
         StructField("n_shingles", LongType()),
         StructField("digest", BinaryType()),
         StructField("postings", ArrayType(LongType())),
+        StructField("sketch", ArrayType(LongType())),
     ]
 )
 
@@ -59,48 +69,88 @@ def signature(shingles: np.ndarray) -> list[int]:
     return ((least & ~_COORDINATE_BITS) | numbers).view(np.int64).tolist()
 
 
+def sketch(postings: list[int]) -> list[int]:
+    """Bit planes of a signature: two longs for each bit, one bit for each coordinate."""
+    least = np.array(postings, np.int64).view(np.uint64) >> _LOWEST
+    planes = [np.packbits(((least >> np.uint64(k)) & np.uint64(1)).astype(np.uint8)) for k in range(_BITS)]
+    return np.concatenate(planes).view(np.int64).tolist()
+
+
+def agreements(one: str, other: str) -> Column:
+    """At how many coordinates two sketches agree: never fewer than their signatures do."""
+
+    def unlike(half: int) -> Column:
+        planes = [F.col(one)[i].bitwiseXOR(F.col(other)[i]) for i in range(half, 2 * _BITS, 2)]
+        return F.bit_count(reduce(Column.bitwiseOR, planes))
+
+    return F.lit(COORDINATES) - unlike(0) - unlike(1)
+
+
 def signed(df: DataFrame, text: str = "text", keep=None) -> DataFrame:
-    """``df`` with the size, digest and signature of each text's set; null for an empty set."""
+    """``df`` with the size, digest, signature and sketch of each text's set; null for an empty set."""
 
     def make():
         def signatures(texts):
             for t in texts:
                 found = shingle_set(t)
-                yield (len(found), digest(found), signature(found)) if len(found) else (0, None, None)
+                if len(found):
+                    minima = signature(found)
+                    yield len(found), digest(found), minima, sketch(minima)
+                else:
+                    yield 0, None, None, None
 
         return signatures
 
     return with_columns(df, text, SIGNATURE, make, keep)
 
 
-def prefixes(reps: DataFrame) -> DataFrame:
-    """Postings (rep, posting) under each document's rarest coordinates, popular ones skipped.
+def prefixes(postings: DataFrame) -> DataFrame:
+    """Rows (rep, weight, posting) for each document's rarest coordinates, popular ones skipped.
 
     A posting that no other document has can't meet any; it still takes its place among the
-    rarest, which is why documents with many of them drop out.
+    rarest, which is why documents with many of them drop out. The weight tells how central a
+    document is: how many others its postings meet.
     """
-    postings = reps.select("rep", F.explode("postings").alias("posting"))
     shared = postings.groupBy("posting").agg(F.count("*").alias("n")).where("n > 1")
     met = postings.join(shared, "posting").groupBy("rep").agg(
-        F.sort_array(F.collect_list(F.struct("n", "posting"))).alias("met")  # a signature's length at most
+        F.sort_array(F.collect_set(F.struct("n", "posting"))).alias("met"),  # a signature's length at most
+        F.sum("n").alias("weight"),
     )
     room = F.lit(COORDINATES - MATCHES + 1 - COORDINATES) + F.size("met")
-    return met.where(room > 0).select("rep", F.explode(F.slice("met", F.lit(1), room)).alias("p")).select(
-        "rep", F.col("p.posting").alias("posting")
+    return met.where(room > 0).select(
+        "rep", "weight", F.explode(F.slice("met", F.lit(1), room)).alias("p")
+    ).select("rep", "weight", F.col("p.posting").alias("posting"))
+
+
+def alike(share: int) -> Column:
+    """Whether sizes and sketches (n, sketch and ln, ls) allow a link."""
+    sizes = 100 * F.least("n", "ln") >= share * F.greatest("n", "ln")
+    return sizes & (agreements("sketch", "ls") >= MATCHES)
+
+
+def met_most(lists: DataFrame, sketches: DataFrame, share: int) -> DataFrame:
+    """For each document the pair (a, b) with the central member that most of its lists name."""
+    central = lists.groupBy("posting").agg(F.max(F.struct("weight", -F.col("rep"))).alias("m"))
+    named = lists.join(central.select("posting", (-F.col("m")["col2"]).alias("leader")), "posting")
+    counted = named.where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("times"))
+    most = counted.groupBy("rep").agg(F.max(F.struct("times", "leader")).alias("m")).select("rep", "m.leader")
+    both = most.join(sketches, "rep").join(sketches.toDF("leader", "ln", "ls"), "leader").where(alike(share))
+    return both.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+
+
+def merged(rest: DataFrame, low: DataFrame, share: int) -> DataFrame:
+    """Rows (leader, rep, agree) of lists' leaders with members of other components that may be linked."""
+    leaders = low.toDF("posting", "leader", "of", "ln", "ls")
+    return rest.join(leaders, "posting").where((F.col("root") != F.col("of")) & alike(share)).select(
+        "leader", "rep", agreements("sketch", "ls").alias("agree")
     )
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, share: int) -> DataFrame:
-    """The pairs (a, b) that agree at enough coordinates and then on their full sets."""
-    half = reps.select("rep", "postings")
-    agree = (
-        pairs.join(half.toDF("b", "pb"), "b").join(half.toDF("a", "pa"), "a")
-        .where(F.size(F.array_intersect("pa", "pb")) >= MATCHES).select("a", "b").distinct()
-    )
-    agree = written(agree, "agreeing")
-    ends = agree.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+def confirmed(pairs: DataFrame, texts: DataFrame, share: int) -> DataFrame:
+    """The pairs (a, b) that are linked by their full sets."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     needed = written(texts.join(ends, "doc", "left_semi"), "compared")
-    sides = agree.join(needed.toDF("b", "tb"), "b").join(needed.toDF("a", "ta"), "a").select("a", "ta", "b", "tb")
+    sides = pairs.join(needed.toDF("b", "tb"), "b").join(needed.toDF("a", "ta"), "a").select("a", "ta", "b", "tb")
 
     def compare(batches):
         last, mine = None, None
@@ -135,39 +185,36 @@ def near_duplicates(documents: DataFrame, share: int = 75) -> DataFrame:
     usable = sets.where("doc_id IS NOT NULL AND n_shingles > 0")
     first = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     member = written(usable.select("doc_id", "digest").join(first, "digest").distinct(), "members")
-    unique = member.where("doc_id = rep").select("rep", "digest").distinct()
-    reps = written(
-        usable.join(unique, [usable.doc_id == unique.rep, usable.digest == unique.digest])
-        .select("rep", "postings").distinct(), "representatives",
-    )
-    lists = written(prefixes(reps), "postings")
-    posted = lists.select(F.col("rep").alias("doc")).distinct()
-    texts = written(source.select(F.col("doc_id").alias("doc"), "text").join(posted, "doc", "left_semi"), "texts")
-    found = reps.limit(0).select(F.col("rep").alias("a"), F.col("rep").alias("b"))
+    unique = member.where("doc_id = rep").select("rep", F.col("digest").alias("own"))
+    reps = usable.join(unique, (usable.doc_id == unique.rep) & (usable.digest == unique.own))
+    lists = written(prefixes(reps.select("rep", F.explode("postings").alias("posting"))), "postings")
+    sketches = written(reps.select("rep", F.col("n_shingles").alias("n"), "sketch"), "sketches")
     # A document with several texts stands under the representative of each.
     several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
-    links = found.unionByName(
-        member.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b"))
-    )
-    roots = contracted(links)
-    rest = written(_labelled(lists, roots), "open")
-    leaders = 1
-    while True:
+    roots = contracted(member.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")))
+    texts = source.select(F.col("doc_id").alias("doc"), "text")
+    tested = written(met_most(lists, sketches, share), "pairs")
+    roots = _joined(roots, written(confirmed(tested, texts, share), "links"))
+    rest = written(_open(_labelled(lists.select("posting", "rep"), roots)).join(sketches, "rep"), "open")
+    texts = written(texts.join(rest.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi"), "texts")
+    leaders, best = LEADERS, True
+    while not rest.isEmpty():
         low = written(_leaders(rest, leaders), "leaders")
-        pairs = (
-            rest.join(low.toDF("posting", "leader", "of"), "posting").where("root <> of")
-            .select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
-        )
-        new = written(confirmed(pairs, reps, texts, share), "links")
+        found = merged(rest, low, share)
+        if best:  # before all are tried: the likeliest partner of each, which joins up most
+            found = found.groupBy("leader").agg(F.max(F.struct("agree", "rep")).alias("m")).select("leader", "m.rep")
+        pairs = found.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(pairs)
+        new = written(confirmed(pairs, texts, share), "links")
         if not new.isEmpty():
             roots = _joined(roots, new)
-        tried = low.select("posting", "rep")
-        rest = _labelled(rest.select("posting", "rep").join(tried, ["posting", "rep"], "left_anti"), roots)
-        open_lists = rest.groupBy("posting").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-        rest = written(rest.join(open_lists.select("posting"), "posting"), "open")
-        if rest.isEmpty():
-            break
-        leaders = LEADERS
+        if best:
+            best = False
+        else:
+            rest = rest.join(low.select("posting", "rep"), ["posting", "rep"], "left_anti")
+            leaders *= 2
+        rest = written(_open(_labelled(rest.drop("root"), roots)), "open")
     ends = member.join(roots.toDF("rep", "root"), "rep", "left").groupBy("doc_id").agg(
         F.min(F.coalesce("root", "rep")).alias("component_id")
     )
@@ -180,9 +227,15 @@ def near_duplicates(documents: DataFrame, share: int = 75) -> DataFrame:
 
 
 def _labelled(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """(posting, rep, root): members of lists with their components, so far as these are known."""
-    got = lists.join(roots.toDF("rep", "root"), "rep", "left")
-    return got.select("posting", "rep", F.coalesce("root", "rep").alias("root"))
+    """Members of lists with their components (root), so far as these are known."""
+    got = lists.join(roots.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    return got.select("posting", "rep", "root", *[c for c in lists.columns if c not in ("posting", "rep")])
+
+
+def _open(rest: DataFrame) -> DataFrame:
+    """The lists that span several components."""
+    spans = rest.groupBy("posting").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    return rest.join(spans.select("posting"), "posting", "left_semi")
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -194,15 +247,11 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _leaders(rest: DataFrame, n: int) -> DataFrame:
-    """The members (posting, rep, root) that the others of their lists are tried against next.
-
-    First the smallest; later ``n`` of each list's smallest components, so that a list closes as
-    soon as all members outside its largest component have been tried.
+    """The members (posting, rep, root, n, sketch) that the others of their lists are tried against
+    next: ``n`` of each list's smallest components, so that a list closes as soon as all members
+    outside its largest component have been tried.
     """
-    if n == 1:
-        first = rest.groupBy("posting").agg(F.min(F.struct("rep", "root")).alias("m"))
-        return first.select("posting", "m.rep", "m.root")
     sizes = rest.groupBy("posting", "root").agg(F.count("*").alias("size"))
     order = Window.partitionBy("posting").orderBy("size", "root", "rep")
-    ranked = rest.join(sizes, ["posting", "root"]).withColumn("_n", F.row_number().over(order))
-    return ranked.where(f"_n <= {n}").select("posting", "rep", "root")
+    ranked = rest.join(sizes, ["posting", "root"]).withColumn("_place", F.row_number().over(order))
+    return ranked.where(f"_place <= {n}").select("posting", "rep", "root", "n", "sketch")
