@@ -7,12 +7,15 @@ lists are skipped for all documents that have enough rare ones.
 
 Collisions are counted in two ways. First each list names its most central member, and each
 document counts in how many of its lists it meets each of them; the one it meets most often is
-compared, one pair for each document, which joins up groups of copies of any size. The lists that
-still span several components are then merged: members of the smaller components are tried
-against the others, ``LEADERS`` at a time, then twice as many and so on, until each list lies in
-one component or is used up. These pairs are filtered before they leave the join, by their sizes
-and by a sketch of four bits for each coordinate: whatever agrees at ``MATCHES`` coordinates
-agrees at so many of their sketches, so no pair above the threshold is lost. Links are confirmed
+compared, one pair for each document, which joins up groups of copies of any size. Of the lists
+that still span several components only documents stay whose shingles occur often enough in
+other components: where many documents hold one passage, each with a text of its own around it,
+none does. What stays is merged: members of the smaller components are tried against the others,
+``LEADERS`` at a time, then twice as many and so on, until each list lies in one component or is
+used up. These pairs are filtered before they leave the join, by their sizes
+by a sketch of four bits for each coordinate and by a bitmap of the set: whatever agrees at
+``MATCHES`` coordinates agrees at so many of their sketches, and bitmaps differ in no more bits
+than sets in shingles, so no pair above the threshold is lost. Links are confirmed
 on full sets.
 """
 
@@ -36,6 +39,8 @@ LEADERS = 16
 #: Bits of each minimum that a sketch holds, and the lowest of them; those below tell the coordinate.
 _BITS = 4
 _LOWEST = np.uint64(8)
+#: Bits of a set's bitmap, which tells most about sets of up to about so many shingles.
+_BITMAP = 1024
 #: Shingles handled at once; bounds the memory of a very long text.
 _BLOCK = 4096
 #: Low bits of a posting's key that tell its coordinate.
@@ -50,6 +55,8 @@ SIGNATURE = StructType(
     ]
 )
 
+_SETS = StructType([StructField("size", LongType()), StructField("shingles", ArrayType(LongType()))])
+
 
 @lru_cache(1)
 def _multipliers() -> np.ndarray:
@@ -69,11 +76,13 @@ def signature(shingles: np.ndarray) -> list[int]:
     return ((least & ~_COORDINATE_BITS) | numbers).view(np.int64).tolist()
 
 
-def sketch(postings: list[int]) -> list[int]:
-    """Bit planes of a signature: two longs for each bit, one bit for each coordinate."""
+def sketch(postings: list[int], shingles: np.ndarray) -> list[int]:
+    """Bit planes of a signature (two longs for each bit, one bit for each coordinate), then a bitmap of the set."""
     least = np.array(postings, np.int64).view(np.uint64) >> _LOWEST
     planes = [np.packbits(((least >> np.uint64(k)) & np.uint64(1)).astype(np.uint8)) for k in range(_BITS)]
-    return np.concatenate(planes).view(np.int64).tolist()
+    bitmap = np.zeros(_BITMAP, np.uint8)
+    bitmap[(shingles % np.uint64(_BITMAP)).astype(np.int64)] = 1
+    return np.concatenate([*planes, np.packbits(bitmap)]).view(np.int64).tolist()
 
 
 def agreements(one: str, other: str) -> Column:
@@ -86,6 +95,12 @@ def agreements(one: str, other: str) -> Column:
     return F.lit(COORDINATES) - unlike(0) - unlike(1)
 
 
+def differing(one: str, other: str) -> Column:
+    """In how many bits two bitmaps differ: never more than shingles that only one set holds."""
+    longs = range(2 * _BITS, 2 * _BITS + _BITMAP // 64)
+    return reduce(Column.__add__, [F.bit_count(F.col(one)[i].bitwiseXOR(F.col(other)[i])) for i in longs])
+
+
 def signed(df: DataFrame, text: str = "text", keep=None) -> DataFrame:
     """``df`` with the size, digest, signature and sketch of each text's set; null for an empty set."""
 
@@ -95,7 +110,7 @@ def signed(df: DataFrame, text: str = "text", keep=None) -> DataFrame:
                 found = shingle_set(t)
                 if len(found):
                     minima = signature(found)
-                    yield len(found), digest(found), minima, sketch(minima)
+                    yield len(found), digest(found), minima, sketch(minima, found)
                 else:
                     yield 0, None, None, None
 
@@ -125,7 +140,8 @@ def prefixes(postings: DataFrame) -> DataFrame:
 def alike(share: int) -> Column:
     """Whether sizes and sketches (n, sketch and ln, ls) allow a link."""
     sizes = 100 * F.least("n", "ln") >= share * F.greatest("n", "ln")
-    return sizes & (agreements("sketch", "ls") >= MATCHES)
+    apart = (100 + share) * differing("sketch", "ls") <= (100 - share) * (F.col("n") + F.col("ln"))
+    return sizes & (agreements("sketch", "ls") >= MATCHES) & apart
 
 
 def met_most(lists: DataFrame, sketches: DataFrame, share: int) -> DataFrame:
@@ -146,6 +162,27 @@ def merged(rest: DataFrame, low: DataFrame, share: int) -> DataFrame:
     )
 
 
+def linkable(rest: DataFrame, texts: DataFrame, share: int) -> DataFrame:
+    """The documents (rep) of open lists that a document of another component may be linked with.
+
+    A link needs ``share`` percent of the union, so of either set, in common: a document goes if
+    fewer of its shingles occur in other components' documents. Shingles are grouped, not paired.
+    """
+
+    def make():
+        return lambda values: ((len(found), found.view(np.int64).tolist()) for found in map(shingle_set, values))
+
+    rows = texts.join(rest.select(F.col("rep").alias("doc"), "root").distinct(), "doc")
+    own = rows.select("doc", "root", F.xxhash64("text").alias("set"), "text")
+    sets = with_columns(own, "text", _SETS, make, ["doc", "root", "set"])
+    held = written(sets.select("doc", "root", "set", "size", F.explode("shingles").alias("shingle")), "shingles")
+    spans = held.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    common = held.join(spans.select("shingle"), "shingle").groupBy("doc", "set").agg(
+        F.count("*").alias("common"), F.max("size").alias("size")
+    )
+    return common.where(f"100 * common >= {share} * size").select(F.col("doc").alias("rep")).distinct()
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, share: int) -> DataFrame:
     """The pairs (a, b) that are linked by their full sets."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
@@ -211,6 +248,7 @@ def near_duplicates(documents: DataFrame, share: int = 75) -> DataFrame:
             roots = _joined(roots, new)
         if best:
             best = False
+            rest = rest.join(linkable(_open(_labelled(rest.drop("root"), roots)), texts, share), "rep", "left_semi")
         else:
             rest = rest.join(low.select("posting", "rep"), ["posting", "rep"], "left_anti")
             leaders *= 2
