@@ -1,8 +1,10 @@
-"""The chance that a pair at the threshold is lost."""
+"""The chance that a pair at the threshold is lost, and filters that must lose none."""
 
 from math import comb
 
-from tallyloom.llm.minhash_join import COORDINATES, MATCHES
+import numpy as np
+
+from tallyloom.llm.minhash_join import COORDINATES, MATCHES, agreements, differing, signature, sketch
 
 
 def test_no_more_links_are_lost_than_at_half_of_64():
@@ -10,3 +12,19 @@ def test_no_more_links_are_lost_than_at_half_of_64():
         return sum(comb(n, k) * 0.75**k * 0.25 ** (n - k) for k in range(least))
 
     assert missed(COORDINATES, MATCHES) < missed(64, 32)
+
+
+def test_sketches_and_bitmaps_bound_what_they_stand_for(spark):
+    rng = np.random.default_rng(5)
+    rows, truth = [], []
+    for size in (1, 3, 60, 700, 5000):
+        for common in (0.0, 0.5, 0.8, 1.0):
+            one = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+            new = rng.integers(0, 1 << 64, size - int(common * size), dtype=np.uint64)
+            other = np.unique(np.concatenate([one[: int(common * size)], new]))
+            mine, theirs = signature(one), signature(other)
+            rows.append((len(rows), sketch(mine, one), sketch(theirs, other)))
+            truth.append((len(set(mine) & set(theirs)), len(np.setxor1d(one, other))))
+    pairs = spark.createDataFrame(rows, "i int, x array<long>, y array<long>")
+    for r in pairs.select("i", agreements("x", "y").alias("agree"), differing("x", "y").alias("apart")).collect():
+        assert r.agree >= truth[r.i][0] and r.apart <= truth[r.i][1]
