@@ -20,6 +20,8 @@ COMPLEX_WINDOW = (16, 2500)
 COST_SECONDS = (1.44451398e-04, -1.18261348e-01, 5.38503478e01)
 BATCH_HOURS = 3
 MAX_SPLITS = 200
+# Ids in one list of batch members.
+MEMBER_CHUNK = 10_000
 
 # Weights of the two interface scores in the model confidence.
 CONFIDENCE_IPTM = 0.8

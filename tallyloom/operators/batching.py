@@ -21,9 +21,12 @@ def assign_batches(
 
     A batch holds the rows whose running cost, cut to whole hours, falls into
     the same multiple of ``hours``; ids may skip values where one row costs more.
-    Running costs are exact sums, so batches don't depend on how rows are spread.
+    Running costs are exact sums, so batches don't depend on how rows are spread. A cost of 0
+    or less is an error: no batch would be bounded by it.
     """
-    sized = by_size(df, size, tie, cost(F.col(size)), **limits)
+    hours_of = cost(F.col(size))
+    wrong = F.raise_error(F.concat(F.lit("cost of 0 or less for size "), F.col(size).cast("string")))
+    sized = by_size(df, size, tie, F.when(hours_of <= 0, wrong.cast("double")).otherwise(hours_of), **limits)
     whole = F.floor("weight_cumsum").cast("double")
     batch = F.floor(whole / F.lit(float(hours))).cast("bigint")
     return sized.withColumn("batch_id", batch).withColumn(
@@ -53,6 +56,19 @@ def batch_members(plan: DataFrame, order: tuple[str, ...] = ("tokens", "id"), id
     )
 
 
+def member_chunks(assigned: DataFrame, rows: int = fixed.MEMBER_CHUNK, id_: str = "id") -> DataFrame:
+    """Ids of each batch as ordered lists of at most ``rows``: ``batch_id, chunk, members``.
+
+    Chunks are cut at the positions that ``assign_batches`` gives, so they follow each other
+    through the batches, and no batch, however cheap its records, is brought together.
+    """
+    ranked = F.sort_array(F.collect_list(F.struct("pos", F.col(id_).alias("_member"))))
+    return assigned.groupBy("batch_id", F.floor(F.col("pos") / rows).alias("chunk")).agg(
+        F.count("*").alias("no_of_sequences"),
+        F.transform(ranked, lambda r: r["_member"].cast("string")).alias("members"),
+    )
+
+
 def plan_head(plan: DataFrame, n: int, *order: str) -> DataFrame:
     return plan.orderBy(*order).limit(n)
 

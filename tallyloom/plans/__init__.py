@@ -7,6 +7,7 @@ _MODULES = [
     "record_queries",
     "log_queries",
     "file_queries",
+    "folder_queries",
     "stream_queries",
 ]
 

@@ -86,22 +86,23 @@ def plan_folder(
     hours: float = fixed.BATCH_HOURS,
     cost: CostModel = Quadratic(),
     window: tuple[int, int] = fixed.BATCH_WINDOW,
+    inputs: str = INPUT_PATH,
+    outputs: str = OUTPUT_PATH,
+    predictions: str = PREDICTION_PATH,
 ) -> Campaign:
-    """Plan a campaign folder of inputs, outputs and predictions.
+    """Plan a campaign folder of inputs, outputs and predictions, one file each, by path patterns.
 
     Ids come from the outputs, sizes from the inputs; an output without an
     input is reported in ``unmatched`` and left out of the plan. Documents are
     parsed once: the sizes are written to the shared folder.
     """
-    outputs = scan_ids(spark, f"{root}/{OUTPUT_PATH}").select("id")
-    inputs = scan_inputs(spark, f"{root}/{INPUT_PATH.replace('{id}', '*')}")
-    sizes = inputs.select("id", token_count(F.col("sequences")).alias("tokens"))
-    sized = written(required(outputs, sizes), "sizes")
-    done = scan_ids(spark, f"{root}/{PREDICTION_PATH}").select("id")
+    listed = scan_ids(spark, f"{root}/{outputs}").select("id")
+    documents = scan_inputs(spark, f"{root}/{inputs}")
+    sizes = documents.select("id", token_count(F.col("sequences")).alias("tokens"))
+    sized = written(required(listed, sizes), "sizes")
+    done = scan_ids(spark, f"{root}/{predictions}").select("id")
     found = sized.where("found")
-    plan = plan_batches(
-        found, done, hours, cost, window, f"{root}/{INPUT_PATH}", f"{root}/{PREDICTION_PATH}"
-    )
+    plan = plan_batches(found, done, hours, cost, window, f"{root}/{inputs}", f"{root}/{predictions}")
     return Campaign(
         plan, progress(flagged(found, done, window)), sized.where("not found").select("id")
     )

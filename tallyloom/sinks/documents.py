@@ -1,11 +1,13 @@
 """Input and composed documents, one per line in a few part files."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import fixed
 from tallyloom.operators.existence import pending
-from tallyloom.sources.documents import scan_inputs
+from tallyloom.sources.listing import decoded_path, exists_or_empty
+
+_INDEX = "file string, id string"
 
 
 def _ints(values: list[int]) -> Column:
@@ -26,15 +28,45 @@ def single_document(id_: Column, sequence: Column) -> Column:
     )
 
 
-def write_inputs(records: DataFrame, path: str, compression: str | None = None) -> None:
+def stored_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Ids of the documents in a folder, from the index in its ``_ids`` folder.
+
+    The index tells which files it covers. Files that it lacks, of other writers or of a write
+    that was lost before its index, are read once and added; no other document is.
+    """
+    index = f"{path}/_ids"
+
+    def covered() -> DataFrame:
+        return exists_or_empty(lambda: spark.read.schema(_INDEX).parquet(index), _INDEX, spark)
+
+    files = exists_or_empty(
+        lambda: spark.read.format("binaryFile").load(path).select(decoded_path().alias("file")),
+        "file string",
+        spark,
+    )
+    # Names of files only, which the scan below lists on the driver in any case.
+    new = [r["file"] for r in files.join(covered().select("file"), "file", "left_anti").collect()]
+    if new:
+        texts = spark.read.text(new)
+        names = texts.select(decoded_path().alias("file"), F.get_json_object("value", "$.name").alias("id"))
+        names.write.mode("append").parquet(index)
+    return covered().select("id")
+
+
+def write_inputs(
+    records: DataFrame, path: str, compression: str | None = None, order: str | None = None
+) -> None:
     """Append documents of ``(id, seq)`` whose id the folder does not hold yet.
 
-    ``records`` has one row per id; see ``first_wins`` for sanitised names.
+    Of rows with one id the first by ``order`` is written, without an order that of the
+    smallest sequence. One writer at a time.
     """
-    existing = scan_inputs(records.sparkSession, path, whole_files=False).select("id")
-    fresh = pending(records, existing)
-    writer = fresh.select(single_document(F.col("id"), F.col("seq"))).write.mode("append")
+    fresh = pending(records, stored_ids(records.sparkSession, path))
+    place = F.struct(*([order] if order else []), "seq")
+    first = fresh.groupBy("id").agg(F.min(place).alias("_first")).select("id", "_first.seq")
+    writer = first.select(single_document(F.col("id"), F.col("seq"))).write.mode("append")
     writer.text(path, compression=compression or "none")
+    stored_ids(records.sparkSession, path)
 
 
 def composed_document(name: Column, entries: Column, seeds: list[int]) -> Column:
@@ -81,3 +113,15 @@ def write_composed(
     documents.write.text(path, compression="gzip")
 
 
+def write_routed(
+    composed: DataFrame, path: str, seeds: list[int] = fixed.COMPOSED_SEEDS
+) -> None:
+    """Write all composed records in one pass: whole ones as documents under ``sink=documents``,
+    the others as ``{id, status}`` under ``sink=quarantine``, both gzipped."""
+    entries = F.col("entries") if "entries" in composed.columns else entry_texts(F.col("sequences"))
+    ok = F.col("status") == "ok"
+    value = F.when(ok, composed_document(F.col("name"), entries, seeds)).otherwise(
+        F.to_json(F.struct("id", "status"))
+    )
+    routed = composed.select(value.alias("value"), F.when(ok, "documents").otherwise("quarantine").alias("sink"))
+    routed.write.partitionBy("sink").text(path, compression="gzip")

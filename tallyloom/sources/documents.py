@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import schemas
 from tallyloom.functions.sizes import chain_ids
-from tallyloom.sources.listing import decoded_path, exists_or_empty
+from tallyloom.sources.listing import decoded_path, exists_or_empty, path_id
 
 _KINDS = ["protein", "rna", "dna", "ligand"]
 _HEAD = "name string, dialect string, version int, modelSeeds array<int>"
@@ -43,13 +43,15 @@ def entry_structs(json: Column) -> Column:
 def scan_inputs(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
     """Documents under a path or glob; gzip is told by the ``.gz`` suffix.
 
-    With ``whole_files`` each file is one document and its id is the file name;
-    otherwise each line is one and its id is the document's name. ``entries`` keeps
-    each entry of ``sequences`` as JSON text. Columns not selected are not parsed.
+    With ``whole_files`` each file is one document and its id is the file name, or what
+    stands for ``{id}`` where ``path`` has such a hole; otherwise each line is one and its id
+    is the document's name. ``entries`` keeps each entry of ``sequences`` as JSON text.
+    Columns not selected are not parsed.
     """
-    texts = _texts(spark, path, whole_files)
+    texts = _texts(spark, path.replace("{id}", "*"), whole_files)
     head = F.from_json("value", _HEAD)
-    id_ = F.regexp_extract("path", _DOCUMENT_NAME, 1) if whole_files else head["name"]
+    by_path = path_id(path) if "{id}" in path else F.regexp_extract("path", _DOCUMENT_NAME, 1)
+    id_ = by_path if whole_files else head["name"]
     return texts.select(
         id_.alias("id"),
         "path",
@@ -63,7 +65,7 @@ def scan_inputs(spark: SparkSession, path: str, whole_files: bool = True) -> Dat
 
 
 def scan_scores(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """``(path, ranking_score, iptm, ptm)`` of confidence summaries."""
+    """``(path, ranking_score, iptm, ptm)`` of confidence summaries; a field that is absent is NULL."""
     texts = _texts(spark, path, whole_files)
     return texts.select("path", F.from_json("value", schemas.SCORES).alias("s")).select(
         "path", "s.*"

@@ -27,6 +27,11 @@ def exists_or_empty(load, empty_schema: str, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([], empty_schema)
 
 
+def path_id(pattern: str, path: str = "path") -> Column:
+    """What stands for ``{id}`` in a path; empty where the pattern doesn't fit."""
+    return F.regexp_extract(F.regexp_replace(path, _SCHEME, ""), path_regex(re.sub(_SCHEME, "", pattern)), 1)
+
+
 def scan_ids(spark: SparkSession, pattern: str) -> DataFrame:
     """``(id, path)`` of every file that matches a pattern with ``{id}`` holes.
 
@@ -40,9 +45,7 @@ def scan_ids(spark: SparkSession, pattern: str) -> DataFrame:
     )
     bare = F.regexp_replace("path", _SCHEME, "")
     regex = path_regex(re.sub(_SCHEME, "", pattern))
-    return listed.where(bare.rlike(regex)).select(
-        F.regexp_extract(bare, regex, 1).alias("id"), "path"
-    )
+    return listed.where(bare.rlike(regex)).select(path_id(pattern).alias("id"), "path")
 
 
 def scan_artifacts(spark: SparkSession, patterns: dict[str, str]) -> DataFrame:

@@ -246,6 +246,32 @@ def test_write_inputs_is_write_if_absent_and_escapes(spark, tmp_path):
     }
 
 
+def test_write_inputs_keeps_one_document_an_id_and_reads_no_stored_one(spark, tmp_path, rows):
+    path = str(tmp_path / "in")
+    many = spark.createDataFrame(
+        [("a", "Z", 0), ("a", "B", 1), ("b", "M", 5)], "id string, seq string, place int"
+    ).repartition(3)
+    document_sinks.write_inputs(many, path, order="place")
+    assert rows(document_sinks.stored_ids(spark, path), "id") == [("a",), ("b",)]
+    held = {d["name"]: d["sequences"][0]["protein"]["sequence"] for d in map(json.loads, texts(path))}
+    assert held == {"a": "Z", "b": "M"}
+    for name in os.listdir(path):  # stored documents that can't be read any more are still known
+        if name.startswith("part-"):
+            (tmp_path / "in" / name).write_text("no document\n")
+    put(tmp_path / "in" / "part-99.txt", json.dumps(document("c", protein("A", 3))))
+    document_sinks.write_inputs(spark.createDataFrame([("a", "X"), ("c", "X"), ("d", "Y")], "id string, seq string"), path)
+    assert rows(document_sinks.stored_ids(spark, path), "id") == [("a",), ("b",), ("c",), ("d",)]
+    assert sum('"name":"d"' in line for line in texts(path)) == 1 and not any('"X"' in line for line in texts(path))
+
+
+def test_routed_records(spark, tmp_path, cache):
+    keys = spark.createDataFrame([("mapk1_dusp6",), ("mapk1_none",)], "id string")
+    document_sinks.write_routed(compose.compose(keys, cache.select("id", "name", "entries")), str(tmp_path / "r"))
+    (whole,) = map(json.loads, texts(tmp_path / "r/sink=documents"))
+    (other,) = map(json.loads, texts(tmp_path / "r/sink=quarantine"))
+    assert len(whole["sequences"]) == 2 and other == {"id": "mapk1_none", "status": "missing_member"}
+
+
 @pytest.fixture
 def cache(spark, tmp_path):
     folder = tmp_path / "cache"

@@ -1,11 +1,12 @@
 """Scorers see whole batches, are made once per task, and errors stay with their row."""
 
 import pandas as pd
+import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tallyloom.functions.costs import Quadratic
-from tallyloom.operators.batching import assign_batches, batch_members, in_size_order
+from tallyloom.operators.batching import assign_batches, batch_members, in_size_order, member_chunks
 from tallyloom.operators.scoring import _batches, run_each, score_all, score_batches
 
 SCHEMA = "id bigint, batch_id bigint, made bigint, seen bigint"
@@ -92,6 +93,20 @@ def test_run_each_keeps_errors(spark, rows):
     ]
 
 
+def test_member_chunks_follow_each_other(spark):
+    cheap = Quadratic(0.0, 0.0, 0.001)
+    assigned = assign_batches(spark.range(1000).select("id", F.lit(7).alias("tokens")), cheap, 1)
+    chunks = sorted(tuple(r) for r in member_chunks(assigned, 64).collect())
+    assert [c[:2] for c in chunks] == [(0, i) for i in range(16)]
+    assert [m for c in chunks for m in c[3]] == [str(i) for i in range(1000)]
+
+
+def test_costs_bound_batches(spark):
+    free = assign_batches(spark.range(3).select("id", F.lit(7).alias("tokens")), Quadratic(0.0, 0.0, 0.0), 1)
+    with pytest.raises(Exception, match="cost of 0 or less for size 7"):
+        free.collect()
+
+
 def test_members_and_layout(spark):
     small = spark.createDataFrame(
         [("b", 5, 0), ("a", 5, 0), ("c", 2, 0), ("d", 9, 3)], "id string, tokens int, batch_id bigint"
