@@ -23,8 +23,10 @@ from tallyloom.llm.word_bpe import END, WHITE, Vocabulary, compiled, normalise,
 
 #: States a Python worker keeps before it compiles anew; a bound on memory, not on texts.
 STATES = 150_000
-#: Stretches whose counts a Python worker remembers.
-SEGMENTS = 300_000
+#: Stretches whose counts a Python worker remembers, words as many, and their longest, in characters.
+SEGMENTS, LONGEST = 150_000, 64
+#: Symbols that end a stretch of letters as one word of its own.
+_MARKS = ".,;:!?#$%&*|"
 #: Characters of one chunk.
 CHUNK = 1 << 16
 #: What may follow an apostrophe that begins a word, as whole words.
@@ -51,25 +53,49 @@ _EMPTY = ("", ((0, -1, 0),))
 
 
 class _Closed(dict):
-    """Counts of stretches without white space, from the start state and back to it."""
+    """Counts of stretches without white space, from the start state and back to it.
+
+    Stretches are cut into words, which recur more often than they do. Counts don't depend on
+    states, so they outlive the machine's.
+    """
 
     def __init__(self, machine: "Transducer"):
-        self.machine = machine
+        self.machine, self.known = machine, {}
 
     def __missing__(self, segment: str) -> int:
-        if len(self) >= SEGMENTS:
-            self.clear()
-        self[segment] = found = self.machine.run(segment + " ")[1]
-        return found
+        stem = segment.rstrip(_MARKS)
+        if segment.isascii() and stem.isalpha():
+            found = self.word(stem)
+            if len(stem) < len(segment):
+                found += self.word(segment[len(stem) :])
+        else:
+            found = sum(map(self.word, words(segment)))
+        return _keep(self, segment, found)
+
+    def word(self, word: str) -> int:
+        found = self.known.get(word)
+        return _keep(self.known, word, self.machine.run(word + " ")[1]) if found is None else found
+
+
+def _keep(known: dict[str, int], text: str, found: int) -> int:
+    if len(text) <= LONGEST:
+        if len(known) >= SEGMENTS:
+            known.clear()
+        known[text] = found
+    return found
 
 
 class Transducer:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.heads = {s[:n] for s in vocabulary.by_symbols for n in range(1, len(s))}
+        self.closed = _Closed(self)
+        self.reset()
+
+    def reset(self) -> None:
+        """Forget the states, not what was counted with them."""
         self.states: dict[tuple, _State] = {}
         self.start = self.state(("start",))
-        self.closed = _Closed(self)
 
     def state(self, key: tuple) -> _State:
         found = self.states.get(key)
@@ -236,9 +262,9 @@ def count(machine: Transducer, text: str | None, chunk: int = CHUNK) -> int:
     return total
 
 
-@functools.lru_cache(2)
-def _kept(raw: str) -> list[Transducer]:
-    return [Transducer(compiled(raw))]
+@functools.lru_cache(1)
+def _kept(raw: str) -> Transducer:
+    return Transducer(compiled(raw))
 
 
 def token_counts(
@@ -253,15 +279,15 @@ def token_counts(
         raw = df.sparkSession.sparkContext.broadcast(file.read())
 
     def make():
-        kept = _kept(raw.value)
+        machine = _kept(raw.value)
         gc.disable()  # it would walk all states again and again; states are only dropped below
 
         def counts(texts):
             for t in texts:
-                if len(kept[0].states) > STATES:
-                    kept[0] = Transducer(kept[0].v)
+                if len(machine.states) > STATES:
+                    machine.reset()
                     gc.collect()
-                yield len((t or "").encode("utf-8")), count(kept[0], t)
+                yield len((t or "").encode("utf-8")), count(machine, t)
 
         return counts
 
