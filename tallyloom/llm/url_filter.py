@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import written
 
-#: Labelled URLs that the trees are fitted to at most; those of the smallest hashes are taken.
+#: Labelled URLs that the trees are fitted to, or so: those whose hash is below the share that
+#: leaves as many.
 TRAINING_ROWS = 50_000
+#: Host suffixes rarer than one URL in 10 ** ``RAREST`` count alike, so at most so many are told apart.
+RAREST = 4
 TREES, DEPTH, SEED = 10, 4, 7
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -49,8 +52,11 @@ FEATURES = {
     "entropy": """coalesce(-aggregate(transform(array_distinct(split(_url, '')), c ->
         (length(_url) - length(replace(_url, c, ''))) / greatest(length(_url), 1)),
         CAST(0 AS DOUBLE), (s, p) -> s + IF(p > 0, p * log2(p), 0D)), 0D)""",
-    "suffix_block_rate": "coalesce(_suffix_rate, 0.5D)",
-    "first_folder_block_rate": "coalesce(_folder_rate, 0.5D)",
+    # Nothing of a label: a rate of blocked URLs would only give the rules back. Orders of
+    # magnitude, so that a frequency doesn't name one suffix.
+    "suffix_length": "length(_suffix)",
+    "suffix_digits": "length(regexp_replace(_suffix, '[^0-9]', ''))",
+    "suffix_rarity": f"coalesce(_rarity, {RAREST})",
 }
 
 
@@ -64,8 +70,7 @@ def parsed(pages: DataFrame, url: str = "url") -> DataFrame:
             "page_id", "_url",
             F.translate(F.regexp_extract("_rest", "^[^/?#]*", 0), _UPPER, _UPPER.lower()).alias("host"),
             F.regexp_extract("_rest", "^[^/?#]*([^?#]*)", 1).alias("path"),
-            F.regexp_extract("_rest", "[.]([^./?#:]*)(?:[:/?#]|$)", 1).alias("_suffix"),
-            F.regexp_extract("_rest", "^[^/?#]*/([^/?#]*)", 1).alias("_folder"),
+            F.regexp_extract("_rest", "^[^/?#]*[.]([^./?#:]*)(?::[^/?#]*)?(?:[/?#]|$)", 1).alias("_suffix"),
         )
     )
 
@@ -82,19 +87,23 @@ def _first(rules: Sequence[Rule], value) -> Column:
     return found
 
 
-def _rates(labelled: DataFrame, key: str, rate: str) -> DataFrame:
-    blocked = F.sum(F.when(F.col("verdict") == "block", 1).otherwise(0))
-    return labelled.groupBy(key).agg(((blocked + 1) / (F.count("*") + 2)).alias(rate))
+def suffix_rarity(urls: DataFrame) -> DataFrame:
+    """Rows (_suffix, _rarity), at most 10 ** ``RAREST``: the order of magnitude of how rare a suffix is."""
+    counts = urls.groupBy("_suffix").agg(F.count("*").alias("n"))
+    share = F.col("n") / urls.agg(F.count("*")).scalar()
+    return counts.where(share >= 10.0**-RAREST).select(
+        "_suffix", F.floor(-F.log10(share)).alias("_rarity")
+    )
 
 
 def judged(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """One row (page_id, host, path, rule, verdict, score) for each row of ``pages``.
 
-    URLs that a rule decides are the labelled ones; block rates of host suffixes and first
-    folders are counted over all of them, the trees are fitted to ``TRAINING_ROWS`` of them at
-    most. ``score`` is the trees' vote to block, null where a rule decides or there are no
-    labels of both kinds; then the verdict is allow. Null page_ids, null URLs and repeated
-    rows stay.
+    URLs that a rule decides are the labelled ones, and the trees are fitted to ``TRAINING_ROWS``
+    of them or so; suffixes are counted over all URLs. ``score`` is the trees' vote to block,
+    null where a rule decides or there are no labels of both kinds; then the verdict is allow.
+    Null page_ids, null URLs, empty and very long ones and repeated rows stay; an empty table
+    gives an empty one. Other columns are ignored, whatever their names.
     """
     known = parsed(pages).select(
         "*",
@@ -102,17 +111,16 @@ def judged(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
         _first(rules, lambda r: r.verdict).alias("verdict"),
     )
     labelled = known.where("verdict IS NOT NULL")
-    suffixes = written(_rates(labelled, "_suffix", "_suffix_rate"), "suffixes")
-    folders = written(_rates(labelled, "_folder", "_folder_rate"), "folders")
+    rarity = F.broadcast(written(suffix_rarity(known), "suffixes"))  # 10 ** RAREST rows at most
 
     def featured(df: DataFrame) -> DataFrame:
-        joined = df.join(suffixes, "_suffix", "left").join(folders, "_folder", "left")
-        return joined.select(
+        return df.join(rarity, "_suffix", "left").select(
             "page_id", "host", "path", "rule", "verdict",
             *[F.expr(e).cast("double").alias(f"f_{n}") for n, e in FEATURES.items()],
         )
 
-    chosen = labelled.orderBy(F.xxhash64("_url", "page_id"), "page_id").limit(TRAINING_ROWS)
+    place = F.pmod(F.xxhash64("_url", "page_id"), F.lit(1 << 32)) / float(1 << 32)
+    chosen = labelled.where(place < TRAINING_ROWS / max(labelled.count(), 1))
     training = written(featured(chosen), "labelled_urls").withColumn(
         "label", F.when(F.col("verdict") == "block", 1.0).otherwise(0.0)
     )

@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -330,6 +331,42 @@ def test_urls(spark):
     assert {r.verdict for r in url_filter.judged(pages.where("page_id IN (5, 6)")).collect()} == {"allow"}
 
 
+RULED_SQL = r"""WITH p AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (
+  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')) AS t(verdict, h, f))
+SELECT page_id, host, path, h || f AS rule, verdict FROM h LEFT JOIN r
+  ON (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, f)
+QUALIFY row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(h || f) DESC NULLS LAST) = 1"""
+
+
+def test_url_rules_against_sql(spark):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    rows = url_filter.judged(pages).collect()
+    got = {(r.page_id, r.host, r.path, r.rule, r.verdict if r.rule else None) for r in rows}
+    assert got == set(con.execute(RULED_SQL).fetchall()) and len(rows) == pages.count()
+    empty = url_filter.judged(pages.where("false"))
+    assert empty.collect() == [] and empty.columns == ["page_id", "host", "path", "rule", "verdict", "score"]
+
+
+def test_url_trees_learn_from_words_of_the_url_not_from_its_rule(spark):
+    # Hosts of spam have hyphens and digits; rules decide some folders of some suffixes only.
+    def url(i):
+        spam = i % 2
+        host = f"win-{i % 7}-cash-{i}" if spam else f"www.paper{'abcdefg'[i % 7]}"
+        return i, f"http://{host}.{('net' if spam else 'com') if i % 3 else 'org'}/{'es' if i % 3 else 'en'}/{i}"
+
+    pages = spark.createDataFrame([url(i) for i in range(600)], "page_id long, url string")
+    rows = [r for r in url_filter.judged(pages).collect() if r.rule is None]
+    right = sum((r.verdict == "block") == bool(r.page_id % 2) for r in rows)
+    assert len(rows) == 200 and right >= 196
+
+
 def test_weak_labels(spark, odd, none):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality")
     got = queries.QUERIES["op10_quality_classifier"](spark, "/root/testdata/sf0.01").join(labels, "doc_id").collect()
