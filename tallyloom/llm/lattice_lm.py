@@ -25,6 +25,9 @@ MARK = "▁"
 ROUNDS = 1
 #: Of the corpus's words the most frequent ones, whose counts every task gets; others are joined.
 HEAD_WORDS = 50_000
+#: Words that are ordered to find these: no more than so many times as many can hold their share
+#: of all tokens or more.
+HEAD_ROOM = 16
 #: Words of a task's partial counts and memos.
 HELD = 300_000
 #: Weight of the vocabulary's order among the learned counts.
@@ -234,13 +237,28 @@ def learned_pieces(words: DataFrame, ending: float, pieces: list[str], rounds: i
     return {p: math.log(w / total * (1 - ending)) for p, w in weights.items()}, math.log(ending)
 
 
+def scored_words(words: DataFrame, logs: dict[str, float]) -> DataFrame:
+    """``words`` (word, learned, seen) with the log10 of each word's lattice: a distinct word is scored once."""
+    shared = words.sparkSession.sparkContext.broadcast((tuple(logs), tuple(logs.values())))
+
+    def run(batches):
+        lattice = _lattice(*shared.value)
+        for batch in batches:
+            found = pa.array([lattice.score(w) for w in batch.column(0).to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "log"])
+
+    return words.select("word", "learned", "seen").mapInArrow(run, "word binary, learned long, seen long, log double")
+
+
 def scored(documents: DataFrame, path: str, every: int = 7, held_out: int = 2) -> DataFrame:
     """One row for each row of ``documents``: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score, both log10 probabilities of the whole text.
 
     Learns from the rows whose crc32(doc_id as text) modulo ``every`` isn't ``held_out`` (rows
     with a null doc_id are learned from). Words are lowered A-Z, an end token closes each text
-    and counts as a token; a null text is empty. Repeated rows count as often as they occur.
+    and counts as a token; a null or empty text is the end alone. Repeated rows count as often as
+    they occur. An empty table gives an empty one; texts of any length are whole; other columns
+    are ignored, whatever their names.
     """
     remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % every
     held = F.col("doc_id").isNotNull() & (remainder == held_out)
@@ -252,23 +270,32 @@ def scored(documents: DataFrame, path: str, every: int = 7, held_out: int = 2) -
         F.sum("learned").alias("n"),
         F.count_if(F.col("learned") > 0).alias("v"),
         F.count_if(F.col("learned") == 1).alias("once"),
+        F.sum("seen").alias("seen"),
     ).first()
     n = int(sums.n or 0) + texts
     v = int(sums.v or 0) + (texts > 0)
     logs, end = learned_pieces(words, (texts + 1) / (n + 2), vocabulary(path))
-    head = words.orderBy(F.desc("seen"), "word").limit(HEAD_WORDS).select("word", "learned").toArrow()
-    shared = spark.sparkContext.broadcast(
-        (tuple(logs), tuple(logs.values()), dict(zip(*(c.to_pylist() for c in head.columns), strict=True)))
-    )
     floor = math.log10(n + v + 1)
     spelled = (int(sums.once) + 1) / (n + 2)  # what pieces hold; the rest is for whole words
     whole = (1 - spelled) / max(n, 1)
     end10, end_base = math.log10(whole * texts + spelled * math.exp(end)), math.log10(texts + 1) - floor
     known_end = int(texts > 0)
 
+    words = written(scored_words(words, logs), "scored-words")
+    frequent = words.where(F.col("seen") >= (sums.seen or 0) / (HEAD_WORDS * HEAD_ROOM))
+    head = frequent.orderBy(F.desc("seen"), "word").limit(HEAD_WORDS).select("word", "learned", "log").toArrow()
+
+    def terms(count: int, log: float) -> tuple[int, float, float]:
+        """Whether a word is known, and its share of the base and of the score."""
+        score = math.log10(whole * count + spelled * 10**log) if count else log + math.log10(spelled)
+        return int(count > 0), math.log10(count + 1) - floor, score
+
+    shared = spark.sparkContext.broadcast(
+        {word: terms(count, log) for word, count, log in zip(*(c.to_pylist() for c in head.columns), strict=True)}
+    )
+
     def run(batches):
-        pieces, values, counts = shared.value
-        lattice, memo = _lattice(pieces, values), {}
+        head = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 docs, flags, texts = (c.to_pylist() for c in batch.slice(at, 200).columns)
@@ -277,20 +304,13 @@ def scored(documents: DataFrame, path: str, every: int = 7, held_out: int = 2) -
                     tokens, known, base, score, tail = 1, known_end, end_base, end10, []
                     for word, times in Counter(word_list(text)).items():
                         tokens += times
-                        log = memo.get(word)
-                        if log is None:
-                            if len(memo) >= HELD:
-                                memo.clear()
-                            memo[word] = log = lattice.score(word)
-                        count = counts.get(word)
-                        if count is None:
-                            tail.append({"word": word, "times": times, "log": log})
+                        found = head.get(word)
+                        if found is None:
+                            tail.append({"word": word, "times": times})
                         else:
-                            score += times * (
-                                math.log10(whole * count + spelled * 10**log) if count else log + math.log10(spelled)
-                            )
-                            known += times if count else 0
-                            base += times * (math.log10(count + 1) - floor)
+                            known += times * found[0]
+                            base += times * found[1]
+                            score += times * found[2]
                     made.append((tokens, known, base, score, tail))
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), _TAIL)
                 yield pa.RecordBatch.from_arrays(
@@ -302,7 +322,7 @@ def scored(documents: DataFrame, path: str, every: int = 7, held_out: int = 2) -
     parts = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text").mapInArrow(
         run,
         "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
-        "tail array<struct<word: binary, times: long, log: double>>",
+        "tail array<struct<word: binary, times: long>>",
     )
     # The written rows' numbers stay the same however often they are read.
     parts = written(parts.withColumn("row", F.monotonically_increasing_id()), "scored")
@@ -311,7 +331,7 @@ def scored(documents: DataFrame, path: str, every: int = 7, held_out: int = 2) -
     ).otherwise(F.col("log") + F.lit(math.log10(spelled)))
     rare = (
         parts.select("row", F.explode("tail").alias("t")).select("row", "t.*")
-        .join(words.select("word", "learned"), "word").groupBy("row")
+        .join(words.select("word", "learned", "log"), "word").groupBy("row")
         .agg(
             F.sum(F.when(F.col("learned") > 0, F.col("times")).otherwise(0)).alias("more"),
             F.sum(F.col("times") * (F.log10(F.col("learned") + 1) - F.lit(floor))).alias("rest"),
@@ -329,4 +349,4 @@ def scored(documents: DataFrame, path: str, every: int = 7, held_out: int = 2) -
     )
 
 
-_TAIL = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64()), ("log", pa.float64())]))
+_TAIL = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))

@@ -314,6 +314,31 @@ def test_scores(spark, odd, none):
     assert lattice_lm.scored(none, queries.PIECE_VOCABULARY).count() == 0
 
 
+def test_scores_of_head_and_tail_words_are_alike(spark, monkeypatch):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {r.doc_id: r for r in lattice_lm.scored(documents, queries.PIECE_VOCABULARY).collect()}
+    # Again with all words but ten in the tail, then by hand.
+    monkeypatch.setattr(lattice_lm, "HEAD_WORDS", 10)
+    tail = {r.doc_id: r for r in lattice_lm.scored(documents, queries.PIECE_VOCABULARY).collect()}
+    assert got.keys() == tail.keys() and len(got) == documents.count()
+    for d, r in got.items():
+        assert (r.n_known, r.n_tokens) == (tail[d].n_known, tail[d].n_tokens)
+        assert math.isclose(r.score, tail[d].score, rel_tol=1e-9) and math.isclose(r.base_score, tail[d].base_score, rel_tol=1e-9)
+    texts = {r.doc_id: lattice_lm.word_list(r.text) for r in documents.collect()}
+    learned = {d: w for d, w in texts.items() if zlib.crc32(str(d).encode()) % 7 != 2}
+    counts = collections.Counter(w for words in learned.values() for w in words)
+    words = spark.createDataFrame([(w, n) for w, n in counts.items()], "word binary, learned long")
+    n = sum(counts.values()) + len(learned)
+    pieces = lattice_lm.vocabulary(queries.PIECE_VOCABULARY)
+    logs, end = lattice_lm.learned_pieces(words, (len(learned) + 1) / (n + 2), pieces)
+    lattice = lattice_lm.Lattice(list(logs), list(logs.values()))
+    spelled = (sum(c == 1 for c in counts.values()) + 1) / (n + 2)
+    for d in sorted(texts)[:40]:
+        shares = [(1 - spelled) * counts[w] / n + spelled * 10 ** lattice.score(w) for w in texts[d]]
+        shares.append((1 - spelled) * len(learned) / n + spelled * math.exp(end))
+        assert math.isclose(got[d].score, sum(map(math.log10, shares)), rel_tol=1e-9)
+
+
 def test_urls(spark):
     rows = [
         (1, "http://Www.Example.com/en/1?x=1"), (2, "https://a.example.com/en/2"), (3, "https://a.example.com/fr/#x"),
