@@ -21,10 +21,12 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tallyloom.llm.rows import with_columns
 from tallyloom.llm.word_bpe import END, WHITE, Vocabulary, compiled, normalise, segments, words
 
-#: States a Python worker keeps before it compiles anew; a bound on memory, not on texts.
-STATES = 150_000
+#: States that a Python worker keeps, the first that it meets. Others are compiled where they
+#: are met and forgotten; after ``RENEWED`` of these it begins anew. A bound on memory,
+#: not on texts.
+STATES, RENEWED = 150_000, 2_000_000
 #: Stretches whose counts a Python worker remembers, words as many, and their longest, in characters.
-SEGMENTS, LONGEST = 150_000, 64
+SEGMENTS, LONGEST = 300_000, 64
 #: Symbols that end a stretch of letters as one word of its own.
 _MARKS = ".,;:!?#$%&*|"
 #: Characters of one chunk.
@@ -42,7 +44,11 @@ class _State(dict):
     __slots__ = ("closing", "key", "machine")
 
     def __missing__(self, char: str):
-        self[char] = found = self.machine.transition(self, char)
+        found = self.machine.transition(self, char)
+        if len(self.machine.states) < STATES:
+            self[char] = found
+        else:
+            self.machine.missed += 1
         return found
 
 
@@ -95,13 +101,16 @@ class Transducer:
     def reset(self) -> None:
         """Forget the states, not what was counted with them."""
         self.states: dict[tuple, _State] = {}
+        self.missed = 0
         self.start = self.state(("start",))
 
     def state(self, key: tuple) -> _State:
         found = self.states.get(key)
         if found is None:
-            self.states[key] = found = _State()
+            found = _State()
             found.key, found.machine, found.closing = key, self, None
+            if len(self.states) < STATES:
+                self.states[key] = found
         return found
 
     def step(self, tail: tuple, symbol: str) -> tuple[tuple, int]:
@@ -284,7 +293,7 @@ def token_counts(
 
         def counts(texts):
             for t in texts:
-                if len(machine.states) > STATES:
+                if machine.missed > RENEWED:
                     machine.reset()
                     gc.collect()
                 yield len((t or "").encode("utf-8")), count(machine, t)
