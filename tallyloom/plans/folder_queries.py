@@ -11,7 +11,7 @@ from tallyloom.plans.log_queries import EVENT_LINES_SQL, event_lines
 from tallyloom.plans.planning_queries import HOURS, PLAN_SQL, WEIGHT_SQL, done, sized
 from tallyloom.plans.record_queries import prefixed
 from tallyloom.plans.registry import query, table
-from tallyloom.session import fresh_folder
+from tallyloom.session import fresh_folder, spread
 from tallyloom.sinks import documents as document_sinks
 from tallyloom.sinks import tables as table_sinks
 from tallyloom.sources import documents, listing, sequences, tables
@@ -28,7 +28,7 @@ def _supplier_id():
 
 def _one_file_each(rows, folder, compression="gzip"):
     """``(id, value)`` as one gzipped file for each id."""
-    rows.write.partitionBy("id").text(folder, compression=compression)
+    spread(rows, "id").write.partitionBy("id").text(folder, compression=compression)
 
 
 def _supplier_document():

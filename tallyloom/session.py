@@ -61,6 +61,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, by: str) -> DataFrame:
+    """All rows of a value of ``by`` in one task, over as many tasks as a shuffle or the cores have.
+
+    For writing a file for each value, whose cost is that of the file, not of its rows: a small
+    table is read by one task, and a shuffle without a number is coalesced by its bytes.
+    """
+    spark = df.sparkSession
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(shuffled, spark.sparkContext.defaultParallelism), by)
+
+
 def small_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """A table of a few known rows, held in the plan itself."""
     struct = StructType.fromDDL(schema)

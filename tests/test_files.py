@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.sizes import token_count
 from tallyloom.operators import compose, existence
-from tallyloom.plans import campaign
+from tallyloom.plans import campaign, folder_queries
 from tallyloom.sinks import documents as document_sinks
 from tallyloom.sinks import tables as table_sinks
 from tallyloom.sources import documents, keylists, listing, logs, sequences, tables
@@ -382,3 +382,17 @@ def test_plan_folder(spark, tmp_path):
     counts = {r["step"]: (r["n"], r["total"]) for r in found.progress.collect()}
     assert counts == {"checked": (4, 6), "finished": (1, 6), "pending": (3, 6)}
     assert [r["id"] for r in found.unmatched.collect()] == ["orphan"]
+
+
+def tasks_of(folder):
+    """Numbers of the tasks that wrote a folder's files, and the files."""
+    files = [p for p in folder.rglob("part-*") if not p.name.endswith(".crc")]
+    return {p.name.split("-")[1] for p in files}, files
+
+
+def test_one_file_each_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(40).coalesce(1).select(F.concat(F.lit("s."), F.col("id") % 20).alias("id"), F.lit("x").alias("value"))
+    folder_queries._one_file_each(rows, str(tmp_path / "out"))
+    tasks, files = tasks_of(tmp_path / "out")
+    assert len(tasks) > 1
+    assert len(files) == 20
