@@ -183,7 +183,7 @@ SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) -
 def log_lines(spark, sf_dir):
     """A log for each user, scanned back with the number of each line."""
     folder = fresh_folder(spark, "logs")
-    ordered = event_lines(spark, sf_dir).repartition("user_id").sortWithinPartitions("user_id", "ts", "event_id")
+    ordered = spread(event_lines(spark, sf_dir), "user_id").sortWithinPartitions("user_id", "ts", "event_id")
     ordered.select("user_id", F.concat("line", F.lit(" \t ")).alias("value")).write.partitionBy("user_id").text(folder)
     lines = scan_logs(spark, f"{folder}/user_id=*")
     return lines.select(

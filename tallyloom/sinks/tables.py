@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyloom import schemas
 from tallyloom.operators.batching import in_size_order
 from tallyloom.operators.compose import ordered
-from tallyloom.session import small_table
+from tallyloom.session import small_table, spread
 
 
 def write_plan(plan: DataFrame, path: str, refresh: bool = False) -> None:
@@ -25,7 +25,7 @@ def write_manifests(
     its batches from the written plan, which is laid out by batch.
     """
     lines = plan.select(by, F.explode(F.array(*paths)).alias("value"))
-    lines.repartition(by).write.partitionBy(by).text(path)
+    spread(lines, by).write.partitionBy(by).text(path)
 
 
 def write_markdown(report: DataFrame, path: str) -> None:
@@ -61,7 +61,7 @@ def write_complex_fasta(members: DataFrame, path: str) -> None:
     joined = members.groupBy("complex").agg(
         F.array_join(ordered(F.col("pos"), record), "\n").alias("value")
     )
-    joined.select("complex", "value").repartition("complex").write.partitionBy("complex").text(path)
+    spread(joined.select("complex", "value"), "complex").write.partitionBy("complex").text(path)
 
 
 def write_accounting(table: DataFrame, path: str) -> None:

@@ -396,3 +396,11 @@ def test_one_file_each_is_written_by_many_tasks(spark, tmp_path):
     tasks, files = tasks_of(tmp_path / "out")
     assert len(tasks) > 1
     assert len(files) == 20
+
+
+def test_folders_are_written_by_many_tasks(spark, tmp_path):
+    plan = spark.range(40).coalesce(1).select((F.col("id") % 20).alias("batch_id"), F.lit("a").alias("json"))
+    table_sinks.write_manifests(plan, str(tmp_path / "out"), [F.col("json")])
+    tasks, files = tasks_of(tmp_path / "out")
+    assert len(tasks) > 1
+    assert len(files) == 20
