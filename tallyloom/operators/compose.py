@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from tallyloom import fixed
 from tallyloom.functions.names import chain_letter
-from tallyloom.operators.skew import HOT_ROWS, lookup_join
+from tallyloom.operators.skew import HOT_ROWS, hot_keys, lookup_join, salted_join
 
 
 #: Neighbouring positions of a group that are joined at once.
 _RUN = 1024
 
+#: Most rows of keys that a task is given to make distinct and to sum up.
+TASK_KEYS = 500_000
+
 
 def members_of(key: Column, delimiter: str = fixed.MEMBER_DELIMITER) -> Column:
     return F.split(key, re.escape(delimiter))
@@ -41,6 +44,38 @@ def expanded(
     return keys.select(key, F.posexplode(members_of(F.col(key), delimiter)).alias("pos", "member"))
 
 
+def distinct_keys(keys: DataFrame, hot: DataFrame | None, task_keys: int = TASK_KEYS) -> DataFrame:
+    """Every ``id`` once, dealt by id over tasks of about ``task_keys`` rows.
+
+    Partitions cut by their bytes are too large: names compress to a tenth of what they take in
+    a task. Without ``hot`` members no id has more rows than a task may be given; else rows
+    become one where they are read, before they are dealt out.
+    """
+    ids = keys.select("id")
+    least = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, -(-ids.count() // task_keys))
+    return (ids if hot is None else ids.distinct()).repartition(tasks, "id").distinct()
+
+
+def _member_rows(cache: DataFrame, field: str) -> DataFrame:
+    """What a composed record takes from its members, as little as goes through a shuffle.
+
+    A name that is the member itself is left to be read from the key, and chains of parsed
+    entries are lettered anew in any case.
+    """
+    entry = F.element_at(field, -1)
+    if field == "sequences":
+        entry = F.when(entry.isNotNull(), F.struct(entry["kind"].alias("kind"), entry["sequence"].alias("sequence")))
+    same = F.col("name").cast("string").eqNullSafe(F.col("id").cast("string"))
+    return cache.select(
+        F.col("id").alias("member"),
+        same.alias("_same"),
+        F.when(~same, F.col("name")).alias("_name"),
+        entry.alias("_entry"),
+        (F.size(field) == 1).alias("_single"),
+    )
+
+
 def compose(
     keys: DataFrame,
     cache: DataFrame,
@@ -57,27 +92,30 @@ def compose(
     are brought together as the one row that they become.
     """
     field = "entries" if "entries" in cache.columns else "sequences"
-    slim = cache.select(
-        F.col("id").alias("member"),
-        F.col("name").alias("_name"),
-        F.element_at(field, -1).alias("_entry"),
-        (F.size(field) == 1).alias("_single"),
-    )
-    wide = lookup_join(
-        expanded(keys.select("id").distinct(), "id", delimiter),
-        slim,
+    hot = hot_keys(expanded(keys, "id", delimiter), ["member"], hot_rows)
+    wide = salted_join(
+        expanded(distinct_keys(keys, hot), "id", delimiter),
+        _member_rows(cache, field),
         "member",
         ["id", "pos"],
+        hot,
         hot_rows=hot_rows,
-        counted=expanded(keys, "id", delimiter),
     )
-    place = F.struct("pos", F.col("_name").alias("name"), F.col("_entry").alias("entry"))
+    place = F.struct(
+        "pos", F.col("_same").alias("same"), F.col("_name").alias("name"), F.col("_entry").alias("entry")
+    )
     grouped = wide.groupBy("id").agg(
         F.sort_array(F.collect_list(place)).alias("_all"),
         F.count_if(F.col("_single").isNull()).alias("_missing"),
         F.count_if(~F.col("_single")).alias("_odd"),
+        F.count_if(~F.col("_same")).alias("_renamed"),
     )
-    count = F.size(members_of(F.col("id"), delimiter))
+    members = members_of(F.col("id"), delimiter)
+    count = F.size(members)
+    renamed = F.transform("_all", lambda m: F.when(m["same"], F.get(members, m["pos"])).otherwise(m["name"]))
+    name = F.array_join(renamed, fixed.MEMBER_DELIMITER)
+    if delimiter == fixed.MEMBER_DELIMITER:
+        name = F.when(F.col("_renamed") == 0, F.col("id")).otherwise(name)
     status = (
         F.when(F.col("_missing") > 0, "missing_member")
         .when(F.col("_odd") > 0, "not_single")
@@ -92,7 +130,7 @@ def compose(
     ok = F.col("status") == "ok"
     return lettered.withColumn("status", F.when(lost, "no_entry_id").otherwise(F.col("_status"))).select(
         "id",
-        F.when(ok, F.array_join("_all.name", fixed.MEMBER_DELIMITER)).alias("name"),
+        F.when(ok, name).alias("name"),
         "members",
         "status",
         F.when(ok, F.col("_lettered")).alias(field),
@@ -185,14 +223,14 @@ def total_size(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Summed member ``tokens`` of every distinct key ``id``, from one lookup of ``(id, tokens)``."""
-    parts = F.posexplode(members_of(F.col("id"), delimiter)).alias("pos", "member")
-    wide = lookup_join(
-        keys.select("id").distinct().select("id", parts),
+    hot = hot_keys(expanded(keys, "id", delimiter), ["member"], hot_rows)
+    wide = salted_join(
+        expanded(distinct_keys(keys, hot), "id", delimiter),
         sizes.withColumnRenamed("id", "member"),
         "member",
         ["id", "pos"],
+        hot,
         hot_rows=hot_rows,
-        counted=keys.select("id", parts),
     )
     return summed(wide, ["id"], "tokens")
 

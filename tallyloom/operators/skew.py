@@ -48,16 +48,26 @@ def lookup_join(
     spread: list[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows to a lookup with one row per key, salting hot keys.
 
     Rows of a hot key are spread by a hash of ``spread`` (columns that differ
     between them) over enough salts to stay under ``hot_rows``; only the
-    matching lookup rows are repeated, once per salt. ``counted`` may name a
-    cheaper frame with at least as many rows of every key to find hot keys in.
+    matching lookup rows are repeated, once per salt.
     """
-    hot = hot_keys(left if counted is None else counted, [key], hot_rows)
+    return salted_join(left, right, key, spread, hot_keys(left, [key], hot_rows), how, hot_rows)
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread: list[str],
+    hot: DataFrame | None,
+    how: str = "left",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """:func:`lookup_join` with the hot keys that :func:`hot_keys` found."""
     if hot is None:
         return left.join(right, key, how)
     salts = F.broadcast(

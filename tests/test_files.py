@@ -404,3 +404,25 @@ def test_folders_are_written_by_many_tasks(spark, tmp_path):
     tasks, files = tasks_of(tmp_path / "out")
     assert len(tasks) > 1
     assert len(files) == 20
+
+
+def test_distinct_keys_are_dealt_by_their_number(spark, rows):
+    keys = spark.range(100).select(F.concat(F.lit("a_b"), F.col("id") % 50).alias("id"))
+    hot = spark.createDataFrame([("a", 100)], "member string, _n bigint")
+    for members in (None, hot):
+        dealt = compose.distinct_keys(keys, members, task_keys=10)
+        assert dealt.rdd.getNumPartitions() == 10
+        assert rows(dealt) == sorted(((f"a_b{i}",) for i in range(50)), key=repr)
+
+
+def test_member_rows_hold_no_chains_and_no_known_names(spark, rows):
+    cache = spark.createDataFrame(
+        [("a", "a", [("protein", ["A"], "MM")]), ("b", "B", [("rna", ["A"], "U")]), ("c", None, [("dna", ["A"], "T")])],
+        "id string, name string, sequences array<struct<kind string, chain_ids array<string>, sequence string>>",
+    )
+    slim = compose._member_rows(cache, "sequences")
+    assert slim.schema["_entry"].dataType.names == ["kind", "sequence"]
+    assert rows(slim, "member", "_same", "_name") == [("a", True, None), ("b", False, "B"), ("c", False, None)]
+    keys = spark.createDataFrame([("a_a",), ("a_b",), ("c_a",)], "id string")
+    composed = compose.compose(keys, cache)
+    assert rows(composed, "id", "name", "status") == [("a_a", "a_a", "ok"), ("a_b", "a_B", "ok"), ("c_a", "a", "ok")]
