@@ -115,7 +115,8 @@ def compose(
     renamed = F.transform("_all", lambda m: F.when(m["same"], F.get(members, m["pos"])).otherwise(m["name"]))
     name = F.array_join(renamed, fixed.MEMBER_DELIMITER)
     if delimiter == fixed.MEMBER_DELIMITER:
-        name = F.when(F.col("_renamed") == 0, F.col("id")).otherwise(name)
+        as_named = (F.col("_renamed") == 0) & (F.size("_all") == count)
+        name = F.when(as_named, F.col("id")).otherwise(name)
     status = (
         F.when(F.col("_missing") > 0, "missing_member")
         .when(F.col("_odd") > 0, "not_single")

@@ -426,3 +426,5 @@ def test_member_rows_hold_no_chains_and_no_known_names(spark, rows):
     keys = spark.createDataFrame([("a_a",), ("a_b",), ("c_a",)], "id string")
     composed = compose.compose(keys, cache)
     assert rows(composed, "id", "name", "status") == [("a_a", "a_a", "ok"), ("a_b", "a_B", "ok"), ("c_a", "a", "ok")]
+    twice = compose.compose(keys.where("id = 'a_a'"), cache.where("id = 'a'").unionAll(cache.where("id = 'a'")))
+    assert rows(twice, "id", "name", "members") == [("a_a", "a_a_a_a", 2)]
