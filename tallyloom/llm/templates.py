@@ -11,6 +11,7 @@ Items without a window contaminate the documents whose whole template is theirs.
 """
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -60,24 +61,41 @@ _APART = [np.uint64(xxhash.xxh3_64_intdigest(f"way {k}")) for k in range(3)]
 KNOWN = 150_000
 
 
+#: Kinds of the words that are fixed.
+_FIXED = dict.fromkeys(UNITS, _UNIT) | dict.fromkeys(NUMBER_WORDS, _NUM)
+#: What is known of a word but its hash: its kind plus one, and a bit each for the rest.
+_KIND, _CAPITAL, _END, _GLUED = 7, 8, 16, 32
+
+
 class _Words(dict):
-    """Numbers of words met, and by number: hash of the plain word, kind but for names, capital
-    first, ends a sentence. Forgotten when there are too many."""
+    """Numbers of words met, and by number: hash of the plain word; its kind but for names, whether
+    it has a capital first, ends a sentence, or is a number glued to its unit. Forgotten when there
+    are too many."""
 
     def __init__(self):
-        self.values = np.zeros(KNOWN + 1, np.uint64)
-        self.kinds = np.zeros(KNOWN + 1, np.int8)
-        self.capitals, self.ends = np.zeros((2, KNOWN + 1), bool)
+        # Setting one element costs less than in an array of numpy; numpy reads the same memory.
+        self._values, self._marks = array("Q", bytes(8 * (KNOWN + 1))), bytearray(KNOWN + 1)
+        self.values, self.marks = np.frombuffer(self._values, np.uint64), np.frombuffer(self._marks, np.uint8)
 
     def __missing__(self, word: str) -> int:
-        plain = word.strip(_MARKS)
-        low = plain.lower()
-        kind = _NUM if _NUMBER.fullmatch(plain) or low in NUMBER_WORDS else _UNIT if low in UNITS else _LITERAL
         self[word] = n = len(self)
-        self.values[n] = xxhash.xxh3_64_intdigest(low)
-        self.kinds[n] = kind if plain else -1
-        self.capitals[n] = plain[:1].isupper()
-        self.ends[n] = word.endswith(_ENDS) or not plain
+        if word.isalpha():
+            low = word.lower()
+            marks = _FIXED.get(low, _LITERAL) + 1
+            if word[0].isupper():
+                marks |= _CAPITAL
+        else:
+            plain = word.strip(_MARKS)
+            low = plain.lower()
+            marks = (_NUM if _NUMBER.fullmatch(plain) else _FIXED.get(low, _LITERAL)) + 1 if plain else 0
+            if plain[:1].isupper():
+                marks |= _CAPITAL
+            if not plain or word.endswith(_ENDS):
+                marks |= _END
+            if _WITH_UNIT.search(word):
+                marks |= _GLUED
+        self._values[n] = xxhash.xxh3_64_intdigest(low)
+        self._marks[n] = marks
         return n
 
     def numbers(self, words: list[str]) -> np.ndarray:
@@ -89,27 +107,33 @@ class _Words(dict):
 _MET = _Words()
 
 
+def _looked_up(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where a text's lines begin among its words; the hashes and marks of the words."""
+    lines = [line.split() for line in text.split("\n")]
+    starts = np.cumsum([0, *map(len, lines)])
+    words = [w for line in lines for w in line]
+    values, marks = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
+    for at in range(0, len(words), KNOWN // 4):  # a very long text in parts
+        n = _MET.numbers(words[at : at + KNOWN // 4])
+        values.append(_MET.values[n])
+        marks.append(_MET.marks[n])
+    return starts, np.concatenate(values), np.concatenate(marks)
+
+
 def read(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of a text's words, their kinds, and which of them are names.
 
     A unit counts as one behind a number only. A name is a word with a capital that doesn't
     begin a line or a sentence. Marks at words' edges and case are dropped.
     """
-    text = text or ""
-    if _WITH_UNIT.search(text):
-        text = _SPLIT_UNIT.sub(r"\1 \2", text)
-    lines = [line.split() for line in text.split("\n")]
-    starts = np.cumsum([0, *map(len, lines)])
-    words = [w for line in lines for w in line]
-    if not words:
+    starts, values, marks = _looked_up(text or "")
+    if (marks & _GLUED).any():
+        starts, values, marks = _looked_up(_SPLIT_UNIT.sub(r"\1 \2", text))
+    if not len(values):
         none = np.zeros(0, np.uint64)
         return none, none.astype(np.int8), none.astype(bool)
-    tables = ([], [], [], [])
-    for at in range(0, len(words), KNOWN // 4):  # a very long text in parts
-        n = _MET.numbers(words[at : at + KNOWN // 4])
-        for table, source in zip(tables, (_MET.values, _MET.kinds, _MET.capitals, _MET.ends), strict=True):
-            table.append(source[n])
-    values, kinds, capitals, ends = map(np.concatenate, tables)
+    kinds = (marks & _KIND).astype(np.int8) - np.int8(1)
+    capitals, ends = (marks & _CAPITAL).astype(bool), (marks & _END).astype(bool)
     begins = np.r_[True, ends[:-1]]
     begins[starts[starts < len(begins)]] = True
     real = kinds >= 0

@@ -22,3 +22,17 @@ def test_changed_items(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.item_id) for r in templates.contaminated(docs, bench).collect()}
     assert got == {*((d, i) for d in range(len(CHANGED)) for i in (1, 2)), (10, 3), (11, 4)}
+
+
+def test_words_are_searched_for_glued_units_once(monkeypatch):
+    text = "run 5km in 20min, then 3.5 kg of Flour"
+    first = templates.read(text)
+    assert [a.tolist() for a in first] == [a.tolist() for a in templates.read("run 5 km in 20 min, then 3.5 kg of Flour")]
+
+    class Searches:
+        def search(self, word):
+            raise AssertionError(word)
+
+    monkeypatch.setattr(templates, "_WITH_UNIT", Searches())
+    again = templates.read(text)
+    assert [a.tolist() for a in first] == [a.tolist() for a in again]
