@@ -44,17 +44,26 @@ def expanded(
     return keys.select(key, F.posexplode(members_of(F.col(key), delimiter)).alias("pos", "member"))
 
 
-def distinct_keys(keys: DataFrame, hot: DataFrame | None, task_keys: int = TASK_KEYS) -> DataFrame:
-    """Every ``id`` once, dealt by id over tasks of about ``task_keys`` rows.
+def key_tasks(keys: DataFrame, task_keys: int = TASK_KEYS) -> int:
+    """How many tasks take all ``keys``, with about ``task_keys`` rows each.
 
     Partitions cut by their bytes are too large: names compress to a tenth of what they take in
-    a task. Without ``hot`` members no id has more rows than a task may be given; else rows
-    become one where they are read, before they are dealt out.
+    a task.
     """
-    ids = keys.select("id")
     least = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(least, -(-ids.count() // task_keys))
-    return (ids if hot is None else ids.distinct()).repartition(tasks, "id").distinct()
+    return max(least, -(-keys.select("id").count() // task_keys))
+
+
+def distinct_keys(
+    keys: DataFrame, hot: DataFrame | None, task_keys: int = TASK_KEYS, tasks: int | None = None
+) -> DataFrame:
+    """Every ``id`` once, dealt by id over ``tasks`` (or :func:`key_tasks`).
+
+    Without ``hot`` members no id has more rows than a task may be given; else rows become one
+    where they are read, before they are dealt out.
+    """
+    ids = keys.select("id")
+    return (ids if hot is None else ids.distinct()).repartition(tasks or key_tasks(keys, task_keys), "id").distinct()
 
 
 def _member_rows(cache: DataFrame, field: str) -> DataFrame:
@@ -93,8 +102,9 @@ def compose(
     """
     field = "entries" if "entries" in cache.columns else "sequences"
     hot = hot_keys(expanded(keys, "id", delimiter), ["member"], hot_rows)
+    tasks = key_tasks(keys)
     wide = salted_join(
-        expanded(distinct_keys(keys, hot), "id", delimiter),
+        expanded(distinct_keys(keys, hot, tasks=tasks), "id", delimiter),
         _member_rows(cache, field),
         "member",
         ["id", "pos"],
@@ -104,7 +114,8 @@ def compose(
     place = F.struct(
         "pos", F.col("_same").alias("same"), F.col("_name").alias("name"), F.col("_entry").alias("entry")
     )
-    grouped = wide.groupBy("id").agg(
+    # Dealt out before, not after lists of one member are made and sorted in every task.
+    grouped = wide.repartition(tasks, "id").groupBy("id").agg(
         F.sort_array(F.collect_list(place)).alias("_all"),
         F.count_if(F.col("_single").isNull()).alias("_missing"),
         F.count_if(~F.col("_single")).alias("_odd"),

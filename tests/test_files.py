@@ -428,3 +428,16 @@ def test_member_rows_hold_no_chains_and_no_known_names(spark, rows):
     assert rows(composed, "id", "name", "status") == [("a_a", "a_a", "ok"), ("a_b", "a_B", "ok"), ("c_a", "a", "ok")]
     twice = compose.compose(keys.where("id = 'a_a'"), cache.where("id = 'a'").unionAll(cache.where("id = 'a'")))
     assert rows(twice, "id", "name", "members") == [("a_a", "a_a_a_a", 2)]
+
+
+def test_members_are_dealt_out_before_they_are_listed(spark):
+    keys = spark.createDataFrame([("a_b",)], "id string")
+    cache = spark.createDataFrame([("a", "a", [("rna", ["A"], "U")])], "id string, name string, sequences array<struct<kind string, chain_ids array<string>, sequence string>>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = compose.compose(keys, cache)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lists = [line for line in plan.split("\n") if "collect_list" in line or "Exchange hashpartitioning(id" in line]
+    assert "partial_collect_list" in lists[1] and "REPARTITION_BY_NUM" in lists[2]
