@@ -26,9 +26,9 @@ def _supplier_id():
     return F.concat(F.lit("s."), F.col("s_suppkey").cast("string"))
 
 
-def _one_file_each(rows, folder, compression="gzip"):
+def _one_file_each(rows, folder):
     """``(id, value)`` as one gzipped file for each id."""
-    spread(rows, "id").write.partitionBy("id").text(folder, compression=compression)
+    table_sinks.write_file_each(rows, "id", folder)
 
 
 def _supplier_document():

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from urllib.parse import urlsplit
 
 import pyarrow
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,13 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """A folder's plain path if it is of the file system that all machines have mounted, else None."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    url = urlsplit(path if urlsplit(path).scheme else default.rstrip("/") + path)
+    return url.path if url.scheme == "file" else None
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here.
 

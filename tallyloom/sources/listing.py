@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from tallyloom import schemas
 from tallyloom.functions.names import path_regex
 
+#: Tasks that list names, for each core; by default Spark takes one a folder, up to 10,000, and
+#: each costs more than many folders.
+_LISTING_TASKS = 4
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 _SCHEME = r"^[a-zA-Z][\w+.-]*:(//[^/]*)?(?=/)"
 
 
@@ -19,12 +24,16 @@ def decoded_path() -> Column:
 
 def exists_or_empty(load, empty_schema: str, spark: SparkSession) -> DataFrame:
     """``load()``, or no rows where nothing matches the path: absent files are an empty table."""
+    tasks = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, str(min(int(tasks), _LISTING_TASKS * spark.sparkContext.defaultParallelism)))
     try:
         return load()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], empty_schema)
+    finally:
+        spark.conf.set(_LISTING, tasks)
 
 
 def path_id(pattern: str, path: str = "path") -> Column:

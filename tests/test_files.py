@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom import session
 from tallyloom.functions.sizes import token_count
 from tallyloom.operators import compose, existence
 from tallyloom.plans import campaign, folder_queries
@@ -398,6 +399,42 @@ def test_one_file_each_is_written_by_many_tasks(spark, tmp_path):
     assert len(files) == 20
 
 
+def test_file_each_needs_no_process_for_permissions(spark, tmp_path):
+    """Names as Spark writes them, several lines, null lines and null ids; no file is left beside."""
+    data = [("a:b/c", "x"), ("a:b/c", None), (None, "n"), ("", "e"), ("ü k", "z")] * 2
+    rows = spark.createDataFrame(data, "id string, value string")
+    table_sinks.write_file_each(rows, "id", f"file://{tmp_path}/own")
+    rows.repartition("id").write.partitionBy("id").text(f"{tmp_path}/spark", compression="gzip")
+
+    def held(folder):
+        return sorted(tuple(r) for r in spark.read.text(str(tmp_path / folder)).select("value", F.coalesce("id", F.lit("-"))).collect())
+
+    def names(folder):
+        return {p.name for p in (tmp_path / folder).iterdir() if p.is_dir()}
+
+    assert held("own") == held("spark") and names("own") == names("spark")
+    # Hadoop's local files have a second one of checksums, made with the permissions of both.
+    assert all(p.name.startswith("part-") for p in (tmp_path / "own").rglob("*") if p.is_file())
+
+
+def test_only_mounted_folders_are_written_directly(spark):
+    assert session.mounted(spark, "file:///a/b") == session.mounted(spark, "/a/b") == "/a/b"
+    assert session.mounted(spark, "hdfs://host/a") is None
+
+
+def test_names_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(60):
+        (tmp_path / f"id={i}").mkdir()
+        (tmp_path / f"id={i}/part-0").write_text("x")
+    before, last = spark.conf.get(listing._LISTING), max(spark.sparkContext.statusTracker().getJobIdsForGroup(None), default=-1)
+    assert listing.scan_ids(spark, f"{tmp_path}/id={{id}}/part-*").count() == 60
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(None) if j > last]
+    stages = [tracker.getStageInfo(k) for j in jobs for k in j.stageIds]
+    assert max(s.numTasks for s in stages if s) <= listing._LISTING_TASKS * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(listing._LISTING) == before
+
+
 def test_folders_are_written_by_many_tasks(spark, tmp_path):
     plan = spark.range(40).coalesce(1).select((F.col("id") % 20).alias("batch_id"), F.lit("a").alias("json"))
     table_sinks.write_manifests(plan, str(tmp_path / "out"), [F.col("json")])
