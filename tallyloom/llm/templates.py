@@ -12,6 +12,7 @@ Items without a window contaminate the documents whose whole template is theirs.
 
 import re
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +58,8 @@ _SLOTTED, _CASELESS, _WHOLE = range(3)
 _APART = [np.uint64(xxhash.xxh3_64_intdigest(f"way {k}")) for k in range(3)]
 
 
-#: Words a Python worker knows at a time.
-KNOWN = 150_000
+#: Words a Python worker knows at a time; many are met once, and those that all go are looked up again.
+KNOWN = 300_000
 
 
 #: Kinds of the words that are fixed.
@@ -87,13 +88,16 @@ class _Words(dict):
         else:
             plain = word.strip(_MARKS)
             low = plain.lower()
-            marks = (_NUM if _NUMBER.fullmatch(plain) else _FIXED.get(low, _LITERAL)) + 1 if plain else 0
+            if plain.isalpha():  # no number in it
+                marks = _FIXED.get(low, _LITERAL) + 1
+            else:
+                marks = (_NUM if _NUMBER.fullmatch(plain) else _FIXED.get(low, _LITERAL)) + 1 if plain else 0
+                if plain and _WITH_UNIT.search(word):
+                    marks |= _GLUED
             if plain[:1].isupper():
                 marks |= _CAPITAL
             if not plain or word.endswith(_ENDS):
                 marks |= _END
-            if _WITH_UNIT.search(word):
-                marks |= _GLUED
         self._values[n] = xxhash.xxh3_64_intdigest(low)
         self._marks[n] = marks
         return n
@@ -111,7 +115,7 @@ def _looked_up(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where a text's lines begin among its words; the hashes and marks of the words."""
     lines = [line.split() for line in text.split("\n")]
     starts = np.cumsum([0, *map(len, lines)])
-    words = [w for line in lines for w in line]
+    words = list(chain.from_iterable(lines))
     values, marks = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
     for at in range(0, len(words), KNOWN // 4):  # a very long text in parts
         n = _MET.numbers(words[at : at + KNOWN // 4])

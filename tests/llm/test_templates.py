@@ -36,3 +36,15 @@ def test_words_are_searched_for_glued_units_once(monkeypatch):
     monkeypatch.setattr(templates, "_WITH_UNIT", Searches())
     again = templates.read(text)
     assert [a.tolist() for a in first] == [a.tolist() for a in again]
+
+
+def test_words_without_digits_are_not_searched_for_numbers(monkeypatch):
+    """The patterns are what a word that is met for the first time costs most."""
+    known = {w: (n := templates._Words(), n[w], int(n.marks[0]))[2] for w in ("Word,", "end.", "(miles)", "ten!", "5", "3km", "...")}
+    plain = ("Word,", "end.", "(miles)", "ten!")
+    monkeypatch.setattr(templates, "_WITH_UNIT", None)
+    monkeypatch.setattr(templates, "_NUMBER", None)
+    for word in plain:
+        again = templates._Words()
+        assert again.marks[again[word]] == known[word]
+    assert known["3km"] & templates._GLUED and not known["5"] & templates._GLUED
