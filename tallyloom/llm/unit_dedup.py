@@ -11,8 +11,8 @@ the one of the least hash is a seed, so any ``SEEDS + LEAST_WORDS - 1`` words th
 A seed is grown word by word, both ways, against its first occurrence.
 """
 
-import hashlib
-import re
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,76 +31,138 @@ LEAST_WORDS = 25
 #: Neighbouring windows of which one is a seed.
 SEEDS = 26
 
-_WORD = re.compile("[^\x20\x09-\x0d]+")
 _EDGE = ".,;:!?\"'()[]{}#*$%&|<>"
-
-_UNITS = "doc_id long, variant long, kind byte, reach int, place int, after int, start int, stop int, digest binary"
+#: Code points cut into units at once.
+_BLOCK = 500_000
+_BLANK = np.zeros(33, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+
+#: A unit is one number, by which the units of a text are in order: place, kind, number of words.
+_KIND_BITS, _WORDS_BITS = 2, 30
+_UNIT = "doc_id long, variant long, high long, low long, unit long, back int, chars long"
+_LATER = (
+    "doc_id long, variant long, kind byte, reach int, place int, after int, start int, stop int, "
+    "first_doc_id long, first_variant long, first_place int"
+)
 _PIECE, _LINE, _SEED = range(3)
 
 
 class _Words(dict):
-    """A word without the marks at its edges in lower case, and a hash of it; met ones are kept."""
+    """A hash of a word without the marks at its edges in lower case; met ones are kept."""
 
-    def __missing__(self, word: str) -> tuple[str, int]:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > 300_000:
             self.clear()
-        plain = word.lower().strip(_EDGE)
-        self[word] = found = (plain, xxhash.xxh3_64_intdigest(plain))
+        plain = word.decode().lower().strip(_EDGE)
+        self[word] = found = xxhash.xxh3_64_intdigest(plain)
         return found
 
 
 _KNOWN = _Words()
+#: The hash of a word of marks alone.
+_MARKS = np.uint64(xxhash.xxh3_64_intdigest(""))
+
+
+class Words(NamedTuple):
+    """Where the words of a text start and stop in code points, their hashes when normalised (lower
+    case, marks at edges dropped), and whether a line ends behind each."""
+
+    starts: np.ndarray
+    stops: np.ndarray
+    hashes: np.ndarray
+    ends: np.ndarray
+
+    @property
+    def real(self) -> np.ndarray:
+        """Numbers of the words that aren't marks alone."""
+        return np.flatnonzero(self.hashes != _MARKS)
+
+
+def words(text: str) -> Words:
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    solid = np.ones(len(points) + 2, bool)
+    solid[0] = solid[-1] = False
+    solid[1:-1] = ~_BLANK[np.minimum(points, 32)] | (points > 32)
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
+    starts, stops = edges[::2], edges[1::2]
+    found = text.encode().split()
+    hashes = np.fromiter(map(_KNOWN.__getitem__, found), np.uint64, len(found))
+    lines = np.searchsorted(np.flatnonzero(points == 10), starts)
+    ends = np.ones(len(starts), bool)
+    ends[:-1] = lines[1:] > lines[:-1]
+    return Words(starts, stops, hashes, ends)
+
+
+class Units(NamedTuple):
+    """Pieces, lines and seeds of texts: the text's number, kind, the words they reach back to, begin
+    at and end before, start and stop in code points, and two halves of a digest of their words."""
+
+    text: np.ndarray
+    kind: np.ndarray
+    reach: np.ndarray
+    place: np.ndarray
+    after: np.ndarray
+    start: np.ndarray
+    stop: np.ndarray
+    digest: np.ndarray
+
+
+def units(texts: list[str], every: int = UNIT_WORDS) -> Units:
+    """The units of each text. A unit reaches back over words of marks alone, which don't count."""
+    found = words("\n".join(texts))
+    points = np.cumsum([0] + [len(t) + 1 for t in texts])
+    bounds = np.searchsorted(found.starts, points)  # words of each text
+    known = (found.hashes % np.uint64(1_000_003)).astype(np.int64)
+    cut = found.ends.copy()
+    cut[:-1] |= (known[:-1] * 31 + known[1:]) % 8191 % every == 0
+    real = found.real
+    hashes = found.hashes[real]
+    body = hashes.tobytes()
+    parts, digests = [], []
+    for kind, last in ((_PIECE, cut), (_LINE, found.ends)):
+        after = np.flatnonzero(last) + 1
+        place = np.append(0, after)[:-1]
+        first, end = np.searchsorted(real, place), np.searchsorted(real, after)
+        some = end > first
+        place, after = place[some], after[some]
+        text = np.searchsorted(bounds, place, "right") - 1
+        reach = np.maximum(np.append(0, after)[:-1], bounds[text]) - bounds[text]
+        parts.append((text, np.full(len(place), kind), reach, place - bounds[text], after - bounds[text],
+                      found.starts[place] - points[text], found.stops[after - 1] - points[text]))
+        ends = zip((first[some] * 8).tolist(), (end[some] * 8).tolist(), strict=True)
+        digests += [xxhash.xxh3_128_digest(body[a:b], kind) for a, b in ends]
+    limits = np.searchsorted(real, bounds).tolist()
+    made = windows(hashes, LEAST_WORDS) if len(hashes) >= LEAST_WORDS else hashes[:0]
+    places = [seeds(made[a : max(a, b - LEAST_WORDS + 1)]) for a, b in zip(limits, limits[1:], strict=False)]
+    text = np.repeat(np.arange(len(texts)), [len(x) for x in places])
+    place = np.concatenate([*places, np.zeros(0, np.int64)])
+    none = np.zeros(len(place), np.int64)
+    parts.append((text, none + _SEED, place, place, place + LEAST_WORDS, none, none))
+    starts = (8 * (place + np.array(limits)[text])).tolist()
+    digests += [xxhash.xxh3_128_digest(body[a : a + 8 * LEAST_WORDS], _SEED) for a in starts]
+    columns = [np.concatenate(c).astype(np.int64) for c in zip(*parts, strict=True)]
+    return Units(*columns, np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2))
+
+
+def seeds(made: np.ndarray) -> np.ndarray:
+    """Places of the windows' hashes that are least among ``SEEDS`` neighbours (or all, if fewer)."""
+    if not len(made):
+        return np.zeros(0, np.int64)
+    views = np.lib.stride_tricks.sliding_window_view(made, min(SEEDS, len(made)))
+    least = views.argmin(axis=1) + np.arange(len(views))
+    return least[np.append(True, least[1:] != least[:-1])]
 
 
-def words(text: str) -> tuple[list[tuple[int, int]], list[str], np.ndarray]:
-    """Spans of words in code points, the words normalised (lower case, marks at edges dropped),
-    and hashes of them."""
-    spans = [m.span() for m in _WORD.finditer(text)]
-    known = [_KNOWN[text[a:b]] for a, b in spans]
-    return spans, [k[0] for k in known], np.fromiter((k[1] for k in known), np.uint64, len(known))
-
-
-def units(text: str, every: int = UNIT_WORDS) -> list[tuple[int, int, int, int, int, int, bytes]]:
-    """(kind, reach, place, after, start, stop, digest) of each piece, line and seed.
-
-    Place and after are numbers of words, start and stop offsets in code points. A unit reaches
-    back over words of marks alone. Blanks are made one.
-    """
-    spans, plain, hashes = words(text)
-    known = (hashes % np.uint64(1_000_003)).tolist()
-    found, first, line, reach, line_reach = [], 0, 0, 0, 0
-    for i, (_, stop) in enumerate(spans):
-        last = i + 1 == len(spans)
-        ends = last or "\n" in text[stop : spans[i + 1][0]]
-        if ends or (known[i] * 31 + known[i + 1]) % 8191 % every == 0:
-            key = " ".join(filter(None, plain[first : i + 1])).encode()
-            if key:
-                digest = hashlib.blake2b(key, digest_size=16).digest()
-                found.append((_PIECE, reach, first, i + 1, spans[first][0], stop, digest))
-                reach = i + 1
-            first = i + 1
-        if ends:
-            key = " ".join(filter(None, plain[line : i + 1])).encode()
-            if key:
-                digest = hashlib.blake2b(key, digest_size=16, person=b"line").digest()
-                found.append((_LINE, line_reach, line, i + 1, spans[line][0], stop, digest))
-                line_reach = i + 1
-            line = i + 1
-    real = np.flatnonzero([bool(w) for w in plain])
-    hashes = hashes[real]
-    for p in seeds(hashes):
-        digest = xxhash.xxh3_128_digest(hashes[p : p + LEAST_WORDS].tobytes())
-        found.append((_SEED, p, p, p + LEAST_WORDS, 0, 0, digest))
-    return found
-
-
-def seeds(hashes: np.ndarray) -> list[int]:
-    """Places of the windows that are least among ``SEEDS`` neighbours (or all, if fewer)."""
-    if len(hashes) < LEAST_WORDS:
-        return []
-    made = windows(hashes, LEAST_WORDS)
-    views = np.lib.stride_tricks.sliding_window_view(made, min(SEEDS, len(made)))
-    return np.unique(views.argmin(axis=1) + np.arange(len(views))).tolist()
+def blocks(texts: list[str]) -> Iterator[slice]:
+    """Texts of about ``_BLOCK`` code points together, or one longer one."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > _BLOCK:
+            yield slice(start, i)
+            start, held = i, 0
+        held += len(text)
+    if start < len(texts):
+        yield slice(start, len(texts))
 
 
 def grown(mine: np.ndarray, theirs: np.ndarray, places: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -124,36 +186,76 @@ def grown(mine: np.ndarray, theirs: np.ndarray, places: list[tuple[int, int]]) -
 
 
 def hashed(documents: DataFrame) -> DataFrame:
-    """One row for each unit: doc_id, variant and what ``units`` gives."""
+    """One row for each unit: doc_id, variant, the digest's halves and what ``units`` gives, packed."""
+    names = [c.split()[0] for c in _UNIT.split(", ")]
 
     def run(batches):
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, variant, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows += [(doc, variant, *u) for u in units(text)]
-                if len(rows) > 50_000:
-                    yield _batch(rows)
-                    rows = []
-            yield _batch(rows)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                doc, variant = (c.to_numpy() for c in part.columns[:2])
+                texts = part.column(2).to_pylist()
+                for some in blocks(texts):
+                    found = units(texts[some])
+                    unit = (found.place << (_KIND_BITS + _WORDS_BITS)) | (found.kind << _WORDS_BITS) | (found.after - found.place)
+                    back = (found.place - found.reach).astype(np.int32)
+                    columns = [doc[some][found.text], variant[some][found.text], *found.digest.T, unit, back, (found.start << 32) | found.stop]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names)
 
-    return documents.select("doc_id", "variant", "text").mapInArrow(run, _UNITS)
+    return documents.select("doc_id", "variant", "text").mapInArrow(run, _UNIT)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"doc_id": pa.int64(), "variant": pa.int64(), "kind": pa.int8()}
-    kinds |= dict.fromkeys(("reach", "place", "after", "start", "stop"), pa.int32())
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 9
-    arrays = [pa.array(np.array(c, k.to_pandas_dtype())) for c, k in zip(columns, kinds.values(), strict=False)]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(columns[8], pa.binary())], [*kinds, "digest"])
+def later_units(found: DataFrame) -> DataFrame:
+    """The units of ``hashed`` whose digest occurs at an earlier (doc_id, variant, place), each once,
+    with the earliest.
+
+    Units are sorted by digest and place, so the first of a digest comes first and no group is held.
+    """
+    names = [c.split()[0] for c in _LATER.split(", ")]
+
+    def run(batches):
+        last, first = None, None  # the digest and place before, and the first of that digest
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            doc, variant, high, low, unit, back, chars = (c.to_numpy() for c in batch.columns)
+            keys = np.stack([high, low, doc, variant, unit])
+            before = np.concatenate([keys[:, :1] if last is None else last, keys[:, :-1]], axis=1)
+            new = (keys[:2] != before[:2]).any(axis=0)
+            again = ~new & (keys == before).all(axis=0)
+            if last is None:
+                new[0], again[0], first = True, False, keys[2:, :1]
+            firsts = np.concatenate([first, keys[2:, new]], axis=1)
+            firsts = firsts[:, np.cumsum(new)]
+            last, first = keys[:, -1:], firsts[:, -1:]
+            on = ~new & ~again & (keys[2:] != firsts).any(axis=0)
+            place = unit[on] >> (_KIND_BITS + _WORDS_BITS)
+            kind = (unit[on] >> _WORDS_BITS) & ((1 << _KIND_BITS) - 1)
+            size, chars = unit[on] & ((1 << _WORDS_BITS) - 1), chars[on]
+            numbers = [kind, place - back[on], place, place + size, chars >> 32, chars & 0xFFFFFFFF]
+            columns = [doc[on], variant[on], numbers[0].astype(np.int8), *[c.astype(np.int32) for c in numbers[1:]],
+                       firsts[0, on], firsts[1, on], (firsts[2, on] >> (_KIND_BITS + _WORDS_BITS)).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    order = ["high", "low", "doc_id", "variant", "unit"]
+    return found.repartition("high").sortWithinPartitions(*order).mapInArrow(run, _LATER)
+
+
+def _dealt(documents: DataFrame) -> DataFrame:
+    """The rows that may have spans, dealt out by doc_id. All uses in one query share one shuffle of the texts."""
+    return documents.where("doc_id IS NOT NULL AND text IS NOT NULL").repartition("doc_id")
 
 
 def _grown(seeds: DataFrame, documents: DataFrame) -> DataFrame:
     """The stretches around repeated seeds, grown against the documents of their first occurrence."""
     mine, firsts = ["doc_id", "variant"], ["first_doc_id", "first_variant"]
     pairs = seeds.groupBy(*mine, *firsts).agg(F.collect_list(F.struct("place", "first_place")).alias("places"))
-    theirs = documents.select(*[F.col(c).alias(f"first_{c}") for c in mine], F.col("text").alias("theirs"))
+    dealt = _dealt(documents)
+    own = dealt.select(F.col("doc_id").alias("doc"), "text")
+    theirs = dealt.select(F.col("doc_id").alias("first_doc"), F.col("text").alias("theirs"))
     sides = (
-        pairs.join(documents, mine).join(theirs, firsts)
+        pairs.join(own, is_document(F.col("doc"), F.col("text"), F.col("doc_id"), F.col("variant")))
+        .join(theirs, is_document(F.col("first_doc"), F.col("theirs"), F.col("first_doc_id"), F.col("first_variant")))
         .select(*mine, "first_doc_id", "places", "text", "theirs")
     )
 
@@ -162,14 +264,12 @@ def _grown(seeds: DataFrame, documents: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 100):
                 rows = []
                 for doc, variant, first, places, text, theirs in zip(*(c.to_pylist() for c in batch.slice(at, 100).columns), strict=True):
-                    spans, plain, hashes = words(text)
-                    real = np.flatnonzero([bool(w) for w in plain])
-                    _, others, other = words(theirs)
-                    other = other[np.flatnonzero([bool(w) for w in others])]
+                    found, other = words(text), words(theirs)
+                    real = found.real
                     places = [(x["place"], x["first_place"]) for x in places]
-                    for a, b in grown(hashes[real], other, places):
+                    for a, b in grown(found.hashes[real], other.hashes[other.real], places):
                         place, after = int(real[a]), int(real[b - 1]) + 1
-                        rows.append((doc, variant, first, place, after, spans[place][0], spans[after - 1][1]))
+                        rows.append((doc, variant, first, place, after, int(found.starts[place]), int(found.stops[after - 1])))
                 columns = list(zip(*rows, strict=True)) if rows else [()] * 7
                 names = ["doc_id", "variant", "first_doc_id", "place", "after", "start", "stop"]
                 types = [pa.int64()] * 3 + [pa.int32()] * 4
@@ -188,21 +288,8 @@ def repeated_spans(documents: DataFrame, least_words: int = LEAST_WORDS) -> Data
     one doc_id are documents of their own, told apart by ``variant``. Columns but doc_id and
     text aren't looked at; an empty table gives an empty one.
     """
-    rows = told_apart(documents)
-    found = hashed(rows)
-    place = F.struct("doc_id", "variant", "place")
-    earliest = (
-        found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-        .where("n > 1").select("digest", "first")
-    )
-    later = (
-        found.join(earliest, "digest").where(place > F.col("first"))
-        .select("doc_id", "variant", "kind", "reach", "place", "after", "start", "stop",
-                *[F.col(f"first.{c}").alias(f"first_{c}") for c in ("doc_id", "variant", "place")])
-        .dropDuplicates(["doc_id", "variant", "kind", "place"])
-    )
-    later = written(later, "units")
-    stretches = _grown(later.where(f"kind = {_SEED}"), rows)
+    later = written(later_units(hashed(told_apart(documents))), "units")
+    stretches = _grown(later.where(f"kind = {_SEED}"), documents)
     parts = later.where(f"kind <> {_SEED}").drop("first_variant", "first_place").unionByName(
         stretches.withColumns({"kind": F.lit(_SEED).cast("byte"), "reach": F.col("place")})
     )
@@ -238,7 +325,7 @@ def without_spans(documents: DataFrame, spans: DataFrame) -> DataFrame:
     kept = f"""concat_ws('', transform(sequence(0, size(spans)), i -> substring({text},
         IF(i = 0, 0, get(spans, i - 1).stop) + 1,
         IF(i = size(spans), length({text}), get(spans, i).start) - IF(i = 0, 0, get(spans, i - 1).stop))))"""
-    rows = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
+    rows = _dealt(documents).select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()])
     same = is_document(F.col(own["doc_id"]), F.col(text), F.col("doc_id"), F.col("variant"))
     taken = ["spans", "n_words_removed", "first_doc_ids", "kept_text"]
     return rows.join(removed, same).withColumn("kept_text", F.expr(kept)).select(

@@ -17,6 +17,7 @@ from tallyloom.llm import (
     bpe_codec, components, lattice_lm, line_dedup, minhash_join, quality_rules, queries, templates,
     token_counts, unit_dedup, url_filter, weak_labels, word_bpe,
 )
+from tallyloom.llm.rows import told_apart
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -209,6 +210,29 @@ def test_units_of_many_passages_and_short_lines(spark):
     assert got == spans
 
 
+def test_units_are_hashed_and_shuffled_once(spark):
+    """The first of each digest by one sort, also where a digest goes over several Arrow batches."""
+    rng = random.Random(7)
+    lines = [" ".join(rng.choices("abcdefgh", k=3)) for _ in range(20)]
+    rows = [(n % 40, "\n".join(rng.choices(lines, k=9))) for n in range(60)] + [(1, "only"), (1, "only"), (3, "only")]
+    docs = told_apart(spark.createDataFrame(rows, "doc_id long, text string")).repartition(3)
+    every = collections.defaultdict(set)
+    for doc, variant, text in docs.collect():
+        found = unit_dedup.units([text])
+        for kind, place, digest in zip(found.kind.tolist(), found.place.tolist(), found.digest.tolist(), strict=True):
+            every[tuple(digest)].add((doc, variant, place, kind))
+    expected = {(*u, *min(same)[:3]) for same in every.values() for u in same if u[:3] > min(same)[:3]}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        later = unit_dedup.later_units(unit_dedup.hashed(docs))
+        plan = later._jdf.queryExecution().executedPlan().toString()
+        got = [(r.doc_id, r.variant, r.place, r.kind, r.first_doc_id, r.first_variant, r.first_place) for r in later.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(set(got)) and set(got) == expected
+    assert plan.count("hashpartitioning(high") == 1 and plan.count("MapInArrow") == 2
+
+
 def test_patience_alignment():
     a, b = [1, 2, 3, 3, 4, 9], [7, 2, 3, 3, 4, 8, 1]
     assert line_dedup.aligned(a, b) == [(1, 1), (2, 2), (3, 3), (4, 4)]
