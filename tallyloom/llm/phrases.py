@@ -8,8 +8,8 @@ is a phrase and its size the phrase's count, and parts below the least count are
 Words come first: a word that is rare in its language ends every suffix, since no frequent
 phrase holds it. Suffixes that begin with a very common pair are routed by three words, then
 four, then five, so no route grows with the commonest phrase; the shorter phrases of such
-suffixes are summed up in each task and routed on their own. On the way the ``CODED`` most
-frequent words are written as short codes.
+suffixes are summed up in each task and routed on their own. On the way suffixes of one route,
+out of one block of text, are one row, and the ``CODED`` most frequent words are short codes.
 """
 
 import numpy as np
@@ -42,10 +42,12 @@ _FILTER_BITS = 1 << 22
 _BUCKETS = 4096
 HOT_ROWS = 50_000
 _HOT_SHARE = 4
-#: Words known to a task, suffixes summed up at once, suffixes sorted at once.
+#: Words known to a task, suffixes summed up at once, bytes of suffixes sorted at once.
 _WORDS = 300_000
-_SUFFIXES = 1_000_000
-_SORTED = 262_144
+_SUFFIXES = 700_000
+_SORTED = 6_000_000
+#: Words of text for each route; suffixes of one route travel and are sorted together.
+_ROUTED = 100_000
 #: Bytes of text cut into words at once.
 _CHUNK = 1 << 20
 
@@ -67,11 +69,12 @@ _COUNT = StructType(
 )
 _SUFFIX = StructType(
     [
+        StructField("route", LongType()),
         StructField("lang", StringType()),
-        #: The words by which suffixes are routed; shorter phrases aren't counted with this row.
-        StructField("head", StringType()),
-        #: Each suffix with this head: its occurrences and further words, one to a line.
-        StructField("tails", StringType()),
+        #: Groups of suffixes, parted by VT. A group is lines: the words by which its suffixes are
+        #: routed (shorter phrases aren't counted with them), then for each suffix with this head
+        #: its occurrences and further words.
+        StructField("groups", StringType()),
     ]
 )
 _PHRASE = StructType(
@@ -251,19 +254,26 @@ def routed(found: np.ndarray, n: np.ndarray, hashes: np.ndarray, hot: dict[int,
         found, n = found[:, on], n[on]
 
 
-def _route_suffixes(frequent, hot, coded):
+def _route_suffixes(frequent, hot, coded, routes: int):
     arrow = to_arrow_schema(_SUFFIX)
 
-    def headed(lang, strings, size, suffix, n):
-        """Suffixes, which come sorted, as one row for each head."""
+    def headed(lang, strings, hashes, size, suffix, n):
+        """Suffixes, which come sorted, grouped by head, as one row for each route."""
         words = [strings.take(pa.array(c, mask=c == 0)) for c in suffix]
         tails = pc.binary_join_element_wise(pa.array(n).cast(pa.string()), *words[size:], " ", null_handling="skip")
         new = (suffix[:size, 1:] != suffix[:size, :-1]).any(axis=0)
         starts = np.concatenate([[0], np.flatnonzero(new) + 1])
         offsets = pa.array(np.append(starts, len(n)), pa.int32())
         heads = pc.binary_join_element_wise(*(w.take(pa.array(starts)) for w in words[:size]), " ")
-        joined = pc.binary_join(pa.ListArray.from_arrays(offsets, tails), "\n")
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(starts), pa.string()), heads, joined], schema=arrow)
+        groups = pc.binary_join_element_wise(heads, pc.binary_join(pa.ListArray.from_arrays(offsets, tails), "\n"), "\n")
+        route = (mixed(hashes, list(suffix[:size, starts])) % np.uint64(routes)).astype(np.int64)
+        order = np.argsort(route, kind="stable")
+        route = route[order]
+        starts = np.flatnonzero(np.append(True, route[1:] != route[:-1]))
+        offsets = pa.array(np.append(starts, len(route)), pa.int32())
+        joined = pc.binary_join(pa.ListArray.from_arrays(offsets, groups.take(pa.array(order))), "\v")
+        langs = pa.array([lang] * len(starts), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(route[starts]), langs, joined], schema=arrow)
 
     def run(batches):
         known: dict[str, Words] = {}
@@ -278,7 +288,7 @@ def _route_suffixes(frequent, hot, coded):
                 strings, hashes = words.strings(codes), np.array(words.hashes, np.uint64)
                 for size, suffix, n in routed(*summed(found), hashes, hot.value):
                     if len(n):
-                        yield headed(lang, strings, size, suffix, n)
+                        yield headed(lang, strings, hashes, size, suffix, n)
             words.clear()
 
         for batch in batches:
@@ -331,9 +341,11 @@ def _count_suffixes(least: int, coded):
     arrow = to_arrow_schema(_PHRASE)
 
     def counted(table: pa.Table, texts: dict[str, str]) -> pa.RecordBatch:
-        lang = table.column("lang").combine_chunks().dictionary_encode()
-        heads = pc.split_pattern(table.column("head").combine_chunks(), " ")
-        rows = pc.split_pattern(table.column("tails").combine_chunks(), "\n")
+        groups = pc.split_pattern(table.column("groups").combine_chunks(), "\v")
+        lang = table.column("lang").combine_chunks().dictionary_encode().take(pc.list_parent_indices(groups))
+        lines = pc.split_pattern(groups.flatten(), "\n", max_splits=1)
+        heads = pc.split_pattern(pc.list_element(lines, 0), " ")
+        rows = pc.split_pattern(pc.list_element(lines, 1), "\n")
         tails = pc.split_pattern(rows.flatten(), " ")
         words = pa.concat_arrays([heads.flatten(), tails.flatten()]).dictionary_encode()
         numbers = words.indices.to_numpy()
@@ -361,18 +373,19 @@ def _count_suffixes(least: int, coded):
     def run(batches):
         """Rows come sorted by route; whole routes are sorted together."""
         texts = {code(rank).decode(): word.decode() for rank, word in enumerate(coded.value)}
-        held, rows = [], 0
+        held, size = [], 0
         for batch in batches:
             held.append(batch)
-            rows += batch.num_rows
-            if rows >= _SORTED:
+            size += batch.column("groups").nbytes
+            if size >= _SORTED:
                 table = pa.Table.from_batches(held)
                 route = table.column("route").to_numpy()
                 end = int(np.searchsorted(route, route[-1]))
                 if end:
                     yield counted(table.slice(0, end), texts)
-                held, rows = table.slice(end).to_batches(), table.num_rows - end
-        if rows:
+                held = table.slice(end).to_batches()
+                size = sum(b.column("groups").nbytes for b in held)
+        if held:
             yield counted(pa.Table.from_batches(held), texts)
 
     return run
@@ -409,10 +422,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, hot_rows: int = HOT_RO
     words = [w.encode() for w in common.column(0).take(pa.array(order)).to_pylist()]
     context = spark.sparkContext
     known = [context.broadcast(v) for v in (np.packbits(bits), hot, words)]
-    found = texts.mapInArrow(_route_suffixes(*known), _SUFFIX)
-    route = F.xxhash64("lang", "head")
-    sorted_ = found.repartition(route).withColumn("route", route).sortWithinPartitions("route")
-    phrases = sorted_.mapInArrow(_count_suffixes(least, known[2]), _PHRASE)
+    routes = (totals.agg(F.sum("n")).first()[0] or 0) // _ROUTED + 1
+    found = texts.mapInArrow(_route_suffixes(*known, routes), _SUFFIX)
+    phrases = found.repartition("route").sortWithinPartitions("route").mapInArrow(_count_suffixes(least, known[2]), _PHRASE)
     return written(phrases.unionByName(single), "phrases"), totals
 
 

@@ -3,8 +3,10 @@
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +119,24 @@ def test_exact_score_beyond_64_bits(spark):
         f" DIV (CAST({left} AS DECIMAL(17)) * CAST({right} AS DECIMAL(17))) AS s"
     ).first()
     assert got.s == 1000 * a * n // (left * right)
+
+
+def test_heads_of_a_route_travel_together():
+    """A block of suffixes gives one row for each route, however many heads it has."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices([f"w{n}" for n in range(40)], k=50)) for _ in range(40)]
+    cold = {size: np.zeros(phrases._BUCKETS, bool) for size in range(2, phrases.LONGEST)}
+    every = np.packbits(np.ones(phrases._FILTER_BITS, np.uint8))
+    run = phrases._route_suffixes(*(SimpleNamespace(value=v) for v in (every, cold, [b"w1"])), 5)
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    made = [row for part in run([batch]) for row in part.to_pylist()]
+    assert sorted(r["route"] for r in made) == list(range(5))
+    found = Counter()
+    for row in made:
+        for group in row["groups"].split("\v"):
+            head, *tails = group.split("\n")
+            assert (head, row["route"]) not in found
+            found[head, row["route"]] += sum(int(t.split(" ")[0]) for t in tails)
+    words = [t.replace("w1 ", ". ").split() for t in texts]
+    assert sum(found.values()) == sum(len(w) - 1 for w in words)
+    assert len(found) == len({head for head, _ in found}) > 1000
