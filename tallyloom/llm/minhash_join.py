@@ -11,8 +11,10 @@ compared, one pair for each document, which joins up groups of copies of any siz
 that still span several components only documents stay whose shingles occur often enough in
 other components: where many documents hold one passage, each with a text of its own around it,
 none does. What stays is merged: members of the smaller components are tried against the others,
-``LEADERS`` at a time, then twice as many and so on, until each list lies in one component or is
-used up. These pairs are filtered before they leave the join, by their sizes
+``LEADERS`` at a time, then more, until each list lies in one component or is used up. Where few
+pairs are linked there are ``GROWTH`` times as many next, so that a list is used up in a few rounds,
+else twice as many, for what they join up. These pairs are filtered before
+they leave their lists, by their sizes,
 by a sketch of four bits for each coordinate and by a bitmap of the set: whatever agrees at
 ``MATCHES`` coordinates agrees at so many of their sketches, and bitmaps differ in no more bits
 than sets in shingles, so no pair above the threshold is lost. Links are confirmed
@@ -36,11 +38,19 @@ COORDINATES = 128
 #: At a similarity of 0.75 fewer agree in 2.9 of a million pairs (computed; 4.6 at 32 of 64).
 MATCHES = 73
 LEADERS = 16
+#: Members tried next for each one tried before, where most pairs aren't linked.
+GROWTH = 64
+#: Rows of lists for each pair that is compared before the likeliest of each leader are.
+FEW = 4
+#: Leaders held at once, pairs tried at once and pairs remembered; each bounds the memory of a task.
+MOST_LEADERS = 16_384
+_TRIES = 16_384
+_SEEN = 100_000
 #: Bits of each minimum that a sketch holds, and the lowest of them; those below tell the coordinate.
 _BITS = 4
 _LOWEST = np.uint64(8)
 #: Bits of a set's bitmap, which tells most about sets of up to about so many shingles.
-_BITMAP = 1024
+_BITMAP = 2048
 #: Shingles handled at once; bounds the memory of a very long text.
 _BLOCK = 4096
 #: Low bits of a posting's key that tell its coordinate.
@@ -154,12 +164,62 @@ def met_most(lists: DataFrame, sketches: DataFrame, share: int) -> DataFrame:
     return both.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
 
 
-def merged(rest: DataFrame, low: DataFrame, share: int) -> DataFrame:
-    """Rows (leader, rep, agree) of lists' leaders with members of other components that may be linked."""
-    leaders = low.toDF("posting", "leader", "of", "ln", "ls")
-    return rest.join(leaders, "posting").where((F.col("root") != F.col("of")) & alike(share)).select(
-        "leader", "rep", agreements("sketch", "ls").alias("agree")
-    )
+def tries(leaders: tuple, members: tuple, share: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (leader, member) of pairs that may be linked, and their agreements: ``alike`` for whole
+    lists. Both sides are (place, root, n, sketch); members stand behind their leaders."""
+    (place, root, n, bits), (later, roots, sizes, others) = leaders, members
+    far = (place[:, None] < later) & (root[:, None] != roots)
+    far &= 100 * np.minimum(n[:, None], sizes) >= share * np.maximum(n[:, None], sizes)
+    i, j = np.nonzero(far)
+    planes = bits[i, : 2 * _BITS] ^ others[j, : 2 * _BITS]
+    unlike = [np.bitwise_or.reduce(planes[:, half::2], axis=1) for half in (0, 1)]
+    agree = COORDINATES - sum(np.bitwise_count(x).astype(np.int64) for x in unlike)
+    near = agree >= MATCHES
+    i, j, agree = i[near], j[near], agree[near]
+    apart = np.bitwise_count(bits[i, 2 * _BITS :] ^ others[j, 2 * _BITS :]).sum(axis=1, dtype=np.int64)
+    near = (100 + share) * apart <= (100 - share) * (n[i] + sizes[j])
+    return i[near], j[near], agree[near]
+
+
+def merged(rest: DataFrame, leaders: int, share: int) -> DataFrame:
+    """Rows (leader, rep, agree) of lists' first ``leaders`` with members of other components that may be linked.
+
+    A list comes in the order of its places: its leaders are held, the others pass by.
+    """
+    columns = ["posting", "place", "root", "n", "rep", "sketch"]
+    rows = rest.select(*columns).repartition("posting").sortWithinPartitions("posting", "place")
+
+    def run(batches):
+        at, held = None, None
+        seen = set()  # what was found in other lists; forgotten now and then
+        for batch in batches:
+            found = []
+            numbers = [c.to_numpy() for c in batch.columns[:5]]
+            bits = batch.column(5).flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, -1)
+            ends = [0, *(np.flatnonzero(np.diff(numbers[0])) + 1).tolist(), batch.num_rows]
+            for start, stop in zip(ends, ends[1:]):
+                if start == stop:
+                    continue
+                own = [c[start:stop] for c in (*numbers[1:], bits)]
+                first = [c[own[0] <= leaders] for c in own]
+                new = at != numbers[0][start]
+                at, held = numbers[0][start], first if new else [np.concatenate(x) for x in zip(held, first)]
+                step = max(1, _TRIES // (stop - start))
+                for k in range(0, len(held[0]), step):
+                    place, root, n, rep, sketches = (c[k : k + step] for c in held)
+                    later, roots, sizes, reps, others = own
+                    i, j, agree = tries((place, root, n, sketches), (later, roots, sizes, others), share)
+                    for pair in zip(rep[i].tolist(), reps[j].tolist(), agree.tolist()):
+                        if pair not in seen:
+                            seen.add(pair)
+                            found.append(pair)
+                if len(seen) > _SEEN:
+                    seen.clear()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in found], pa.int64()) for i in range(3)], ["leader", "rep", "agree"]
+            )
+
+    return rows.mapInArrow(run, "leader long, rep long, agree long")
 
 
 def linkable(rest: DataFrame, texts: DataFrame, share: int) -> DataFrame:
@@ -232,27 +292,30 @@ def near_duplicates(documents: DataFrame, share: int = 75) -> DataFrame:
     texts = source.select(F.col("doc_id").alias("doc"), "text")
     tested = written(met_most(lists, sketches, share), "pairs")
     roots = _joined(roots, written(confirmed(tested, texts, share), "links"))
-    rest = written(_open(_labelled(lists.select("posting", "rep"), roots)).join(sketches, "rep"), "open")
+    rest = written(_open(_labelled(lists.select("posting", "rep"), roots)), "open")
     texts = written(texts.join(rest.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi"), "texts")
-    leaders, best = LEADERS, True
+    rest = rest.join(linkable(rest, texts, share), "rep", "left_semi").join(sketches, "rep")
+    rest, leaders, best = written(_placed(rest), "open"), LEADERS, True
     while not rest.isEmpty():
-        low = written(_leaders(rest, leaders), "leaders")
-        found = merged(rest, low, share)
+        found = merged(rest, leaders, share)
+        found = found.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"), "leader", "agree")
+        found = written(found.distinct().join(tested, ["a", "b"], "left_anti"), "found")
+        best = best and FEW * found.count() > rest.count()
         if best:  # before all are tried: the likeliest partner of each, which joins up most
-            found = found.groupBy("leader").agg(F.max(F.struct("agree", "rep")).alias("m")).select("leader", "m.rep")
-        pairs = found.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+            found = found.groupBy("leader").agg(F.max(F.struct("agree", "a", "b")).alias("m")).select("m.a", "m.b")
+        pairs = written(found.select("a", "b").distinct(), "pairs")
         tested = tested.unionByName(pairs)
         new = written(confirmed(pairs, texts, share), "links")
-        if not new.isEmpty():
+        links = new.count()
+        if links:
             roots = _joined(roots, new)
         if best:
             best = False
-            rest = rest.join(linkable(_open(_labelled(rest.drop("root"), roots)), texts, share), "rep", "left_semi")
         else:
-            rest = rest.join(low.select("posting", "rep"), ["posting", "rep"], "left_anti")
-            leaders *= 2
-        rest = written(_open(_labelled(rest.drop("root"), roots)), "open")
+            rest = rest.where(F.col("place") > leaders)
+            leaders *= GROWTH if 2 * links < pairs.count() else 2
+            leaders = min(leaders, MOST_LEADERS)
+        rest = written(_placed(_labelled(rest.drop("root", "place"), roots)), "open")
     ends = member.join(roots.toDF("rep", "root"), "rep", "left").groupBy("doc_id").agg(
         F.min(F.coalesce("root", "rep")).alias("component_id")
     )
@@ -284,12 +347,14 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     return written(known.unionByName(moved.join(roots, "node", "left_anti")), "components")
 
 
-def _leaders(rest: DataFrame, n: int) -> DataFrame:
-    """The members (posting, rep, root, n, sketch) that the others of their lists are tried against
-    next: ``n`` of each list's smallest components, so that a list closes as soon as all members
-    outside its largest component have been tried.
+def _placed(rest: DataFrame) -> DataFrame:
+    """The lists that span several components, members with their place: those of a list's smallest
+    components first, so that it closes as soon as all outside its largest have been tried.
+
+    One shuffle, by list, serves all three windows.
     """
-    sizes = rest.groupBy("posting", "root").agg(F.count("*").alias("size"))
-    order = Window.partitionBy("posting").orderBy("size", "root", "rep")
-    ranked = rest.join(sizes, ["posting", "root"]).withColumn("_place", F.row_number().over(order))
-    return ranked.where(f"_place <= {n}").select("posting", "rep", "root", "n", "sketch")
+    whole, own = Window.partitionBy("posting"), Window.partitionBy("posting", "root")
+    sized = rest.repartition("posting").withColumn("_size", F.count("*").over(own))
+    spans = sized.withColumn("_x", F.min("root").over(whole)).withColumn("_y", F.max("root").over(whole)).where("_x <> _y")
+    placed = spans.withColumn("place", F.row_number().over(whole.orderBy("_size", "root", "rep")))
+    return placed.drop("_size", "_x", "_y")
